@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from .language import op2_language_id
+from .ppm import op6_lm_scores
 from .simhash import op5_simhash_near_dedup
 from .token_counts import op8_token_counts
 from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op5_simhash_near_dedup, op8_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op5_simhash_near_dedup, op6_lm_scores, op8_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}
