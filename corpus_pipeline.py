@@ -3,16 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from barwright.llm import decontaminate, language, mixing, secrets, simhash
+from barwright.llm.common import fold, stored, table
+
+#: A text goes if no language reaches this probability.
+LEAST_LANGUAGE = 0.35
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter and texts of no known language; a missing language is filled in."""
+    model = language.train(docs.where(F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(True))))
+    found = language.identified(docs.withColumnRenamed("text", "_text"), model, "_text").withColumnRenamed("_text", "text")
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)) if model.langs else found.where(F.col("text").rlike(r"\p{L}"))
+    return kept.withColumn("lang", F.coalesce("lang", F.nullif("lang_pred", F.lit(language.UNKNOWN)))).select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of every near-duplicate group the document with the smallest id, once."""
+    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
+    kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct())
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    found = stored(decontaminate.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")).select("doc_id").distinct())
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts; every document stays, n_chars follows its text."""
+    found = stored(secrets.secrets(docs.select("doc_id", "text", "source")).select("doc_id", "value").distinct())
+    return secrets.redacted(docs, found).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each remaining document the mix takes."""
+    return mixing.mixed(docs.select("doc_id", "text", "source"))
+
+
+STAGES = [(f.__name__, f) for f in (language_id, simhash_near_dedup, benchmark_decontamination, secret_scan, source_mix)]
+
+#: SQL can express none of the trained stages; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over documents, each written and read again."""
-    from barwright.llm.common import stored
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
