@@ -99,10 +99,10 @@ def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[st
     flat = sample.select("row", "kind", F.explode("words").alias("word"))
     counts = flat.groupBy("word").agg(of("toxic").alias("p"), of("free").alias("u"))
     counts = counts.withColumns({"z": z, "start": F.log((rate_p + 0.5 / n_p) / (clean_rate + 2 / n_u))})
-    chosen = counts.where((F.col("p") + F.col("u") >= 5) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "start").toPandas()
+    chosen = counts.where((F.col("p") + F.col("u") >= 5) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "start").toArrow().to_pandas()
     index = sample.sparkSession.createDataFrame([(w, i) for i, w in enumerate(chosen["word"])], "word string, i int")
     found = flat.join(F.broadcast(index), "word").groupBy("row").agg(F.collect_list("i").alias("present"))  # MAX_FEATURES at most
-    hits = sample.select("row", "kind").join(found, "row", "left").orderBy("row").toPandas()  # bounded sample
+    hits = sample.select("row", "kind").join(found, "row", "left").orderBy("row").toArrow().to_pandas()  # bounded sample
     rows = [np.asarray([] if x is None else x, np.int64) for x in hits["present"]]
     toxic, clean = (hits["kind"] == "toxic").to_numpy(), (hits["kind"] == "clean").to_numpy()
     aside = clean | (toxic & (np.arange(len(rows)) % 4 == 3))
