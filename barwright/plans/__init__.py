@@ -1 +1,4 @@
+"""Market views, registered queries and their oracles."""
 
+from . import options_queries  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES  # noqa: F401
