@@ -9,7 +9,7 @@ from ..functions.columns import (
     as_float, as_int, epoch_ms_to_date, epoch_ms_to_ts, normalize_expiry, normalize_period, normalize_symbol, parse_date, parse_option_right, parse_option_ticker, parse_timestamptz, period_label, snapshot_ts_auto,
 )
 
-BAR = "t bigint, o double, h double, l double, c double, v double, vw double, n bigint, T string"
+BAR = "t bigint, o double, h double, l double, c double, v double, vw double, n bigint"
 #: Periods that bar rows may carry.
 ROW_PERIODS = ("1 D", "1 min", "5 mins", "1 hour")
 #: Statements of a filing.
@@ -57,8 +57,9 @@ def stock_minute(pages: DataFrame) -> DataFrame:
 
 def grouped_daily(pages: DataFrame) -> DataFrame:
     """All symbols of a market day; the symbol is in the rows."""
-    s = normalize_symbol(F.col("r.T"))
-    return _results(pages, BAR).where(F.col("r.t").isNotNull() & (s != "")).select(s.alias("symbol"), epoch_ms_to_date(F.col("r.t")).alias("bar_date"), *_bar())
+    items = pages.select(F.explode(F.from_json("payload", "results array<string>")["results"]).alias("i"))  # T and t differ in case only, so T is read by its path
+    rows = items.select(normalize_symbol(F.get_json_object("i", "$.T")).alias("symbol"), F.from_json("i", BAR).alias("r"))
+    return rows.where("r.t is not null and symbol <> ''").select("symbol", epoch_ms_to_date(F.col("r.t")).alias("bar_date"), *_bar())
 
 
 def option_daily(pages: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def stock_snapshot(pages: DataFrame) -> DataFrame:
 
 def directions(c: Column) -> Column:
     """Distinct known directions of a comma list."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.lower(c), ","), F.trim), lambda x: x.isin("gainers", "losers")))
+    return F.array_distinct(F.filter(F.transform(F.split(F.lower(c), ","), lambda x: F.trim(x)), lambda x: x.isin("gainers", "losers")))
 
 
 def stock_movers(pages: DataFrame) -> DataFrame:

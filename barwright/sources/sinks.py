@@ -136,3 +136,8 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
 def newest_kept(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_n", rank).where(F.col("_n") <= n).drop("_n")
+
+
+def replace_all(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The batch in the table's columns; nothing of the old contents stays."""
+    return batch.select(*target.columns)
