@@ -33,6 +33,14 @@ def unit_hash(*cols: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double")) / float(1 << 53)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512) -> SparkSession:
+    """Hands Python workers at most so many texts at once, unless the session sets a smaller number; 10,000 long texts do not fit in a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stored, table
+from .common import bounded_batches, components, stored, table
 
 #: Fingerprints in one segment bucket from which its links are found over whole-fingerprint balls instead.
 HOT_BUCKET = 32
@@ -36,6 +36,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", width: int = 3) -> DataFrame:
     """Adds fp: the fingerprint of each text as a signed long of the same 64 bits."""
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import bounded_batches, table
 
 #: Chunks whose counts a task keeps; it starts anew beyond this.
 MEMO = 400_000
@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, limit: int, tex
 
     vocabulary: the tokenizer's JSON itself, so that executors need no file. Nothing is shuffled. Columns of these names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, whole_tokens(vocabulary)))  # bounded by the vocabulary
+    shared = bounded_batches(docs.sparkSession).sparkContext.broadcast((vocabulary, whole_tokens(vocabulary)))  # bounded by the vocabulary
 
     @F.pandas_udf("long")
     def n_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

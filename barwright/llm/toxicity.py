@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, stored, table, unit_hash
+from .common import bounded_batches, fold, stored, table, unit_hash
 
 #: Bounds of the training sample: confirmed toxic rows, unlabelled rows, words used as features.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 8_000, 16_000, 20_000
@@ -73,6 +73,7 @@ def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[st
     share of labelled rows. Rows labelled clean, and a quarter of the positives, only set the scale of the scores. The three samples are
     bounded by MAX_POSITIVE, MAX_UNLABELLED and MAX_POSITIVE on average, and drawn by a hash of the id.
     """
+    bounded_batches(learn.sparkSession)
     known = learn.select("doc_id").join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", "left")
     n, n_known, n_toxic = known.agg(F.count("*"), F.count("toxic"), F.count_if(F.col("toxic") == 1)).first()
     if not n_toxic:
@@ -121,7 +122,7 @@ def scored(docs: DataFrame, model: tuple[dict, tuple], text: str = "text", thres
 
     A null or empty text gets the score of a text without any known word. Nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_FEATURES words at most
+    shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(model)  # MAX_FEATURES words at most
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
