@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -96,7 +97,7 @@ def run_to_memory(stream: DataFrame, name: str, mode: str) -> DataFrame:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
     if shared and mode == "complete":
-        writer = writer.option("checkpointLocation", f"{shared}/stream-{name}")
+        writer = writer.option("checkpointLocation", f"{shared}/stream-{name}-{uuid.uuid4().hex}")
     query = writer.start()
     query.awaitTermination()
     return spark.table(name)
