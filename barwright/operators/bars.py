@@ -102,12 +102,12 @@ def resample_bars(bars: DataFrame, width: str) -> DataFrame:
 def split_adjusted(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """Closes divided by the ratio of all splits after their day.
 
-    The splits of a symbol and its bars are laid on one time line; the product of later ratios is a running sum of logarithms.
+    The splits of a symbol and its bars are laid on one time line; the ratios after a bar are a running product.
     """
-    splits = actions.where("action_type = 'split' and ratio_from > 0 and ratio_to > 0").select("symbol", F.col("ex_date").alias("day"), F.log(F.col("ratio_from") / F.col("ratio_to")).alias("ln"), F.lit(None).cast("double").alias("close"), F.lit(0).alias("kind"))
-    line = bars.select("symbol", F.col("bar_date").alias("day"), F.lit(0.0).alias("ln"), "close", F.lit(1).alias("kind")).union(splits.select("symbol", "day", "ln", "close", "kind"))
+    splits = actions.where("action_type = 'split' and ratio_from > 0 and ratio_to > 0").select("symbol", F.col("ex_date").alias("day"), (F.col("ratio_from") / F.col("ratio_to")).alias("ratio"), F.lit(None).cast("double").alias("close"), F.lit(0).alias("kind"))
+    line = bars.select("symbol", F.col("bar_date").alias("day"), F.lit(1.0).alias("ratio"), "close", F.lit(1).alias("kind")).union(splits)
     later = Window.partitionBy("symbol").orderBy(F.desc("day"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
-    out = line.withColumn("factor", F.exp(F.sum("ln").over(later))).where("kind = 1")
+    out = line.withColumn("factor", F.product("ratio").over(later)).where("kind = 1")
     return out.select("symbol", F.col("day").alias("bar_date"), "close", "factor", (F.col("close") / F.col("factor")).alias("adjusted_close"))
 
 

@@ -155,11 +155,11 @@ def _(m):
 
 @query(
     "l8_split_adjusted_bars",
-    """select b.symbol, b.bar_date, b.close, round(coalesce(product(a.ratio_from / a.ratio_to), 1), 6) as factor, round(b.close / coalesce(product(a.ratio_from / a.ratio_to), 1), 6) as adjusted_close
+    """select b.symbol, b.bar_date, b.close, coalesce(product(a.ratio_from / a.ratio_to), 1) as factor, b.close / coalesce(product(a.ratio_from / a.ratio_to), 1) as adjusted_close
     from stock_daily b left join corporate_action a on a.symbol = b.symbol and a.action_type = 'split' and a.ex_date > b.bar_date group by b.symbol, b.bar_date, b.close""",
 )
 def _(m):
-    return bars.split_adjusted(m.stock_daily, m.corporate_action).withColumns({"factor": F.round("factor", 6), "adjusted_close": F.round("adjusted_close", 6)})
+    return bars.split_adjusted(m.stock_daily, m.corporate_action)
 
 
 @query("g1_expirations", """with n as (select underlying, count(distinct expiry) as n_expirations, coalesce(min(expiry) filter (expiry >= date '2004-03-01'), min(expiry)) as nearest from option_contract group by underlying)
