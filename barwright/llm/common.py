@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not str(spark.conf.get("spark.master", "local")).startswith("local["):
+        if spark.conf.get("spark.master", "local").partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
