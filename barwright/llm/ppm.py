@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, fold, stored, table
 
-#: Bytes of context, and the most leaves of the trie that are shipped to the executors.
+#: Bytes of context, and the most leaves of the trie, or codes with their score, that are shipped to the executors; others are joined.
 ORDER, MAX_LEAVES = 5, 6_000_000
+#: Bytes of a code whose counts every task of a join holds (256 ** SHORT at most), and about how many codes a task works on at a time.
+SHORT, CODES = 3, 250_000
 #: Word counts that are shipped to every task; words beyond these are joined.
 FREQUENT_WORDS = 50_000
 #: Texts that a task works on at a time.
@@ -42,24 +44,42 @@ def grams(streams: list[bytes], order: int = ORDER) -> np.ndarray:
     return code
 
 
+def blocks(streams: list[bytes], order: int, block: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Stretches lo:hi of the streams with their distinct codes and, for each byte, the place of its code and the number of its stream."""
+    sizes = np.fromiter(map(len, streams), np.int64, len(streams)) + 1
+    number = (np.cumsum(sizes) // block).tolist()
+    lo = 0
+    while lo < len(streams):
+        hi = lo + 1
+        while hi < len(streams) and number[hi] == number[lo]:
+            hi += 1
+        codes, where = np.unique(grams(streams[lo:hi], order), return_inverse=True)
+        yield lo, hi, codes, where, np.repeat(np.arange(hi - lo), sizes[lo:hi])
+        lo = hi
+
+
+def shorter(level: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of k bytes with their counts, from longer ones."""
+    values, where = np.unique(level[0] & np.uint64((1 << (8 * k)) - 1), return_inverse=True)
+    return values, np.bincount(where, level[1], len(values))
+
+
 class Trie:
     """Byte-context trie with the statistics of prediction by partial matching, escape method C.
 
     levels[k] holds, for contexts of k bytes, the sorted codes (context, byte) and their counts; contexts[k] the sorted contexts with
     total count, number of distinct bytes, and the count that these bytes have in the context one byte shorter (what symbol
-    exclusion takes away there).
+    exclusion takes away there). If only the leaves of some contexts are given, short holds the whole levels that these don't add up to.
     """
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER, short: list[tuple[np.ndarray, np.ndarray]] | None = None):
         order_of = np.argsort(codes)
         level = (codes[order_of].astype(np.uint64), counts[order_of].astype(np.float64))
         self.order, self.levels, self.contexts = order, [None] * (order + 1), [None] * (order + 1)
         for k in range(order, -1, -1):
             self.levels[k] = level
             if k:
-                short = level[0] & np.uint64((1 << (8 * k)) - 1)
-                values, where = np.unique(short, return_inverse=True)
-                level = (values, np.bincount(where, level[1], len(values)))
+                level = short[k - 1] if k <= len(short or []) else shorter(level, k)
         for k in range(order + 1):
             code, count = self.levels[k]
             context, first = np.unique(code >> _SYMBOL, return_index=True)
@@ -98,25 +118,13 @@ class Trie:
     def scores(self, streams: list[bytes], block: int = 1 << 20) -> np.ndarray:
         """log10 probability of each stream and its end; about `block` bytes are worked on at a time."""
         out = np.zeros(len(streams))
-        sizes = np.fromiter(map(len, streams), np.int64, len(streams)) + 1
-        number = (np.cumsum(sizes) // block).tolist()
-        lo = 0
-        while lo < len(streams):
-            hi = lo + 1
-            while hi < len(streams) and number[hi] == number[lo]:
-                hi += 1
-            codes, where = np.unique(grams(streams[lo:hi], self.order), return_inverse=True)
-            out[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), sizes[lo:hi]), self.log10(codes)[where], hi - lo)
-            lo = hi
+        for lo, hi, codes, where, owner in blocks(streams, self.order, block):
+            out[lo:hi] = np.bincount(owner, self.log10(codes)[where], hi - lo)
         return out
 
 
-def train(texts: DataFrame, text: str = "text", order: int = ORDER, max_leaves: int = MAX_LEAVES) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (context of `order` bytes, byte) of all texts with their counts: the leaves of the trie.
-
-    Counted in full on the executors; if there are more than max_leaves, the rarest counts go, one count value after the other, so that
-    what is shipped stays bounded (16 bytes a leaf). Shorter contexts are sums of these leaves.
-    """
+def code_counts(texts: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
+    """Rows (code, n): the codes (context of `order` bytes, byte) of all texts with their counts, the leaves of the trie. Stored."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -132,15 +140,68 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER, max_leaves:
         yield pd.DataFrame({"code": codes.view(np.int64), "n": counts})
 
     bounded_batches(texts.sparkSession)
-    leaves = stored(texts.select(F.col(text).alias("text")).mapInPandas(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
-    size, least = leaves.count(), 1
+    return stored(texts.select(F.col(text).alias("text")).mapInPandas(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
+
+
+def frequent_codes(counts: DataFrame, max_leaves: int = MAX_LEAVES) -> DataFrame:
+    """The rows of counts with the greatest n, max_leaves at most."""
+    size, least = counts.count(), 1
     while size > max_leaves:
         least *= 2
-        size = leaves.where(F.col("n") >= least).count()
-    kept = leaves.where(F.col("n") >= least).toArrow()
+        size = counts.where(F.col("n") >= least).count()
+    return counts.where(F.col("n") >= least)
+
+
+def train(texts: DataFrame, text: str = "text", order: int = ORDER, max_leaves: int = MAX_LEAVES) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent leaves, max_leaves at most, for a trie that is held in one place; `scored` takes all leaves of `code_counts`."""
+    kept = frequent_codes(code_counts(texts, text, order), max_leaves).toArrow()
     return kept["code"].to_numpy().view(np.uint64), kept["n"].to_numpy()
 
 
+def code_scores(leaves: DataFrame, used: DataFrame, order: int = ORDER) -> DataFrame:
+    """Rows (code, n, log): the codes of used and their n with the log10 probability under the trie of all leaves. Stored.
+
+    Codes that share their last context bytes meet in one task, which makes their longer contexts whole there; the levels of codes of
+    SHORT bytes and less are shipped.
+    """
+    spark, k = leaves.sparkSession, min(SHORT, order)
+    low = leaves.groupBy(F.col("code").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("code")).agg(F.sum("n").alias("n")).orderBy("code").toArrow()
+    levels = [(low["code"].to_numpy().astype(np.uint64), low["n"].to_numpy().astype(np.float64))]
+    for i in range(k - 1, 0, -1):
+        levels.insert(0, shorter(levels[0], i))
+    shared = spark.sparkContext.broadcast(levels)
+    both = leaves.withColumnRenamed("n", "count").join(used, "code", "full").select("code", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("n", F.lit(0)).alias("n"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), leaves.count() // CODES + 1)
+
+    def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if rows := list(batches):
+            rows = pa.Table.from_batches(rows)
+            code, count, n = rows["code"].to_numpy().view(np.uint64), rows["count"].to_numpy(), rows["n"].to_numpy()
+            trie = Trie(code[count > 0], count[count > 0], order, shared.value)
+            code, n = code[n > 0], n[n > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n), pa.array(trie.log10(code))], names=["code", "n", "log"])
+
+    context = F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << (8 * k)) - 1))
+    return stored(both.repartition(parts, context).mapInArrow(solved, "code long, n long, log double"))
+
+
+def looked_up(streams: list[bytes], values: np.ndarray, logs: np.ndarray, order: int) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
+    """Sums of the logs of each stream's codes among values (sorted), and its other codes with their counts."""
+    out, codes, counts = np.zeros(len(streams)), [[] for _ in streams], [[] for _ in streams]
+    for lo, hi, code, where, owner in blocks(streams, order):
+        at = np.minimum(np.searchsorted(values, code), max(len(values) - 1, 0))
+        seen = values[at] == code if len(values) else np.zeros(len(code), bool)
+        log = np.zeros(len(code))
+        log[seen] = logs[at[seen]]
+        out[lo:hi] = np.bincount(owner, log[where], hi - lo)
+        other = ~seen[where]
+        pairs, n = np.unique(owner[other] * len(code) + where[other], return_counts=True)
+        for i, c, m in zip((pairs // len(code) + lo).tolist(), code[pairs % len(code)].view(np.int64).tolist(), n.tolist(), strict=True):
+            codes[i].append(c)
+            counts[i].append(m)
+    return out, codes, counts
+
+
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     """Counts c of the words of all texts, null text counting as empty."""
 
@@ -157,12 +218,14 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     return texts.select(F.col(text).alias("text")).mapInPandas(counted, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def scored(docs: DataFrame, leaves: tuple[np.ndarray, np.ndarray], counts: DataFrame, n_train: int, n_ends: int, text: str = "text", order: int = ORDER) -> DataFrame:
+def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int, n_ends: int, text: str = "text", order: int = ORDER, max_leaves: int = MAX_LEAVES) -> DataFrame:
     """Replaces the text of each row by n_tokens, n_known, train_tokens, base_score and score.
 
     score is the log10 probability of the text and its end under the trie of the leaves, base_score that under smoothed word unigrams
     (end included). The FREQUENT_WORDS most frequent words are looked up in every task; only the other words of a document are joined
-    with the counts. Tasks work on a few hundred texts at a time.
+    with the counts. Up to max_leaves leaves are shipped as a trie; of more, every code's log10 probability is worked out by a join, the
+    most frequent codes of docs are looked up in every task, and the other codes of a document are joined. Both give the same score.
+    Tasks work on a few hundred texts at a time.
     """
     bounded_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c != text]
@@ -175,11 +238,18 @@ def scored(docs: DataFrame, leaves: tuple[np.ndarray, np.ndarray], counts: DataF
     frequent = counts.where(F.col("c") >= least).toArrow() if least else None  # FREQUENT_WORDS at most
     words = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist(), strict=True)) if frequent else {}
     floor = n_train + 0.5 * (vocabulary + 1)
-    shared = docs.sparkSession.sparkContext.broadcast((leaves, words))  # max_leaves and FREQUENT_WORDS
+    whole_trie = leaves.count() <= max_leaves
+    logs_of = None if whole_trie else code_scores(leaves, code_counts(docs, text, order), order)
+    shipped = (leaves if whole_trie else frequent_codes(logs_of, max_leaves).select("code", "log")).toArrow()
+    shipped = (shipped["code"].to_numpy().view(np.uint64), shipped[1].to_numpy())
+    shared = docs.sparkSession.sparkContext.broadcast((shipped, words))  # max_leaves and FREQUENT_WORDS
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaves, words = shared.value
-        trie, logs = Trie(*leaves, order), {w: log10((c + 0.5) / floor) for w, c in words.items()}
+        (values, numbers), words = shared.value
+        trie, logs = Trie(values, numbers, order) if whole_trie else None, {w: log10((c + 0.5) / floor) for w, c in words.items()}
+        if not whole_trie:
+            order_of = np.argsort(values)
+            values, numbers = values[order_of], numbers[order_of]
         end = log10((n_ends + 0.5) / floor)
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
@@ -198,16 +268,27 @@ def scored(docs: DataFrame, leaves: tuple[np.ndarray, np.ndarray], counts: DataF
                     for k, v in zip(rows, (len(tokens) + 1, n_known, part, rest, tf), strict=True):
                         rows[k].append(v)
                 arrays = [pa.array(rows["n_tokens"], pa.int64()), pa.array(rows["n_known"], pa.int64()), pa.array(rows["part"], pa.float64()), pa.array(rows["words"], pa.list_(pa.binary())), pa.array(rows["tf"], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays, pa.array(trie.scores(streams))], names=[*keep, *rows, "score"])
+                if whole_trie:
+                    part_score, codes, reps = trie.scores(streams), [[]] * len(streams), [[]] * len(streams)
+                else:
+                    part_score, codes, reps = looked_up(streams, values, numbers, order)
+                arrays += [pa.array(codes, pa.list_(pa.int64())), pa.array(reps, pa.list_(pa.int64())), pa.array(part_score)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=[*keep, *rows, "codes", "reps", "score"])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    first = docs.mapInArrow(score, f"{kept}, n_tokens long, n_known long, part double, words array<binary>, tf array<long>, score double")
+    first = docs.mapInArrow(score, f"{kept}, n_tokens long, n_known long, part double, words array<binary>, tf array<long>, codes array<long>, reps array<long>, score double")
     first = stored(first.withColumn("_row", F.monotonically_increasing_id()))
     rare = first.select("_row", F.explode(F.arrays_zip("words", "tf")).alias("r")).select("_row", F.col("r.words").alias("word"), "r.tf")
     log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(floor)))
     joined = rare.join(counts, "word", "left").groupBy("_row").agg(F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("_known"), F.sum(F.col("tf") * log).alias("_score"))
+    out = first.drop("words", "tf", "codes", "reps").join(joined, "_row", "left")
+    score = F.col("score")
+    if not whole_trie:
+        other = first.select("_row", F.explode(F.arrays_zip("codes", "reps")).alias("r")).select("_row", F.col("r.codes").alias("code"), "r.reps")
+        out = out.join(other.join(logs_of.select("code", "log"), "code").groupBy("_row").agg(F.sum(F.col("reps") * F.col("log")).alias("_more")), "_row", "left")
+        score += F.coalesce("_more", F.lit(0.0))
     n_known, base = F.col("n_known") + F.coalesce("_known", F.lit(0)), F.col("part") + F.coalesce("_score", F.lit(0.0))
-    return first.drop("words", "tf").join(joined, "_row", "left").select(*keep, "n_tokens", n_known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return out.select(*keep, "n_tokens", n_known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,5 +301,5 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = stored(word_counts(learn))
     n_ends = learn.count()
     n_train = (counts.agg(F.sum("c")).first()[0] or 0) + n_ends
-    out = scored(docs, train(learn), counts, n_train, n_ends)
+    out = scored(docs, code_counts(learn), counts, n_train, n_ends)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -147,6 +147,20 @@ def test_trie_pruning_bound(spark):
     assert len(few[0]) <= 200 < len(full[0]) and few[1].min() > 1
 
 
+@pytest.mark.parametrize("max_leaves", [0, 200])
+def test_lm_scores_beyond_the_shipped_leaves(spark, max_leaves):
+    """More leaves than are shipped change no score: rare and unseen codes are joined."""
+    texts = [*odd_texts(60)[:-1], "new WORDS here", "x " * 500, "日本 тест 🙂"]
+    docs = docs_of(spark, texts).select("doc_id", "text")
+    learn = docs.where("doc_id % 3 <> 1")
+    counts = common.stored(ppm.word_counts(learn))
+    args = (ppm.code_counts(learn), counts, 1000, learn.count())
+    want = {r["doc_id"]: r for r in ppm.scored(docs, *args).collect()}
+    got = {r["doc_id"]: r for r in ppm.scored(docs, *args, max_leaves=max_leaves).collect()}
+    assert got.keys() == want.keys() and args[0].count() > 200
+    assert all(got[i]["score"] == pytest.approx(want[i]["score"]) and got[i][:-1] == want[i][:-1] for i in want)
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(8)
     base = rng.standard_normal((120, 64))
