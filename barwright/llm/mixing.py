@@ -55,16 +55,18 @@ def permuted(i: Column, n: Column, *key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), i, turn)
 
 
-def laid_out(sized: DataFrame) -> DataFrame:
-    """Adds start, the number of words before a document in its source (rows sid, id, size).
+def laid_out(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Adds start, the number of words before a document in its source (rows sid, id, size, digest of the text).
 
-    Sums over hash buckets are added up first and then the documents within a bucket, so no source goes to one task.
+    Sums over hash buckets are added up first and then the documents within a bucket, so no source goes to one task. sizes: the same
+    rows without their texts, where those are at hand.
     """
-    rows = sized.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))
-    sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
+    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS))
+    rows = sized.withColumn("bucket", bucket)
+    sums = (rows if sizes is None else sizes.withColumn("bucket", bucket)).groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("sid", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("sid", "bucket").orderBy("id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("sid", "bucket").orderBy("id", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(offsets, ["sid", "bucket"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))).drop("bucket", "offset")
 
 
@@ -101,29 +103,53 @@ def slots(sources: DataFrame, seed: int, block: int = BLOCK, shard: int = SHARD)
     return taken.select("shard", "slot", "sid", place.alias("block"))
 
 
-def pieces(laid: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows (sid, block, id, words): the part of each document that lies in a block of its source."""
-    last = f"(start + size - 1) div {block}"
-    parts = laid.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(last))))
-    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    return parts.select("sid", "block", "row", words.alias("words"))
+def blocks(laid: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows (sid, block, parts, words): the words of a block of a source, joined by blanks, and the documents (start, id, n) they come from.
+
+    laid: sid, id, start, size, text. Every text is split once and cut at its block bounds; a block has as many parts as words at most.
+    """
+    all_words = F.array(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)))
+    numbers = F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))
+
+    def part(words: Column, b: Column) -> Column:
+        first = F.greatest(F.col("start"), b * block)
+        n = F.least(F.col("start") + F.col("size"), (b + 1) * block) - first
+        cut = F.slice(words, (first - F.col("start") + 1).cast("int"), n.cast("int"))
+        return F.struct(b.alias("block"), n.alias("n"), F.array_join(cut, " ").alias("words"))
+
+    cuts = F.flatten(F.transform(all_words, lambda words: F.transform(numbers, lambda b: part(words, b))))
+    parts = laid.where("size > 0").select("sid", "id", "start", F.explode(cuts).alias("p")).select("sid", "p.block", F.struct("start", "id", "p.n", "p.words").alias("p"))
+    whole = parts.groupBy("sid", "block").agg(F.sort_array(F.collect_list("p")).alias("p"))  # a block's parts
+    return whole.select("sid", "block", F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["id"].alias("id"), p["n"].alias("n"))).alias("parts"), F.array_join("p.words", " ").alias("words"))
+
+
+def _mixed(docs: DataFrame, id_col: str, text: str, source: str, seed: int, block: int, shard: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The laid out documents, the sources and the mix."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
+    sized = stored(texts.drop("text"))
+    sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
+    ids = sources.select(F.col("source").alias("_source"), "sid")
+    keyed = lambda rows: rows.join(F.broadcast(ids), F.col("source").eqNullSafe(F.col("_source"))).drop("source", "_source")
+    laid = laid_out(keyed(sized))
+    filled = blocks(laid_out(keyed(texts.where("size > 0")), keyed(sized)), block)
+    mix = slots(sources, seed, block, shard).join(filled, ["sid", "block"]).select("shard", "slot", "sid", "block", "parts", "words")
+    return laid, sources, stored(mix.repartition("shard").sortWithinPartitions("shard", "slot"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """The mixed corpus as rows (shard, slot, sid, block, parts, words), written with each shard in one file in the order of its slots."""
+    return _mixed(docs, id_col, text, source, seed, block, shard)[2]
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
-    """One row per document: id, size, source, source_size, target, taken.
+    """Makes and writes the mix; one row per document: id, size, source, source_size, target, taken, the words of it in the mix.
 
     Null and empty texts have size 0 and are never taken; documents with null source make up a source of their own. Rows that
     repeat an id are documents of their own. Reruns over the same rows give the same mix. No document is taken more than MOST times.
     """
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    sized = stored(sized)
-    sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
-    ids = sources.select(F.col("source").alias("_source"), "sid")
-    keyed = sized.join(ids, F.col("source").eqNullSafe(F.col("_source"))).select("id", "size", "sid")
-    laid = laid_out(keyed).withColumn("row", F.struct("id", "start"))
-    draws = slots(sources, seed, block, shard).groupBy("sid", "block").agg(F.count("*").alias("draws"))
-    taken = pieces(laid, block).join(draws, ["sid", "block"]).groupBy("sid", "row").agg(F.sum(F.col("draws") * F.col("words")).alias("taken"))
-    out = laid.join(taken, ["sid", "row"], "left").join(sources, "sid")
+    laid, sources, made = _mixed(docs, id_col, text, source, seed, block, shard)
+    taken = made.select("sid", F.explode("parts").alias("p")).groupBy("sid", F.col("p.start").alias("at")).agg(F.sum("p.n").alias("taken"))
+    out = laid.withColumn("at", F.when(F.col("size") > 0, F.col("start"))).join(taken, ["sid", "at"], "left").join(sources, "sid")
     return out.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 

@@ -40,7 +40,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each remaining document the mix takes."""
+    """Makes and writes the mix; how many words of each remaining document it takes."""
     return mixing.mixed(docs.select("doc_id", "text", "source"))
 
 
@@ -50,11 +50,19 @@ STAGES = [(f.__name__, f) for f in (language_id, simhash_near_dedup, benchmark_d
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over documents, each written and read again."""
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after all stages before the mix, each written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs)
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
     return docs
+
+
+def mixed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed corpus itself: rows (shard, slot, sid, block, parts, words)."""
+    return mixing.mix(cleaned(spark, sf_dir).select("doc_id", "text", "source"))
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order over documents."""
+    return STAGES[-1][1](spark, cleaned(spark, sf_dir), sf_dir)

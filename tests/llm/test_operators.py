@@ -219,6 +219,42 @@ def test_targets_and_mix(spark):
     assert mixing.mixed(docs_of(spark, [])).count() == 0
 
 
+def test_mix_holds_the_texts(spark):
+    """The mix is made of whole blocks of the sources' words, in its slots, and taken counts what stands in it."""
+    rng = random.Random(16)
+    texts = [None, "", *(" ".join(f"d{i}w{j}" for j in range(rng.randrange(0, 150))) for i in range(2, 122)), " \tlong " + "é " * 20000]
+    df = docs_of(spark, texts, ("a", "b", None))
+    df = df.union(df.limit(9))
+    mix = mixing.mix(df, shard=16).collect()
+    assert sorted(r["slot"] for r in mix) == list(range(len(mix))) and all(r["shard"] == r["slot"] // 16 for r in mix)
+    seen, taken = {}, collections.Counter()
+    for r in mix:
+        words, ids = r["words"].split(" "), [p["id"] for p in r["parts"] for _ in range(p["n"])]
+        assert len(words) == len(ids) <= mixing.BLOCK and seen.setdefault((r["sid"], r["block"]), words) == words
+        assert all(w in ("long", "é") if i == len(texts) - 1 else w.startswith(f"d{i}w") for w, i in zip(words, ids))
+        taken.update(ids)
+    for p in {(p["start"], r["sid"], r["block"]): p for r in mix for p in r["parts"]}.values():
+        assert texts[p["id"]]
+    whole = collections.defaultdict(list)  # the words of a document's row, from its blocks in order
+    for sid, block in sorted(seen):
+        row = next(r for r in mix if (r["sid"], r["block"]) == (sid, block))
+        at = 0
+        for p in row["parts"]:
+            whole[sid, p["start"], p["id"]].append((block, seen[sid, block][at : at + p["n"]]))
+            at += p["n"]
+    complete = 0
+    for (_, _, i), cuts in whole.items():
+        blocks_, words = [b for b, _ in cuts], [w for _, c in cuts for w in c]
+        if len(words) == len(texts[i].split()):
+            complete += 1
+            assert words == texts[i].split() and blocks_ == list(range(blocks_[0], blocks_[0] + len(blocks_)))
+    assert complete > 10
+    got = collections.Counter()
+    for r in mixing.mixed(df, shard=16).collect():
+        got[r["doc_id"]] += r["taken"]
+    assert {i: n for i, n in got.items() if n} == dict(taken)
+
+
 def test_permutations(spark):
     for n in (1, 2, 7, 64, 100):
         out = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("p")).collect()
