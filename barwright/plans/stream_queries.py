@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,12 +54,12 @@ def _(m):
 @query("k3_latest_quote_state", f"with {SQL} select contract_key, max(t) as t, arg_max(event_id, (t, event_id)) as event_id, arg_max(ev, (t, event_id)) as ev from f group by contract_key")
 def _(m):
     latest = feed.latest_quotes(_stream(m).select("contract_key", "t", "event_id", "ev"), ["t", "event_id"])
-    return feed.run_to_memory(latest, f"quotes_{uuid.uuid4().hex}", "complete")
+    return feed.run_to_files(latest, "quotes", "complete")
 
 
 @query("k4_event_log_sink", f"with {SQL} select contract_key, ev, t, event_id from f")
 def _(m):
-    return feed.run_to_memory(_stream(m).select("contract_key", "ev", "t", "event_id"), f"log_{uuid.uuid4().hex}", "append")
+    return feed.run_to_files(_stream(m).select("contract_key", "ev", "t", "event_id"), "log", "append")
 
 
 @query("k5_stream_health_metrics", f"with {SQL} select count(*) as messages, max(t) as last_t, (epoch_ms(timestamp '2024-01-31 00:00:00') - max(t)) / 1000 > 120 as stale from f")

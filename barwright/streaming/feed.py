@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -92,7 +93,7 @@ def ticks(log: DataFrame, ev: str, start_ms: int, end_ms: int) -> DataFrame:
 
 
 def run_to_memory(stream: DataFrame, name: str, mode: str) -> DataFrame:
-    """Runs a stream over what is there now and gives the table it filled."""
+    """Runs a stream over what is there now and gives the table it filled, which the driver holds: for small results."""
     spark: SparkSession = stream.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None)
     writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
@@ -101,3 +102,25 @@ def run_to_memory(stream: DataFrame, name: str, mode: str) -> DataFrame:
     query = writer.start()
     query.awaitTermination()
     return spark.table(name)
+
+
+def run_to_files(stream: DataFrame, name: str, mode: str) -> DataFrame:
+    """Runs a stream over what is there now and reads the Parquet files it wrote under spark.checkpoint.dir, where its checkpoint lies too.
+
+    In append mode the stream writes every row; in complete mode each micro-batch replaces the state that the one before wrote.
+    """
+    spark: SparkSession = stream.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if spark.conf.get("spark.master", "local").partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-stream-")
+    path = f"{shared}/stream-{name}-{uuid.uuid4().hex}"
+    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{path}/checkpoint")
+    if mode == "complete":
+        spark.createDataFrame([], stream.schema).write.parquet(f"{path}/rows")  # the state before the first micro-batch
+        writer = writer.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{path}/rows"))
+    else:
+        writer = writer.format("parquet").option("path", f"{path}/rows")
+    writer.start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")

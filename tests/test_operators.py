@@ -159,3 +159,16 @@ def test_quote_expiry_state(spark, tmp_path):
     finally:
         run.stop()
     assert [(r["t"], r["ev"], r["expired"]) for r in got][:1] == [(5, "Q", False)]
+
+
+def test_stream_results_are_files(spark, sf, tmp_path):
+    """Log and state are read from files, not from the driver's memory, also where the stream has no rows."""
+    from barwright.plans.registry import QUERIES
+    from barwright.streaming import feed
+
+    for name in ("k3_latest_quote_state", "k4_event_log_sink"):
+        assert QUERIES[name](spark, sf).inputFiles()
+    (tmp_path / "none").mkdir()
+    rows = spark.readStream.schema("a long").parquet(str(tmp_path / "none"))
+    for stream, mode in ((rows, "append"), (rows.groupBy("a").count(), "complete")):
+        assert feed.run_to_files(stream, "none", mode).count() == 0
