@@ -20,23 +20,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("lang", F.coalesce("lang", F.nullif("lang_pred", F.lit(language.UNKNOWN)))).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with a stored key _row for each row, as ids may be null or repeated."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of every near-duplicate group the document with the smallest id, once."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Keeps one row of every near-duplicate group: that with the smallest id, null ids last, of rows with that id the first.
+
+    Rows without an id and rows that repeat an id are documents of their own, which only go as near duplicates.
+    """
+    rows = keyed(docs)
+    groups = simhash.near_duplicates(rows.select("_row", "text"), "_row").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
+    kept = stored(groups.groupBy("component_id").agg(first.alias("first")).select("first._row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    found = stored(decontaminate.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    found = decontaminate.leaks(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    found = stored(found.select(F.col("doc_id").alias("_row")).distinct())
+    return rows.join(found, "_row", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; every document stays, n_chars follows its text."""
-    found = stored(secrets.secrets(docs.select("doc_id", "text", "source")).select("doc_id", "value").distinct())
-    return secrets.redacted(docs, found).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows = keyed(docs)
+    found = stored(secrets.secrets(rows.select("_row", "text", "source"), id_col="_row").select("_row", "value").distinct())
+    return secrets.redacted(rows, found, "_row").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

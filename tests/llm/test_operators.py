@@ -390,3 +390,25 @@ def test_pipeline(spark, sf):
     sizes = {r["doc_id"]: len(r["text"].split()) for r in fourth.collect()}
     out = cp.run(spark, sf).collect()
     assert {r["doc_id"] for r in out} == set(sizes) and all(r["taken"] <= 3 * r["size"] for r in out)
+
+
+def test_pipeline_null_and_repeated_ids(spark, tmp_path):
+    """Rows without an id and rows that repeat one are documents of their own in every stage."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(17)
+    text = lambda n=60: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    a, b, c, d, e, item = (text() for _ in range(6))
+    key = "AKIA" + "ABCDEFGHIJKLMNO7"
+    rows = [(None, a), (None, b), (7, c), (7, d), (3, d), (None, c), (9, e), (9, e), (None, "see " + item), (4, "see " + item + " too"), (None, f"x {key} y"), (4, text()), (4, f"z {key} {text()}")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stages = dict(cp.STAGES)
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    odd = docs.where(~F.col("text").startswith("see"))
+    want = [r for i, r in enumerate(rows) if i not in (3, 5, 7, 8, 9)]
+    assert pairs(stages["simhash_near_dedup"](spark, odd, str(tmp_path))) == sorted(want, key=str)
+    clean = [r for i, r in enumerate(rows) if i not in (8, 9)]
+    assert pairs(stages["benchmark_decontamination"](spark, docs, str(tmp_path))) == sorted(clean, key=str)
+    redacted = [(i, t.replace(key, secrets.REDACTED)) for i, t in rows]
+    assert pairs(stages["secret_scan"](spark, docs, str(tmp_path))) == sorted(redacted, key=str)
