@@ -200,6 +200,21 @@ def _(m):
     return landing.merged_pages(rows.select(F.col("user_id").alias("request"), "page_no", payload.alias("payload")), 3)
 
 
+@query(
+    "a19_merge_results",
+    """with p as (select user_id as request, event_id, row_number() over (partition by user_id order by event_id) as page_no, count(*) over (partition by user_id) as n from events)
+    select request, page_no, pos, cast(event_id as varchar) || '-' || cast(pos as varchar) as result, least(n, 10) as pages, n > 10 as truncated from p, (values (0), (1)) v(pos) where page_no <= 10""",
+)
+def _(m):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id")
+    rows = m.events.withColumns({"page_no": F.row_number().over(w.orderBy("event_id")), "n": F.count("*").over(w)})
+    results = F.array(*(F.concat(F.col("event_id").cast("string"), F.lit(f"-{i}")) for i in range(2)))
+    payload = F.to_json(F.struct(results.alias("results"), F.when(F.col("page_no") < F.col("n"), "next").alias("next_url")))
+    return landing.merged_results(rows.select(F.col("user_id").alias("request"), "page_no", payload.alias("payload")), 10)
+
+
 @query("a20_ingest_bars_rows", "select 'daily' as kind, count(*) filter (event_id % 4 = 0) as n from events union all select 'minute', count(*) filter (event_id % 4 in (1, 2)) from events union all select 'reject', count(*) filter (event_id % 4 = 3) from events")
 def _(m):
     period = F.element_at(F.array(*map(F.lit, ("1 D", "1 min", "1 hour", "9 parsecs"))), (F.col("event_id") % 4 + 1).cast("int"))

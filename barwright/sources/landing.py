@@ -27,6 +27,14 @@ def merged_pages(pages: DataFrame, max_pages: int) -> DataFrame:
     return p.groupBy("request").agg(F.count("*").alias("pages"), F.sum(F.greatest(F.size("j.results"), F.lit(0))).alias("results"), F.max_by(F.col("j.next_url"), F.struct("page_no")).isNotNull().alias("truncated"))
 
 
+def merged_results(pages: DataFrame, max_pages: int) -> DataFrame:
+    """The results of all pages of a request up to max_pages: rows (request, page_no, pos, result, pages, truncated), a page without results as one row with null pos and result."""
+    w = Window.partitionBy("request")
+    p = pages.where(F.col("page_no") <= max_pages).withColumn("j", F.from_json("payload", "results array<string>, next_url string"))
+    p = p.withColumns({"pages": F.count("*").over(w), "truncated": F.max_by(F.col("j.next_url"), F.struct("page_no")).over(w).isNotNull()})
+    return p.select("request", "page_no", "pages", "truncated", F.posexplode_outer("j.results").alias("pos", "result")).select("request", "page_no", "pos", "result", "pages", "truncated")
+
+
 def _results(pages: DataFrame, item: str, field: str = "results") -> DataFrame:
     """One row per element, with its place in the page."""
     keep = [c for c in pages.columns if c != "payload"]

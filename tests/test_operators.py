@@ -172,3 +172,12 @@ def test_stream_results_are_files(spark, sf, tmp_path):
     rows = spark.readStream.schema("a long").parquet(str(tmp_path / "none"))
     for stream, mode in ((rows, "append"), (rows.groupBy("a").count(), "complete")):
         assert feed.run_to_files(stream, "none", mode).count() == 0
+
+
+def test_merged_results(spark):
+    """Results of all pages in order; an empty page stays, and a next page beyond the limit is reported."""
+    from barwright.sources import landing
+
+    pages = [("a", 1, '{"results": ["x", "y"], "next_url": "u"}'), ("a", 2, '{"results": ["z"], "next_url": "u"}'), ("a", 3, '{"results": ["late"]}'), ("b", 1, '{"results": []}')]
+    got = landing.merged_results(spark.createDataFrame(pages, "request string, page_no int, payload string"), 2).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a", 1, 0, "x", 2, True), ("a", 1, 1, "y", 2, True), ("a", 2, 0, "z", 2, True), ("b", 1, None, None, 1, False)], key=str)
