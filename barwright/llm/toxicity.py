@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,8 +15,8 @@ from .common import bounded_batches, fold, stored, table, unit_hash
 
 #: Bounds of the training sample: confirmed toxic rows, unlabelled rows, words used as features.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 8_000, 16_000, 20_000
-#: Words whose rates in the two samples differ by fewer standard errors are no features.
-MIN_Z = 4.5
+#: Words in fewer texts, or whose rates in the two samples differ by fewer standard errors, are no features.
+MIN_COUNT, MIN_Z = 5, 4.5
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -65,31 +66,61 @@ def platt(g: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[float, float]
     return float(max(ab[0], 0.1)), float(ab[1])
 
 
-def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[str, tuple[float, ...]], tuple[float, ...]]:
-    """Word weights and biases of the classifiers, one value for each model.
-
-    learn: doc_id, text of the rows that may be learnt from; labels: doc_id, toxic. Positives are rows that a label confirms as toxic,
-    the unlabelled sample is drawn from the rows without label (from all of them if each has one). The class prior is the toxic
-    share of labelled rows. Rows labelled clean, and a quarter of the positives, only set the scale of the scores. The three samples are
-    bounded by MAX_POSITIVE, MAX_UNLABELLED and MAX_POSITIVE on average, and drawn by a hash of the id.
-    """
-    bounded_batches(learn.sparkSession)
-    known = learn.select("doc_id").join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", "left")
+def _drawn(learn: DataFrame, labels: DataFrame, models: int) -> tuple[DataFrame, float] | tuple[None, tuple[float, ...]]:
+    """Bounded sample of distinct texts (digest, kind, words) and the class prior; without any positive, None and the biases of an empty model."""
+    key, digest = F.xxhash64("doc_id", "text"), F.xxhash64("text")
+    known = learn.select("doc_id", key.alias("key"), digest.alias("digest"))
+    known = known.join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", "left")
     n, n_known, n_toxic = known.agg(F.count("*"), F.count("toxic"), F.count_if(F.col("toxic") == 1)).first()
     if not n_toxic:
-        return {}, (-30.0,) * models
-    prior = min(max(n_toxic / n_known, 1e-4), 1 - 1e-4)
-    u, free, n_clean = unit_hash(F.col("doc_id"), F.lit("sample")), n - n_known, n_known - n_toxic
-    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic").isNotNull() & ((u < MAX_POSITIVE / max(n_clean, 1)) if free else (u * 2 < 1)), "clean").otherwise("free")
+        return None, (-30.0,) * models
+    free, n_clean = n - n_known, n_known - n_toxic
+    u = unit_hash(F.col("key"), F.lit("sample"))
+    clean = F.col("toxic").isNotNull() & ((u < MAX_POSITIVE / max(n_clean, 1)) if free else (u * 2 < 1))
+    kind = F.when(F.col("toxic") == 1, "toxic").when(clean, "clean").otherwise("free")
     bound = F.when(F.col("kind") == "toxic", MAX_POSITIVE / n_toxic).when(F.col("kind") == "clean", MAX_POSITIVE / max(n_clean, 1)).otherwise(MAX_UNLABELLED / max(free or n, 1))
-    drawn = known.withColumn("kind", kind).where((u < bound) & ((F.col("kind") != "free") | F.col("toxic").isNull() | F.lit(not free))).select("doc_id", "kind")
+    usable = (F.col("kind") != "free") | F.col("toxic").isNull() | F.lit(not free)
+    drawn = known.withColumn("kind", kind).where((u < bound) & usable).groupBy("key").agg(F.max("kind").alias("kind"))  # the bounds hold for distinct keys
 
     @F.pandas_udf("array<string>")
     def distinct_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([list(set(_words((t or "").lower()))) for t in batch])
+            yield pd.Series([sorted(set(_words((t or "").lower()))) for t in batch])
+
+    rows = learn.select(key.alias("key"), digest.alias("digest"), "text").join(F.broadcast(drawn), "key")
+    texts = rows.groupBy("digest").agg(F.max("kind").alias("kind"), F.first("text").alias("text"))  # a text counts once, as toxic if any copy is
+    return stored(texts.select("digest", "kind", distinct_words("text").alias("words"))), min(max(n_toxic / n_known, 1e-4), 1 - 1e-4)
+
+
+def _word_rates(sample: DataFrame) -> DataFrame:
+    """Rows (word, p, u): in how many toxic and unlabelled texts of the sample a word occurs."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for kind in ("toxic", "free"):
+                if not (total := Counter(w for words in batch["words"][batch["kind"] == kind] for w in words)):
+                    continue
+                n = np.fromiter(total.values(), np.int64, len(total))
+                yield pd.DataFrame({"word": list(total), "p": n * (kind == "toxic"), "u": n * (kind == "free")})
 
-    sample = stored(learn.join(drawn, "doc_id").select(F.monotonically_increasing_id().alias("row"), "kind", distinct_words("text").alias("words")))
+    return sample.select("kind", "words").mapInPandas(counted, "word string, p long, u long").groupBy("word").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+
+
+def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[str, tuple[float, ...]], tuple[float, ...]]:
+    """Word weights and biases of the classifiers, one value for each model.
+
+    learn: doc_id, text of the rows that may be learnt from; labels: doc_id, toxic. Positives are rows that a label confirms as toxic,
+    the unlabelled sample is drawn from the rows without label (from all of them if each has one). The class prior is the toxic
+    share of labelled rows. Rows labelled clean, and a quarter of the positives, only set the scale of the scores. The three samples are
+    bounded by MAX_POSITIVE, MAX_UNLABELLED and MAX_POSITIVE on average, and drawn by a hash of id and text. An id with several labels
+    is toxic if one of them says so. Rows that repeat an id are rows of their own; a text that occurs more than once is in the sample
+    once, and toxic if one of its rows is. Null ids are unlabelled, null texts empty. Neither the order nor the partitions of the rows
+    matter. Without a toxic row, or without unlabelled ones, there are no weights.
+    """
+    bounded_batches(learn.sparkSession)
+    sample, prior = _drawn(learn, labels, models)
+    if sample is None:
+        return {}, prior
     of = lambda k: F.count_if(F.col("kind") == k)
     n_p, n_u = sample.agg(of("toxic"), of("free")).first()
     if not n_p or not n_u:
@@ -97,16 +128,21 @@ def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[st
     rate_p, rate_u, pooled = F.col("p") / n_p, F.col("u") / n_u, (F.col("p") + F.col("u")) / (n_p + n_u)
     z = F.abs(rate_p - rate_u) / F.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u) + 1e-12)
     clean_rate = F.greatest((rate_u - prior * rate_p) / (1 - prior), F.lit(0.0))
-    flat = sample.select("row", "kind", F.explode("words").alias("word"))
-    counts = flat.groupBy("word").agg(of("toxic").alias("p"), of("free").alias("u"))
-    counts = counts.withColumns({"z": z, "start": F.log((rate_p + 0.5 / n_p) / (clean_rate + 2 / n_u))})
-    chosen = counts.where((F.col("p") + F.col("u") >= 5) & (F.col("z") >= MIN_Z)).orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "start").toArrow().to_pandas()
-    index = sample.sparkSession.createDataFrame([(w, i) for i, w in enumerate(chosen["word"])], "word string, i int")
-    found = flat.join(F.broadcast(index), "word").groupBy("row").agg(F.collect_list("i").alias("present"))  # MAX_FEATURES at most
-    hits = sample.select("row", "kind").join(found, "row", "left").orderBy("row").toArrow().to_pandas()  # bounded sample
-    rows = [np.asarray([] if x is None else x, np.int64) for x in hits["present"]]
+    counts = _word_rates(sample).withColumns({"z": z, "start": F.log((rate_p + 0.5 / n_p) / (clean_rate + 2 / n_u))})
+    likely = counts.where((F.col("p") + F.col("u") >= MIN_COUNT) & (F.col("z") >= MIN_Z))
+    chosen = likely.orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "start").toArrow().to_pandas()
+    shared = learn.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(chosen["word"])})  # MAX_FEATURES at most
+
+    @F.pandas_udf("array<int>")
+    def present(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = shared.value
+        for batch in batches:
+            yield pd.Series([[index[w] for w in words if w in index] for words in batch])
+
+    hits = sample.select("digest", "kind", present("words").alias("present")).toArrow().sort_by("digest").to_pandas()  # bounded sample
+    rows = [np.asarray(x, np.int64) for x in hits["present"]]
     toxic, clean = (hits["kind"] == "toxic").to_numpy(), (hits["kind"] == "clean").to_numpy()
-    aside = clean | (toxic & (np.arange(len(rows)) % 4 == 3))
+    aside = clean | (toxic & (hits["digest"].to_numpy() % 4 == 3))
     used = np.flatnonzero(~aside)
     fits = []
     for seed in range(models):
@@ -120,7 +156,8 @@ def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[st
 def scored(docs: DataFrame, model: tuple[dict, tuple], text: str = "text", threshold: float = 0.3) -> DataFrame:
     """Adds score, the mean probability of the classifiers over the whole text, and predicted (score >= threshold).
 
-    A null or empty text gets the score of a text without any known word. Nothing is shuffled.
+    A null or empty text gets the score of a text without any known word; equal texts get equal scores. Columns of docs with these two
+    names are replaced, all others stay. An empty table gives no row. Nothing is shuffled.
     """
     shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(model)  # MAX_FEATURES words at most
 
@@ -131,7 +168,7 @@ def scored(docs: DataFrame, model: tuple[dict, tuple], text: str = "text", thres
         for batch in batches:
             out = np.empty(len(batch))
             for i, t in enumerate(batch):
-                found = {w for w in _words(t.lower()) if w in weights} if t else ()
+                found = weights.keys() & set(_words((t or "").lower()))
                 out[i] = _logistic(biases + sum((np.asarray(weights[w]) for w in sorted(found)), np.zeros(len(biases)))).mean()
             yield pd.Series(out)
 
