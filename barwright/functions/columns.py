@@ -74,12 +74,6 @@ def daily_anchor(ts: Column) -> Column:
     return F.to_utc_timestamp(F.date_trunc("day", F.from_utc_timestamp(ts, NEW_YORK)) + F.expr("interval 16 hours"), NEW_YORK)
 
 
-def ny_day_bounds(ts: Column, first: Column, last: Column) -> Column:
-    """Predicate on the instant itself that a New York day range implies; unlike the date expression it reaches the scan."""
-    low = F.to_utc_timestamp(first.cast("timestamp"), NEW_YORK)
-    return (ts >= low) & (ts < F.to_utc_timestamp(F.date_add(last, 1).cast("timestamp"), NEW_YORK))
-
-
 def period_label(multiplier: Column, timespan: Column) -> Column:
     return F.concat_ws(" ", multiplier.cast("string"), F.lower(timespan))
 

@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_seconds
-from .latest import n_latest, one_latest
+from .latest import n_latest
 
 
 def daily_bars(bars: DataFrame, symbols: list[str], days: int, as_of: Column) -> DataFrame:
-    """OHLCV of symbols over the days up to as_of, ascending, with their source."""
+    """OHLCV of symbols over the days up to as_of, with their source. Sort by symbol and day where an order is wanted."""
     rows = bars.where(F.col("symbol").isin(symbols) & F.col("bar_date").between(F.date_sub(as_of, days), as_of))
-    return rows.select("symbol", "bar_date", "open", "high", "low", "close", "volume", F.lit("stock_daily").alias("source")).orderBy("symbol", "bar_date")
+    return rows.select("symbol", "bar_date", "open", "high", "low", "close", "volume", F.lit("stock_daily").alias("source"))
 
 
 def daily_close(bars: DataFrame, symbol: str = "SPY") -> DataFrame:
-    return bars.where((F.col("symbol") == symbol) & F.col("close").isNotNull()).select("bar_date", "close").orderBy("bar_date")
+    return bars.where((F.col("symbol") == symbol) & F.col("close").isNotNull()).select("bar_date", "close")
 
 
 def bars_newest_first(bars: DataFrame, keys: list[str], time: str, limit: int) -> DataFrame:
@@ -78,15 +78,11 @@ def option_bars(bars: DataFrame, underlying: str, expiry: Column, since: Column,
 
 
 def option_bar_dates(bars: DataFrame) -> DataFrame:
-    return bars.select("underlying", "bar_date").distinct().orderBy("underlying", F.desc("bar_date"))
+    return bars.select("underlying", "bar_date").distinct()
 
 
 def corporate_actions(actions: DataFrame, kind: str) -> DataFrame:
-    return actions.where(F.col("action_type") == kind).orderBy("symbol", F.col("ex_date").desc_nulls_last())
-
-
-def latest_bar(bars: DataFrame) -> DataFrame:
-    return one_latest(bars.select("symbol", "bar_date", "close"), ["symbol"], ["bar_date"])
+    return actions.where(F.col("action_type") == kind)
 
 
 def resample_bars(bars: DataFrame, width: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import build_contract_key, contract_identity, is_vendor_ticker, parse_contract_key
+from ..functions.columns import build_contract_key, is_vendor_ticker, parse_contract_key
 from .latest import chain_latest, latest_per_day
 
 
@@ -48,7 +48,8 @@ def chain_eod_by_keys(requests: DataFrame, contracts: DataFrame, snapshots: Data
     from .options_analytics import with_stock
 
     found = resolve_keys(requests, contracts).select("option_ticker", "contract_key").distinct()
-    return with_stock(latest_per_day(snapshots.where(F.col("ny_date") >= since)).join(found, "option_ticker"), stock_daily)
+    asked = snapshots.where(F.col("ny_date") >= since).join(found.select("option_ticker").distinct(), "option_ticker", "left_semi")
+    return with_stock(latest_per_day(asked).join(found, "option_ticker"), stock_daily)
 
 
 def contracts_list(contracts: DataFrame) -> DataFrame:
@@ -56,10 +57,6 @@ def contracts_list(contracts: DataFrame) -> DataFrame:
     return contracts.select("option_ticker", "underlying", "expiry", "strike", "option_right", key.alias("contract_key"))
 
 
-def identified(contracts: DataFrame) -> DataFrame:
-    return contracts.withColumn("identity", contract_identity(*(F.col(c) for c in ("underlying", "expiry", "strike", "option_right"))))
-
-
 def us_equity_universe(tickers: DataFrame) -> DataFrame:
     """Active US stocks of type CS."""
     low = lambda c: F.lower(F.coalesce(c, F.lit("")))

@@ -72,6 +72,21 @@ def stock_daily_check(bars: DataFrame, watchlist: DataFrame, days: DataFrame, mi
     return both.select(F.lit("stock_daily_coverage").alias("check"), ((F.col("n") > min_symbols) & (F.col("gaps") == 0)).alias("passed"), F.col("gaps"))
 
 
+def gap_sample(symbols: DataFrame, days: DataFrame, have: DataFrame, limit: int = 50) -> DataFrame:
+    """The first missing pairs (symbol, day), for a report."""
+    return holes(symbols, days, have).orderBy("day", "symbol").limit(limit)
+
+
+def day_gaps(symbols: DataFrame, days: DataFrame, bars: DataFrame, limit: int = 120) -> DataFrame:
+    """Per symbol the expected, covered and missing days, and its first missing ones."""
+    have = bars.select("symbol", F.col("bar_date").alias("day"))
+    missing = holes(symbols, days, have).groupBy("symbol").agg(F.count("*").alias("missing_days"), F.array_sort(F.collect_list("day")).alias("all"))  # days at most
+    expected = days.agg(F.count("*").alias("expected_days"))  # one row
+    out = symbols.select("symbol").distinct().join(F.broadcast(expected)).join(missing, "symbol", "left").withColumn("missing_days", F.coalesce("missing_days", F.lit(0)))
+    dates = F.coalesce(F.slice("all", 1, limit), F.array().cast("array<date>"))
+    return out.select("symbol", "expected_days", (F.col("expected_days") - F.col("missing_days")).alias("covered_days"), "missing_days", dates.alias("missing_dates"))
+
+
 def optionable(watchlist: DataFrame, contracts: DataFrame) -> DataFrame:
     return watchlist.select("symbol").distinct().join(contracts.select(F.col("underlying").alias("symbol")), "symbol", "left_semi")
 
@@ -120,6 +135,20 @@ def inventory(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     return out
 
 
+def table_stats(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows and newest day of each table, given as name -> (table, day)."""
+    out = None
+    for name, (df, day) in tables.items():
+        row = df.agg(F.lit(name).alias("name"), F.count("*").alias("row_count"), F.max(F.col(day).cast("date")).alias("latest"))
+        out = row if out is None else out.union(row)
+    return out
+
+
+def status_summary(freshness: DataFrame, limit: int = 20) -> DataFrame:
+    """The dimensions that ran last, for a status page."""
+    return freshness.select("dimension", "last_run_at", "status", "rows_written").orderBy(F.col("last_run_at").desc_nulls_last(), "dimension").limit(limit)
+
+
 def distributions(df: DataFrame, column: str, limit: int) -> DataFrame:
     return df.where(F.trim(F.coalesce(column, F.lit(""))) != "").groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(limit)
 
@@ -160,6 +189,15 @@ def bar_quality_detail(bars: DataFrame, since: Column) -> DataFrame:
     return bars.where(F.col("bar_date") >= since).select("symbol", "bar_date", whole.alias("ohlc_complete"))
 
 
+def bar_quality_summary(bars: DataFrame, since: Column) -> DataFrame:
+    """Per symbol all rows with first and last day, and the rows since a day that are whole."""
+    whole = F.col("open").isNotNull() & F.col("high").isNotNull() & F.col("low").isNotNull() & F.col("close").isNotNull()
+    recent = F.col("bar_date") >= since
+    return bars.groupBy("symbol").agg(
+        F.count("*").alias("row_count"), F.min("bar_date").alias("min_date"), F.max("bar_date").alias("max_date"), F.count_if(recent).alias("recent_rows"), F.count_if(recent & whole).alias("recent_whole"),
+    )
+
+
 def snapshot_quality_daily(snapshots: DataFrame) -> DataFrame:
     """Per New York day: contracts, and shares in percent (1 place) with IV, all Greeks, and open interest."""
     rows = latest_per_day(snapshots)
@@ -204,3 +242,9 @@ def daily_checklist(symbols: DataFrame, day: Column, bars: DataFrame, oi: DataFr
     for part in (count(bars, "symbol", "bar_date", "daily"), count(oi, "underlying", "trade_date", "oi"), count(actions, "symbol", "ex_date", "actions")):
         out = out.join(part, "symbol", "left")
     return out.na.fill(0)
+
+
+def checklist_with_freshness(checklist: DataFrame, freshness: DataFrame, sources: dict[str, str]) -> DataFrame:
+    """The checklist one row for each source, with the state of its dimension (null where none ran); sources: column of the checklist -> dimension."""
+    long = checklist.select("symbol", F.explode(F.array(*(F.struct(F.lit(c).alias("source"), F.lit(d).alias("dimension"), F.col(c).alias("n")) for c, d in sources.items()))).alias("s"))
+    return long.select("symbol", "s.*").join(freshness.select("dimension", "status", "rows_written"), "dimension", "left")

@@ -132,6 +132,31 @@ def pcr_trend(oi: DataFrame, fallback: DataFrame, lookback_days: int) -> DataFra
     return out.withColumn("ratio", safe_ratio(F.col("put"), F.col("call"), 3))
 
 
+def pcr_volume_trend(snapshots: DataFrame, contracts: DataFrame, lookback_days: int) -> DataFrame:
+    """Put/call ratio of volume (3 places) per symbol and date within the lookback, from the newest snapshot of each contract and day."""
+    rows = newest_dates(volume_rows(snapshots, contracts), ["underlying"], min(max(lookback_days, 30), 400))
+    out = pcr_totals(rows, "day_volume", ["underlying", "trade_date"])
+    return out.withColumn("ratio", safe_ratio(F.col("put"), F.col("call"), 3))
+
+
+def chain_or_open_interest(snapshots: DataFrame, contracts: DataFrame, oi: DataFrame, fallback: Column) -> DataFrame:
+    """`chain_by_expiry` with the newest New York day of its snapshots; underlyings without contracts take open interest of the fallback date."""
+    days = chain_latest(snapshots.select("option_ticker", "snapshot_ts", "ny_date")).join(contracts.select("option_ticker", "underlying", "expiry"), "option_ticker")
+    days = days.groupBy("underlying", "expiry").agg(F.max("ny_date").alias("snap_day"))
+    chain = chain_by_expiry(snapshots, contracts).join(days, ["underlying", "expiry"], "left").withColumn("basis", F.lit("option_snapshot"))
+    rest = oi.where(F.col("trade_date") == fallback).join(contracts.select("underlying"), "underlying", "left_anti")
+    none = F.lit(0).cast("long")
+    rest = pcr_totals(rest, "open_interest", ["underlying", "expiry"]).select(
+        "underlying", "expiry", F.col("put").alias("put_oi"), F.col("call").alias("call_oi"), none.alias("put_volume"), none.alias("call_volume"), fallback.alias("snap_day"), F.lit("option_open_interest").alias("basis"),
+    )
+    return chain.unionByName(rest)
+
+
+def on_days(df: DataFrame, days: DataFrame, day: str = "trade_date") -> DataFrame:
+    """The rows of some sessions (column day), for jobs that work on several days again."""
+    return df.join(days.select(F.col("day").alias(day)), day, "left_semi")
+
+
 def chain_by_expiry(snapshots: DataFrame, contracts: DataFrame) -> DataFrame:
     """Put and call open interest and volume per underlying and expiry from the newest snapshot of each contract, zero where there is none."""
     newest = chain_latest(snapshots.select("option_ticker", "snapshot_ts", "open_interest", "day_volume"))

@@ -181,7 +181,7 @@ def _(m):
 @query("g3_oi_rows", "select option_ticker, trade_date, expiry, strike, open_interest from option_open_interest where underlying = 'UC' and trade_date >= date '2000-01-01'")
 def _(m):
     rows = m.option_open_interest.where((F.col("underlying") == "UC") & (F.col("trade_date") >= D(2000, 1, 1)))
-    return rows.select("option_ticker", "trade_date", "expiry", "strike", "open_interest").orderBy(F.desc("trade_date"), "expiry", "strike")
+    return rows.select("option_ticker", "trade_date", "expiry", "strike", "open_interest")
 
 
 def asked(m):
@@ -212,7 +212,7 @@ def _(m):
 
 @query("g6_strikes", "select distinct underlying, expiry, strike from option_contract")
 def _(m):
-    return m.option_contract.select("underlying", "expiry", "strike").distinct().orderBy("underlying", "expiry", "strike")
+    return m.option_contract.select("underlying", "expiry", "strike").distinct()
 
 
 @query("g6_expirations_yyyymmdd", "select distinct underlying, strftime(expiry, '%Y%m%d') as expiry from option_contract")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import calendar, coverage as cov, fundamentals as fun, joblog
+from ..sources import sinks
 from .bar_queries import OPTION_DAILY, UNIVERSE, option_daily
 from .registry import query
 
@@ -278,7 +279,127 @@ def _(m):
     select symbol, report_type from g where case report_type when 'income_statement' then q < 5 or a < 4 when 'balance_sheet' then q < 4 when 'cash_flow_statement' then q < 4 else last is null or last < date '1996-01-15' - 45 end""",
 )
 def _(m):
-    return fun.gaps(m.ticker, m.stock_financials.where(F.col("period_date") < D(1996, 1, 15)), D(1996, 1, 15))
+    types = ("income_statement", "balance_sheet", "cash_flow_statement", "ratios", "short_interest")
+    return fun.gaps(m.ticker, m.stock_financials.where(F.col("period_date") < D(1996, 1, 15)), D(1996, 1, 15), types)
+
+
+@query(
+    "h34_fundamentals_gaps_all",
+    """with reports as (select symbol, report_type, period_date, period_type from stock_financials union all select symbol, report_type, period_date, period_type from short_volume_reports),
+    n as (select symbol, report_type, count(*) filter (period_type = 'quarterly') as q, count(*) filter (period_type = 'annual') as a, count(*) as n, max(period_date) as last
+        from reports group by all),
+    u as (select symbol from ticker union select 'ZZZ'),
+    g as (select u.symbol, t.report_type, coalesce(q, 0) as q, coalesce(a, 0) as a, coalesce(n, 0) as n, last
+        from u cross join (select unnest(['income_statement', 'balance_sheet', 'cash_flow_statement', 'ratios', 'short_interest', 'short_volume']) as report_type) t
+        left join n on n.symbol = u.symbol and n.report_type = t.report_type)
+    select symbol, report_type from g where case report_type when 'income_statement' then q < 5 or a < 4 when 'balance_sheet' then q < 4 when 'cash_flow_statement' then q < 4
+        when 'short_volume' then n < 5 or last < date '2001-11-20' - 14 else last is null or last < date '2001-11-20' - 45 end or (report_type = 'short_volume' and last is null)""",
+)
+def _(m):
+    columns = ["symbol", "report_type", "period_date", "period_type"]
+    reports = m.stock_financials.select(*columns).union(m.short_volume_reports.select(*columns))
+    return fun.gaps(m.ticker.select("symbol").union(m.spark.createDataFrame([("ZZZ",)], "symbol string")), reports, D(2001, 11, 20))
+
+
+@query("h31_short_volume_recent", "select symbol, period_date as trade_date, data from short_volume_reports qualify row_number() over (partition by symbol order by period_date desc) <= 10")
+def _(m):
+    return fun.short_volume_recent(m.short_volume_reports, 10)
+
+
+@query(
+    "h32_short_volume_fields",
+    """select symbol, period_date as trade_date, cast(json_extract_string(data, '$.short_volume') as bigint) as short_volume,
+        cast(json_extract_string(data, '$.short_volume_ratio') as double) as short_volume_ratio, cast(json_extract_string(data, '$.total_volume') as bigint) as total_volume
+    from short_volume_reports qualify row_number() over (partition by symbol order by period_date desc) <= 20""",
+)
+def _(m):
+    return fun.short_volume_fields(m.short_volume_reports, 20)
+
+
+@query(
+    "b13_readiness_update_table",
+    """with found as (select symbol, count(*) as bar_rows, max(bar_date) as last_date, count(*) >= 240 as price_ready from stock_daily
+        where bar_date between date '2001-06-30' - 420 and date '2001-06-30' group by symbol)
+    select t.symbol, case when f.symbol is not null then f.bar_rows else -1 end as bar_rows, f.last_date, coalesce(f.price_ready, false) as price_ready, t.name as note
+    from (select symbol, name from ticker union all select 'ZZZ', 'not traded') t left join found f on f.symbol = t.symbol""",
+)
+def _(m):
+    held = m.ticker.select("symbol", "name").union(m.spark.createDataFrame([("ZZZ", "not traded")], "symbol string, name string"))
+    old = [F.lit(-1).cast("long").alias("bar_rows"), F.lit(None).cast("date").alias("last_date"), F.lit(False).alias("price_ready"), F.col("name").alias("note")]
+    return sinks.readiness_update(held.select("symbol", *old), cov.readiness(m.stock_daily, D(2001, 6, 30)), ["symbol"])
+
+
+@query(
+    "h9_gap_sample",
+    f"with {DAYS} select t.symbol, d.day from (select distinct symbol from ticker) t, days d where not exists (select 1 from stock_daily b where b.symbol = t.symbol and b.bar_date = d.day) "
+    "order by d.day, t.symbol limit 50",
+)
+def _(m):
+    return cov.gap_sample(m.ticker, days30(m), m.stock_daily.select("symbol", F.col("bar_date").alias("day")), 50)
+
+
+@query(
+    "h24_stock_day_gap_counts",
+    """with days as (select day from (select cast(unnest(generate_series(date '2000-01-01', date '2000-12-31', interval 1 day)) as date) as day) x
+        where dayofweek(day) between 1 and 5 and day not in (select holiday_date from us_market_holiday where status = 'closed')),
+    g as (select t.symbol, d.day, exists (select 1 from stock_daily b where b.symbol = t.symbol and b.bar_date = d.day) as have from (select distinct symbol from ticker) t, days d)
+    select symbol, count(*) as expected_days, count(*) filter (have) as covered_days, count(*) filter (not have) as missing_days,
+        coalesce(array_to_string((list(day order by day) filter (not have))[1:120], ' '), '') as missing_dates from g group by symbol""",
+)
+def _(m):
+    days = calendar.expected_trading_days(m.spark, m.us_market_holiday, D(2000, 1, 1), D(2000, 12, 31))
+    gaps = cov.day_gaps(m.ticker, days, m.stock_daily, 120)
+    return gaps.withColumn("missing_dates", F.array_join(F.col("missing_dates").cast("array<string>"), " "))
+
+
+@query(
+    "h22_bar_quality_summary",
+    """select symbol, count(*) as row_count, min(bar_date) as min_date, max(bar_date) as max_date, count(*) filter (bar_date >= date '2001-01-01') as recent_rows,
+        count(*) filter (bar_date >= date '2001-01-01' and open is not null and high is not null and low is not null and close is not null) as recent_whole from stock_daily group by symbol""",
+)
+def _(m):
+    return cov.bar_quality_summary(m.stock_daily, D(2001, 1, 1))
+
+
+STATS = {"stock_daily": "bar_date", "stock_financials": "period_date", "corporate_action": "ex_date", "stock_snapshot": "session_date"}
+
+
+@query("h15_sepa_stats", " union all ".join(f"select '{n}' as name, count(*) as row_count, max({d}) as latest from {n}" for n, d in STATS.items()))
+def _(m):
+    return cov.table_stats({n: (getattr(m, n), d) for n, d in STATS.items()})
+
+
+@query("h15_status_summary", "select dimension, epoch_us(last_run_at) as ran_us, status, rows_written from freshness order by last_run_at desc nulls last, dimension limit 20")
+def _(m):
+    return cov.status_summary(m.freshness).select("dimension", F.unix_micros(F.col("last_run_at").cast("timestamp")).alias("ran_us"), "status", "rows_written")
+
+
+@query(
+    "h27_daily_checklist_freshness",
+    """with c as (select t.symbol, (select count(*) from stock_daily b where b.symbol = t.symbol and b.bar_date = date '2000-03-01') as daily,
+        (select count(*) from option_open_interest o where o.underlying = t.symbol and o.trade_date = date '2000-03-01') as oi,
+        (select count(*) from corporate_action a where a.symbol = t.symbol and a.ex_date = date '2000-03-01') as actions from ticker t),
+    l as (select symbol, 'daily' as source, 'click' as dimension, daily as n from c union all select symbol, 'oi', 'error', oi from c union all select symbol, 'actions', 'none', actions from c)
+    select l.symbol, l.source, l.dimension, l.n, f.status, f.rows_written from l left join freshness f using (dimension)""",
+)
+def _(m):
+    checklist = cov.daily_checklist(m.ticker, D(2000, 3, 1), m.stock_daily, m.option_open_interest, m.corporate_action)
+    return cov.checklist_with_freshness(checklist, m.freshness, {"daily": "click", "oi": "error", "actions": "none"})
+
+
+@query(
+    "h8_vendor_gap_all",
+    """with held as (select * from stock_daily where bar_date < (select max(bar_date) from stock_daily)),
+    b as (select symbol, max(bar_date) as last_bar_date, arg_max(close, bar_date) as last_bar_close from held group by symbol)
+    select s.symbol, s.session_date, s.close as snapshot_close, b.last_bar_date, b.last_bar_close, case when b.symbol is null then 'fallback_gap' else 'vendor_gap' end as reason
+    from stock_snapshot s left join b using (symbol)
+    where s.session_date = (select max(session_date) from stock_snapshot) and s.symbol in (select symbol from ticker where upper(coalesce(instrument_type, '')) <> 'WARRANT')
+        and (b.symbol is null or (b.last_bar_date < s.session_date and abs(s.close - b.last_bar_close) >= 1e-4))""",
+)
+def _(m):
+    newest = m.stock_daily.agg(F.max("bar_date").alias("last"))
+    held = m.stock_daily.join(F.broadcast(newest)).where("bar_date < last").drop("last")  # one row
+    return cov.vendor_gap(m.stock_snapshot, held, m.ticker).select("symbol", "session_date", "snapshot_close", "last_bar_date", "last_bar_close", "reason")
 
 
 @query("i1_queue_composition", "select kind, count(*) filter (status = 'pending') as pending, count(*) filter (status = 'running') as running, count(*) as total from job_log group by kind")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import landing, sinks
+from ..sources import landing, scratch, sinks
 from .registry import query
 
 D = lambda y, m, d: F.lit(dt.date(y, m, d))
@@ -32,6 +32,26 @@ def day_ms(c: str) -> Column:
 OHLCV = "open, high, low, close, volume"
 
 
+def landed(m, rows: DataFrame, context: str) -> DataFrame:
+    """Pages written as JSON documents, one a line, in a folder for each value of a context column, and read again."""
+    path = scratch.new_folder(m.spark, "landed")
+    rows.select(context, "payload").repartition(context).write.partitionBy(context).text(path)
+    return landing.read_pages(m.spark, path, f"{context} string")
+
+
+@query("a1_landed_stock_daily", f"select symbol, bar_date, {OHLCV} from stock_daily")
+def _(m):
+    p = pages(m.stock_daily.withColumn("year", F.year("bar_date")), ["symbol", "year"], bar_item(day_ms("bar_date")), "bar_date")
+    return landing.stock_daily(landed(m, p, "symbol")).select("symbol", "bar_date", *OHLCV.split(", "))
+
+
+@query("a10_landed_option_expiration", "select distinct underlying, expiry from option_contract")
+def _(m):
+    item = F.struct(F.struct(F.col("option_ticker").alias("ticker")).alias("details"), F.struct(F.col("underlying").alias("ticker")).alias("underlying_asset"))
+    p = pages(m.option_contract, ["underlying"], item, "option_ticker")
+    return landing.option_expirations(landed(m, p, "underlying").select("payload", F.lit(dt.datetime(2024, 1, 2)).alias("fetched_at")))
+
+
 @query("a1_ingest_stock_daily", f"select symbol, bar_date, {OHLCV} from stock_daily where day(bar_date) <> 13")
 def _(m):
     t = F.when(F.day("bar_date") != 13, day_ms("bar_date"))
@@ -146,6 +166,36 @@ def _(m):
     return landing.tickers(pages(m.ticker, ["locale"], item, "symbol").drop("locale")).select("symbol", "name", "market", "locale", "instrument_type", "active", "currency", "market_cap")
 
 
+DETAIL = """select symbol, name, market, locale, 'XNAS' as primary_exchange, '000' || cast(length(name) as varchar) as cik, 'BBG' || symbol as composite_figi, '7372' as sic_code, sector, industry,
+    'https://example.com/' || symbol as homepage_url, 'About ' || name as description, instrument_type, active, 'usd' as currency, market_cap, date '1999-12-31' as list_date, 100 as total_employees from ticker"""
+
+
+def reference_item() -> Column:
+    """A reference row with all fields, some under their other names."""
+    about = {"primary_exchange": F.lit("XNAS"), "cik": F.concat(F.lit("000"), F.length("name").cast("string")), "composite_figi": F.concat(F.lit("BBG"), "symbol"), "sic_code": F.lit("7372")}
+    about |= {"homepage_url": F.concat(F.lit("https://example.com/"), "symbol"), "description": F.concat(F.lit("About "), "name"), "list_date": F.lit("1999-12-31"), "total_employees": F.lit(100)}
+    ticker = [F.when(~F.col("active"), F.lower("symbol")).alias("ticker"), F.when(F.col("active"), F.lower("symbol")).alias("symbol"), F.col("instrument_type").alias("type"), F.lit(" usd ").alias("currency_symbol")]
+    active = F.when(~F.col("active"), F.lit(False)).alias("active")
+    return F.struct("name", "market", "locale", "sector", "industry", "market_cap", active, *ticker, *(c.alias(k) for k, c in about.items()))
+
+
+def typed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("total_employees", F.col("total_employees").cast("int"))
+
+
+@query("a12_ingest_ticker_detail", DETAIL)
+def _(m):
+    """Every other document has its object under `results`."""
+    item = reference_item()
+    wrapped = F.when(F.length("symbol") % 2 == 0, F.to_json(F.struct(item.alias("results")))).otherwise(F.to_json(item))
+    return typed(landing.ticker_details(m.ticker.select(wrapped.alias("payload"))))
+
+
+@query("a12_ingest_ticker_all_columns", DETAIL)
+def _(m):
+    return typed(landing.ticker_rows(pages(m.ticker, ["market", "locale", "instrument_type"], reference_item(), "symbol").select("payload")))
+
+
 @query("a13_ingest_ticker_related", "select from_symbol, to_symbol, cast(row_number() over (partition by from_symbol order by to_symbol) - 1 as int) as rank from ticker_related")
 def _(m):
     twice = m.ticker_related.select("from_symbol", "to_symbol").withColumn("k", F.col("to_symbol"))
@@ -160,6 +210,46 @@ def _(m):
     return landing.ticker_types(p.drop("currency"))
 
 
+@query("a14_ingest_ticker_type_pages", "select instrument_type as code, market as asset_class, locale, min(symbol) as description from ticker where instrument_type is not null group by all")
+def _(m):
+    """Pages of one type and market each. The first row of a page gives the description, and the least of the pages' counts."""
+    rows = m.ticker.where("instrument_type is not null")
+    item = F.struct(F.col("instrument_type").alias("code"), F.col("market").alias("asset_class"), "locale", F.col("symbol").alias("description"))
+    return landing.ticker_types(pages(rows, ["instrument_type", "market", "locale"], item, "symbol").select("payload"))
+
+
+@query(
+    "a15_ingest_financials_all",
+    """select symbol, case report_type when 'income_statement' then 'income_statement' when 'balance_sheet' then 'balance_sheet' when 'cash_flow_statement' then 'cash_flow_statement' else 'filing' end as report_type,
+        period_date, period_type, cast(fiscal_year as bigint) as fiscal_year from stock_financials""",
+)
+def _(m):
+    body = F.create_map(F.when(F.col("report_type").isin(*landing.STATEMENTS), F.col("report_type")).otherwise("other"), F.col("data"))
+    item = F.struct(F.col("period_date").cast("string").alias("end_date"), F.col("period_type").alias("timeframe"), F.col("fiscal_year").cast("string").alias("fiscal_year"), body.alias("financials"))
+    p = pages(m.stock_financials, ["symbol", "report_type", "fiscal_year"], F.to_json(item), "period_date").select("symbol", "payload")
+    return landing.financials(p).select("symbol", "report_type", "period_date", "period_type", "fiscal_year")
+
+
+@query("a16_ingest_splits_by_symbol", "select symbol, ex_date, ratio_from, ratio_to from corporate_action where action_type = 'split'")
+def _(m):
+    item = F.struct(F.col("symbol").alias("ticker"), F.col("ex_date").cast("string").alias("execution_date"), F.col("ratio_from").alias("split_from"), F.col("ratio_to").alias("split_to"))
+    return landing.splits(pages(m.corporate_action.where("action_type = 'split'"), ["symbol"], item, "ex_date").select("payload")).select("symbol", "ex_date", "ratio_from", "ratio_to")
+
+
+@query("a17_ingest_dividends_by_symbol", "select symbol, ex_date, ex_date + 20 as payment_date, amount from corporate_action where action_type = 'dividend'")
+def _(m):
+    rows = m.corporate_action.where("action_type = 'dividend'").withColumn("year", F.year("ex_date"))
+    item = F.struct(F.col("symbol").alias("ticker"), F.col("ex_date").cast("string").alias("ex_dividend_date"), F.date_add("ex_date", 20).cast("string").alias("pay_date"), F.col("amount").alias("cash_amount"))
+    return landing.dividends(pages(rows, ["symbol", "year"], item, "ex_date").select("payload")).select("symbol", "ex_date", "payment_date", "amount")
+
+
+@query("a18_ingest_calendar_by_year", "select exchange, holiday_date, status from us_market_holiday")
+def _(m):
+    rows = m.us_market_holiday.withColumn("year", F.year("holiday_date"))
+    item = F.struct("exchange", F.col("holiday_date").cast("string").alias("date"), F.upper("status").alias("status"))
+    return landing.market_calendar(pages(rows, ["exchange", "year"], item, "holiday_date").select("payload")).select("exchange", "holiday_date", "status")
+
+
 @query("a15_ingest_financials", "select symbol, case when fiscal_year % 3 = 0 then 'filing' else 'income_statement' end as report_type, period_date, period_type, cast(fiscal_year as bigint) as fiscal_year from stock_financials where report_type = 'income_statement'")
 def _(m):
     rows = m.stock_financials.where("report_type = 'income_statement'")
@@ -223,6 +313,24 @@ def _(m):
     return counts[0].union(counts[1]).union(counts[2])
 
 
+@query(
+    "a20_bars_rows_all",
+    """with r as (select event_id, event_type as symbol, event_id % 4 as k, epoch_us(ts) // 1000 as t, value as close from events)
+    select event_id, case k when 0 then 'daily' when 3 then 'reject' else 'minute' end as kind, symbol, case k when 1 then '1 minute' when 2 then '1 hour' when 3 then '9 parsecs' end as period,
+        case when k = 0 then cast(make_timestamp(t * 1000) as date) end as bar_date, case when k in (1, 2) then t * 1000 end as t_us, close from r""",
+)
+def _(m):
+    period = F.element_at(F.array(*map(F.lit, ("1 D", "1 min", "1 hour", "9 parsecs"))), (F.col("event_id") % 4 + 1).cast("int"))
+    t = (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("long")
+    rows = m.events.select("event_id", F.col("event_type").alias("symbol"), period.alias("period"), t.alias("t"), F.col("value").alias("close"))
+    daily, minute, rejects = landing.bar_rows(rows)
+    none = {"period": F.lit(None).cast("string"), "bar_date": F.lit(None).cast("date"), "t_us": F.lit(None).cast("long")}
+    parts = (("daily", daily, {k: none[k] for k in ("period", "t_us")}), ("minute", minute.withColumn("t_us", F.unix_micros("bar_time")), {"bar_date": none["bar_date"]}), ("reject", rejects, {k: none[k] for k in ("bar_date", "t_us")}))
+    cols = ["event_id", "kind", "symbol", "period", "bar_date", "t_us", "close"]
+    out = [p.withColumns(more | {"kind": F.lit(k)}).select(*cols) for k, p, more in parts]
+    return out[0].union(out[1]).union(out[2])
+
+
 @query("a21_scan_with_predicates", "select l_orderkey, l_linenumber, l_quantity from lineitem where l_shipdate >= timestamp '2001-09-01' and l_partkey < 500")
 def _(m):
     return m.lineitem.where((F.col("l_shipdate") >= F.lit("2001-09-01").cast("timestamp_ntz")) & (F.col("l_partkey") < 500)).select("l_orderkey", "l_linenumber", "l_quantity")
@@ -282,6 +390,41 @@ def _(m):
     return sinks.replace_by_key(target, batch, "from_symbol", touched)
 
 
+@query("b6_replace_expirations", "select underlying, expiry from option_contract where underlying > 'UD' group by all union all select underlying, max(expiry) + 7 from option_contract where underlying <= 'UD' group by underlying")
+def _(m):
+    target = m.option_contract.select("underlying", "expiry").distinct()
+    batch = target.where("underlying <= 'UD'").groupBy("underlying").agg(F.date_add(F.max("expiry"), 7).alias("expiry"))
+    return sinks.replace_expirations(target, batch, batch.select("underlying"))
+
+
+@query("b8_delete_by_filter_rows", "select symbol, period, epoch_us(bar_time) as t, close from stock_minute where symbol <> 'UC'")
+def _(m):
+    return sinks.delete_bars(m.stock_minute, "UC", ["1 minute", "9 weeks"]).select("symbol", "period", F.unix_micros(F.col("bar_time").cast("timestamp")).alias("t"), "close")
+
+
+@query(
+    "b12_partitioned_upsert",
+    """select symbol, bar_date, case when year(bar_date) >= 2001 and day(bar_date) = 5 then close + 1 else close end as close, cast(year(bar_date) as varchar) as year from stock_daily
+    union all select 'NEW', date '2001-07-01', 5.0, '2001'""",
+)
+def _(m):
+    """A table laid out by years into which a batch is upserted that touches some of them."""
+    path = scratch.new_folder(m.spark, "bars")
+    rows = sinks.with_partition(m.stock_daily.select("symbol", "bar_date", "close"), "bar_date", "year")
+    rows.write.partitionBy("year").parquet(path)
+    new = m.spark.createDataFrame([("NEW", dt.date(2001, 7, 1), 5.0)], "symbol string, bar_date date, close double")
+    batch = m.stock_daily.where("year(bar_date) >= 2001 and day(bar_date) = 5").select("symbol", "bar_date", (F.col("close") + 1).alias("close")).union(new)
+    sinks.upsert_partitions(path, sinks.with_partition(batch, "bar_date", "year"), ["symbol", "bar_date", "year"], "year")
+    return m.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(rows.schema).parquet(path)
+
+
+@query("b15_first_seen", "select symbol, name, case when symbol < 'UE' then date '2020-01-01' else date '2024-01-01' end as first_seen_at, case when symbol >= 'UC' then date '2024-01-01' else date '2020-01-01' end as updated_at from ticker")
+def _(m):
+    """Rows below UE are there, those from UC on come in: a row keeps the day it was first seen on."""
+    old = m.ticker.where("symbol < 'UE'").select("symbol", "name", D(2020, 1, 1).alias("first_seen_at"), D(2020, 1, 1).alias("updated_at"))
+    return sinks.first_seen(old, m.ticker.where("symbol >= 'UC'").select("symbol", "name"), ["symbol"], D(2024, 1, 1))
+
+
 @query("b8_delete_by_filter", "select symbol, period, count(*) as n from stock_minute where symbol <> 'UC' group by all")
 def _(m):
     return sinks.delete_bars(m.stock_minute, "UC", ["1 minute", "9 weeks"]).groupBy("symbol", "period").agg(F.count("*").alias("n"))

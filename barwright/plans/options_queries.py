@@ -128,6 +128,87 @@ def _(m):
     return oa.pcr_trend(m.option_open_interest.where("underlying <> 'UA'"), oa.oi_extract(m.option_snapshot, m.option_contract), 120)
 
 
+@query(
+    "e13_pcr_trend_all",
+    """with recent as (select * from option_open_interest qualify trade_date >= max(trade_date) over (partition by underlying) - 120),
+    sums as (select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put,
+        cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint) as call from recent group by all)
+    select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums""",
+)
+def _(m):
+    return oa.pcr_trend(m.option_open_interest, oa.oi_extract(m.option_snapshot, m.option_contract), 120)
+
+
+@query(
+    "e13_pcr_trend_volume",
+    f"""with {VOLUME}, recent as (select * from vol qualify trade_date >= max(trade_date) over (partition by underlying) - 120)
+    select underlying, trade_date, put_v as put, call_v as call, case when call_v > 0 then round(cast(put_v as double) / call_v, 3) end as ratio from recent""",
+)
+def _(m):
+    return oa.pcr_volume_trend(m.option_snapshot, m.option_contract, 120)
+
+
+SESSIONS = """days as (select distinct s.ny_date as trade_date from option_snapshot s where dayofweek(s.ny_date) between 1 and 5
+    and not exists (select 1 from us_market_holiday h where h.holiday_date = s.ny_date and h.status = 'closed') order by 1 desc limit 3)"""
+
+
+def sessions(m):
+    """The last three sessions that have snapshots, column day."""
+    held = m.option_snapshot.select(F.col("ny_date").alias("day")).distinct()
+    return calendar.is_trading_day(held, m.us_market_holiday, "day").where("is_trading").orderBy(F.desc("day")).limit(3).select("day")
+
+
+@query("e11_multi_day_atm_iv", f"with {ATM_ROWS}, {ATM}, {SESSIONS} select atm.*, coalesce((call_iv + put_iv) / 2, call_iv, put_iv) as atm_iv, 'snapshot' as iv_source from atm join days using (trade_date)")
+def _(m):
+    return oa.atm_iv_daily(oa.atm_iv_rows(oa.on_days(m.option_snapshot, sessions(m), "ny_date"), m.option_contract, m.stock_daily))
+
+
+@query(
+    "e11_multi_day_pcr",
+    f"""with {VOLUME}, {SESSIONS}, oi as (select underlying, trade_date, sum(case when option_right = 'P' then open_interest else 0 end) as put,
+        sum(case when option_right = 'C' then open_interest else 0 end) as call from option_open_interest group by all),
+    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi, coalesce(put_v, 0) as total_put_volume,
+        coalesce(call_v, 0) as total_call_volume from oi full join vol using (underlying, trade_date))
+    select sums.*, case when total_call_oi > 0 then round(cast(total_put_oi as double) / total_call_oi, 6) end as pcr_oi,
+        case when total_call_volume > 0 then round(cast(total_put_volume as double) / total_call_volume, 6) end as pcr_volume
+    from sums join days using (trade_date) where total_put_oi + total_call_oi + total_put_volume + total_call_volume > 0""",
+)
+def _(m):
+    days = sessions(m)
+    return oa.pcr_daily(oa.on_days(m.option_open_interest, days), oa.on_days(m.option_snapshot, days, "ny_date"), m.option_contract)
+
+
+IV_RANK = """daily as (select symbol, trade_date, median(atm_iv) as iv, row_number() over (partition by symbol order by trade_date) as n from atm_iv group by symbol, trade_date),
+    ranked as (select d.symbol, d.trade_date, d.iv as iv_current, round(100.0 * count(*) filter (h.iv <= d.iv) / count(*), 4) as iv_percentile_1y,
+        case when max(h.iv) > min(h.iv) then round(100.0 * (d.iv - min(h.iv)) / (max(h.iv) - min(h.iv)), 4) else 50.0 end as iv_rank_1y, cast(count(*) as int) as lookback_days
+    from daily d join daily h on h.symbol = d.symbol and h.n between d.n - 251 and d.n and h.trade_date >= d.trade_date - 534 group by d.symbol, d.trade_date, d.iv)"""
+
+
+@query("e11_multi_day_iv_percentile", f"with {IV_RANK}, {SESSIONS} select ranked.* from ranked join days using (trade_date)")
+def _(m):
+    return oa.on_days(oa.iv_percentile_daily(oa.iv_rollup(m.atm_iv)), sessions(m))
+
+
+@query("e18_read_iv_percentile", f"with {IV_RANK} select * from ranked where trade_date between date '2001-06-01' - 30 and date '2001-06-01' order by trade_date desc, symbol limit 500")
+def _(m):
+    return oa.read_daily(oa.iv_percentile_daily(oa.iv_rollup(m.atm_iv)), "symbol", F.lit(dt.date(2001, 6, 1)), 30)
+
+
+@query(
+    "e18_read_pcr",
+    f"""with {VOLUME}, oi as (select underlying, trade_date, sum(case when option_right = 'P' then open_interest else 0 end) as put,
+        sum(case when option_right = 'C' then open_interest else 0 end) as call from option_open_interest group by all),
+    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi, coalesce(put_v, 0) as total_put_volume,
+        coalesce(call_v, 0) as total_call_volume from oi full join vol using (underlying, trade_date)),
+    pcr as (select *, case when total_call_oi > 0 then round(cast(total_put_oi as double) / total_call_oi, 6) end as pcr_oi,
+        case when total_call_volume > 0 then round(cast(total_put_volume as double) / total_call_volume, 6) end as pcr_volume
+        from sums where total_put_oi + total_call_oi + total_put_volume + total_call_volume > 0)
+    select * from pcr qualify trade_date = max(trade_date) over (partition by underlying) order by trade_date desc, underlying limit 500""",
+)
+def _(m):
+    return oa.read_daily(oa.pcr_daily(m.option_open_interest, m.option_snapshot, m.option_contract), "underlying")
+
+
 CHAIN = "chain as (select * from option_snapshot qualify row_number() over (partition by option_ticker order by snapshot_ts desc) = 1)"
 
 
@@ -141,9 +222,27 @@ def _(m):
     return oa.chain_by_expiry(m.option_snapshot, m.option_contract)
 
 
+@query(
+    "e14_chain_or_open_interest",
+    f"""with {CHAIN}, known as (select * from option_contract where ascii(substr(underlying, 2, 1)) % 2 = 0)
+    select c.underlying, c.expiry, cast(sum(case when c.option_right = 'P' then coalesce(s.open_interest, 0) else 0 end) as bigint) as put_oi,
+        cast(sum(case when c.option_right = 'C' then coalesce(s.open_interest, 0) else 0 end) as bigint) as call_oi,
+        cast(sum(case when c.option_right = 'P' then coalesce(s.day_volume, 0) else 0 end) as bigint) as put_volume,
+        cast(sum(case when c.option_right = 'C' then coalesce(s.day_volume, 0) else 0 end) as bigint) as call_volume, max(s.ny_date) as snap_day, 'option_snapshot' as basis
+    from known c left join chain s on s.option_ticker = c.option_ticker group by c.underlying, c.expiry
+    union all select underlying, expiry, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint), cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint),
+        0, 0, date '2001-06-01', 'option_open_interest' from option_open_interest
+    where trade_date = date '2001-06-01' and underlying not in (select underlying from known) group by underlying, expiry""",
+)
+def _(m):
+    # Half of the underlyings are withheld: theirs has to come from open interest.
+    known = m.option_contract.where(F.ascii(F.substring("underlying", 2, 1)) % 2 == 0)
+    return oa.chain_or_open_interest(m.option_snapshot, known, m.option_open_interest, F.lit(dt.date(2001, 6, 1)))
+
+
 @query("e15_atm_iv_term", "select symbol, trade_date, expiry, atm_iv from atm_iv qualify trade_date = max(trade_date) over (partition by symbol)")
 def _(m):
-    return oa.newest_dates(m.atm_iv, ["symbol"]).orderBy("symbol", "expiry")
+    return oa.newest_dates(m.atm_iv, ["symbol"])
 
 
 @query(

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..streaming import feed
 from .registry import query
 
+#: Files that a micro-batch takes at most.
+FILES = 64
 EV = {"click": "Q", "view": "AM", "purchase": "T", "error": "status"}
 
 
@@ -37,7 +39,7 @@ def _feed(m) -> DataFrame:
 
 def _stream(m) -> DataFrame:
     """The same feed as a stream over the table's files."""
-    source = m.spark.readStream.schema(m.events.schema).parquet(f"{m.dir}/events.parque[t]")
+    source = m.spark.readStream.schema(m.events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{m.dir}/events.parque[t]")
     return feed.normalized(feed.decoded(messages(source)))
 
 
@@ -62,6 +64,29 @@ def _(m):
     return feed.run_to_files(_stream(m).select("contract_key", "ev", "t", "event_id"), "log", "append")
 
 
+@query("k3_latest_quote_ttl", f"with {SQL} select distinct contract_key, false as expired from f")
+def _(m):
+    """The state that forgets by arrival; nothing expires while the stream only catches up."""
+    return feed.run_to_files(feed.latest_quotes_with_ttl(_stream(m)), "ttl", "update").select("contract_key", "expired").distinct()
+
+
+@query("k4_event_log_trimmed", f"with {SQL} select contract_key, ev, t, event_id from f order by t desc nulls last, event_id desc limit 10000")
+def _(m):
+    log = feed.run_to_files(_stream(m).select("contract_key", "ev", "t", "event_id"), "log", "append")
+    return feed.newest_kept(log, feed.LOG_LENGTH)
+
+
+@query("k5_stream_health", f"with {SQL} select count(*) as messages, max(t) as last_t, (1706659200000 - max(t)) / 1000 > 120 as stale from f")
+def _(m):
+    return feed.run_to_files(feed.health(_stream(m), F.lit(1706659200000)), "health", "complete")
+
+
+@query("k7_drop_oldest_buffer", f"with {SQL} select contract_key, t, event_id from f order by t desc nulls last, event_id desc limit 10000")
+def _(m):
+    """The table is one file and so one micro-batch, which lets its newest events through."""
+    return feed.run_to_files(_stream(m).select("contract_key", "t", "event_id"), "buffer", "append", keep=feed.BUFFER)
+
+
 @query("k5_stream_health_metrics", f"with {SQL} select count(*) as messages, max(t) as last_t, (epoch_ms(timestamp '2024-01-31 00:00:00') - max(t)) / 1000 > 120 as stale from f")
 def _(m):
     return feed.health(_feed(m), F.lit(1706659200000))

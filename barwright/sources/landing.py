@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
@@ -16,9 +16,9 @@ ROW_PERIODS = ("1 D", "1 min", "5 mins", "1 hour")
 STATEMENTS = ("income_statement", "balance_sheet", "cash_flow_statement", "comprehensive_income")
 
 
-def read_pages(spark, path: str) -> DataFrame:
-    """Pages from a folder of JSON documents, one a line."""
-    return spark.read.text(path).withColumnRenamed("value", "payload")
+def read_pages(spark: SparkSession, path: str, context: str = "") -> DataFrame:
+    """Pages from a folder of JSON documents, one a line, with the context columns (a schema string) that its partition folders name."""
+    return spark.read.schema(f"value string{', ' * bool(context)}{context}").text(path).withColumnRenamed("value", "payload")
 
 
 def merged_pages(pages: DataFrame, max_pages: int) -> DataFrame:
@@ -172,6 +172,40 @@ def tickers(pages: DataFrame) -> DataFrame:
     return rows.select(normalize_symbol(F.col("r.ticker")).alias("symbol"), "r.name", "r.market", "r.locale", F.col("r.type").alias("instrument_type"), F.coalesce("r.active", F.lit(True)).alias("active"), F.upper(F.coalesce("r.currency_name", "r.currency_symbol", "r.base_currency_symbol")).alias("currency"), "r.market_cap").where("symbol <> ''")
 
 
+#: Fields of a reference row and their columns, beside the symbol.
+TICKER_TEXT = {
+    "name": "name", "market": "market", "locale": "locale", "primary_exchange": "primary_exchange", "cik": "cik", "composite_figi": "composite_figi",
+    "sic_code": "sic_code", "sector": "sector", "industry": "industry", "homepage_url": "homepage_url", "description": "description",
+}
+
+
+def _ticker(r: str) -> list[Column]:
+    """The 18 columns of a reference row, all of whose fields were read as text."""
+    field = lambda name: F.col(f"{r}.{name}")
+    symbol = normalize_symbol(F.coalesce(F.nullif(field("ticker"), F.lit("")), field("symbol")))
+    currency = F.trim(F.coalesce(*(F.nullif(field(c), F.lit("")) for c in ("currency_name", "currency_symbol", "currency"))))
+    kind = F.coalesce(F.nullif(field("type"), F.lit("")), field("instrument_type"))
+    text = [field(k).alias(v) for k, v in TICKER_TEXT.items()]
+    active = F.coalesce(field("active").try_cast("boolean"), F.lit(True))
+    numbers = [as_float(field("market_cap")).alias("market_cap"), parse_date(field("list_date")).alias("list_date"), as_int(field("total_employees")).alias("total_employees")]
+    return [symbol.alias("symbol"), *text, kind.alias("instrument_type"), active.alias("active"), currency.alias("currency"), *numbers]
+
+
+TICKER = ", ".join(f"{k} string" for k in ("ticker", "symbol", *TICKER_TEXT, "type", "instrument_type", "active", "currency_name", "currency_symbol", "currency", "market_cap", "list_date", "total_employees"))
+
+
+def ticker_rows(pages: DataFrame) -> DataFrame:
+    """Reference rows of list pages with all 18 columns; rows without a symbol go."""
+    return _results(pages, TICKER).select(*_ticker("r")).where("symbol <> ''")
+
+
+def ticker_details(pages: DataFrame) -> DataFrame:
+    """Reference rows of detail pages, whose object stands under `results` or is the document itself."""
+    inner = F.get_json_object("payload", "$.results")
+    document = F.when(inner.startswith("{"), inner).otherwise(F.col("payload"))
+    return pages.select(F.from_json(document, TICKER).alias("r")).select(*_ticker("r")).where("symbol <> ''")
+
+
 def ticker_related(pages: DataFrame) -> DataFrame:
     """Peers with the place of their first occurrence as rank (context from_symbol)."""
     peer = normalize_symbol(F.col("r.ticker"))
@@ -224,10 +258,3 @@ def bar_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     minute = rows.where(good & (F.col("period") != "1 D")).withColumns({"period": normalize_period(F.col("period")), "bar_time": at}).drop("t")
     return daily, minute, rows.where(~F.coalesce(good, F.lit(False)))
 
-
-def number_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: as_float(F.col(c)) for c in columns})
-
-
-def expiry_rows(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, normalize_expiry(F.col(column)))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDINAL = "_ordinal"
@@ -75,6 +75,14 @@ def merge_overview(target: DataFrame, batch: DataFrame, keys: list[str], blank:
     return merged, new.select(*keys).join(target.select(*keys), keys, "left_anti")
 
 
+def replace_expirations(target: DataFrame, batch: DataFrame, underlyings: DataFrame) -> DataFrame:
+    """Expirations of the given underlyings give way to the batch's (underlying, expiry). An underlying without any in the batch is an error."""
+    empty = underlyings.select("underlying").join(batch.select("underlying"), "underlying", "left_anti").select(F.min("underlying")).first()[0]
+    if empty is not None:
+        raise ValueError(f"no expirations for {empty}")
+    return replace_by_key(target, batch, "underlying", underlyings)
+
+
 def replace_by_key(target: DataFrame, batch: DataFrame, key: str, touched: DataFrame | None = None) -> DataFrame:
     """All rows of the touched keys give way to the batch's; a touched key without rows in the batch is emptied."""
     keys = batch.select(key) if touched is None else touched.select(key)
@@ -112,6 +120,18 @@ def touch_updated_at(target: DataFrame, batch: DataFrame, key: str, now: Column,
     return target.join(hit, key, "left").withColumn(column, F.when(F.col("_hit"), now).otherwise(F.col(column))).select(*target.columns)
 
 
+def first_seen(target: DataFrame, batch: DataFrame, keys: list[str], now: Column, seen: str = "first_seen_at", stamp: str = "updated_at") -> DataFrame:
+    """Upsert in which a key keeps the time it was first seen at and is stamped anew."""
+    return upsert_update(target, batch.withColumns({seen: now, stamp: now}), keys, [c for c in (*batch.columns, stamp) if c not in (*keys, seen, ORDINAL)])
+
+
+def readiness_update(target: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the readiness table with the computed columns where their key was computed; other rows stay, and none is added."""
+    values = [c for c in found.columns if c not in keys]
+    n = found.select(*keys, *(F.col(c).alias(f"_n_{c}") for c in values), F.lit(True).alias("_hit"))
+    return target.join(n, keys, "left").select(*(F.when(F.col("_hit"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns))
+
+
 def seed_holidays(target: DataFrame, legacy: DataFrame) -> DataFrame:
     """Legacy rows (exchange, holiday_date, name, label, status): name falls back to label, status to closed."""
     rows = legacy.select("exchange", "holiday_date", F.coalesce("name", "label").alias("name"), F.coalesce("status", F.lit("closed")).alias("status"))
@@ -125,17 +145,24 @@ def with_partition(df: DataFrame, day: str, unit: str) -> DataFrame:
 
 
 def write_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Overwrites only the partitions that df holds. The contents are staged first, so df may read from path itself."""
+    """Overwrites only the partitions that df holds. The contents are staged first, so df may read from path itself; the staged copy goes."""
     spark: SparkSession = df.sparkSession
     staged = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex}"
     df.write.partitionBy(by).parquet(staged)
     fixed = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(df.schema).parquet(staged)
     fixed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
 
+def upsert_partitions(path: str, batch: DataFrame, keys: list[str], by: str, upsert: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert_update) -> None:
+    """Upserts a batch (with its partition column, which must follow from the keys) into a partitioned Parquet table.
 
-def newest_kept(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_n", rank).where(F.col("_n") <= n).drop("_n")
+    The table is joined with the batch's partitions first, which prunes its scan to them; only these partitions are written.
+    """
+    target = batch.sparkSession.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(batch.schema).parquet(path)
+    touched = target.join(batch.select(by).distinct(), by, "left_semi").select(*batch.columns)
+    write_partitions(upsert(touched, batch, keys), path, by)
 
 
 def replace_all(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import stream_contract_key
+from ..sources.scratch import new_folder
 
 MESSAGE = "ev string, sym string, t bigint, s bigint, bp double, ap double, bs bigint, `as` bigint, o double, h double, l double, c double, v double, p double, sz bigint"
+#: Events that the log keeps, and that the buffer before it holds.
+LOG_LENGTH, BUFFER = 10_000, 10_000
 #: Seconds after which a quote that was not renewed expires; seconds after which the feed is stale.
 TTL, STALE = 300, 120
 
@@ -87,40 +88,34 @@ def subscription_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return add.union(before.select("symbol").distinct().join(after.select("symbol"), "symbol", "left_anti").withColumn("action", F.lit("remove")))
 
 
+def newest_kept(rows: DataFrame, n: int, order: tuple[str, ...] = ("t", "event_id")) -> DataFrame:
+    """The newest n rows: what a log of bounded length keeps, and what a buffer that drops its oldest rows lets through."""
+    return rows.orderBy(*(F.col(c).desc_nulls_last() for c in order)).limit(n)
+
+
 def ticks(log: DataFrame, ev: str, start_ms: int, end_ms: int) -> DataFrame:
     """Logged events of a kind in a time range."""
     return log.where((F.col("ev") == ev) & F.col("t").between(start_ms, end_ms))
 
 
-def run_to_memory(stream: DataFrame, name: str, mode: str) -> DataFrame:
-    """Runs a stream over what is there now and gives the table it filled, which the driver holds: for small results."""
-    spark: SparkSession = stream.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if shared and mode == "complete":
-        writer = writer.option("checkpointLocation", f"{shared}/stream-{name}-{uuid.uuid4().hex}")
-    query = writer.start()
-    query.awaitTermination()
-    return spark.table(name)
-
-
-def run_to_files(stream: DataFrame, name: str, mode: str) -> DataFrame:
+def run_to_files(stream: DataFrame, name: str, mode: str, keep: int | None = None) -> DataFrame:
     """Runs a stream over what is there now and reads the Parquet files it wrote under spark.checkpoint.dir, where its checkpoint lies too.
 
-    In append mode the stream writes every row; in complete mode each micro-batch replaces the state that the one before wrote.
+    In append mode the stream writes every row; in complete mode each micro-batch replaces the state that the one before wrote; in update
+    mode each micro-batch adds the rows that changed. keep bounds what a micro-batch lets through: beyond it the oldest rows are dropped.
     """
     spark: SparkSession = stream.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if spark.conf.get("spark.master", "local").partition("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = tempfile.mkdtemp(prefix="spark-stream-")
-    path = f"{shared}/stream-{name}-{uuid.uuid4().hex}"
-    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{path}/checkpoint")
+    path = new_folder(spark, f"stream-{name}")
+    now = {"once": True} if mode == "update" else {"availableNow": True}  # state with timeouts never runs out of micro-batches
+    writer = stream.writeStream.outputMode(mode).trigger(**now).option("checkpointLocation", f"{path}/checkpoint")
     if mode == "complete":
         spark.createDataFrame([], stream.schema).write.parquet(f"{path}/rows")  # the state before the first micro-batch
         writer = writer.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{path}/rows"))
+    elif mode == "update" or keep:
+        spark.createDataFrame([], stream.schema).write.parquet(f"{path}/rows")
+        # A batch that is run again after a failure overwrites what it wrote before.
+        writer = writer.foreachBatch(lambda rows, batch: (newest_kept(rows, keep) if keep else rows).write.mode("overwrite").parquet(f"{path}/rows/batch={batch}"))
     else:
         writer = writer.format("parquet").option("path", f"{path}/rows")
     writer.start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(f"{path}/rows")

@@ -139,7 +139,7 @@ def test_stream_state_does_not_depend_on_batches(spark, tmp_path):
             (src / f"{i}.json").write_text("\n".join(lines[i::files]) + "\n")
         raw = spark.readStream.option("maxFilesPerTrigger", 1).text(str(src))
         q = feed.latest_quotes(feed.normalized(feed.decoded(raw)).select("contract_key", "t", "ev"), ["t"])
-        seen.append(sorted(map(str, feed.run_to_memory(q, f"latest{files}", "complete").collect())))
+        seen.append(sorted(map(str, feed.run_to_files(q, f"latest{files}", "complete").collect())))
     assert seen[0] == seen[1] and len(seen[0]) == 2
 
 
@@ -149,16 +149,16 @@ def test_quote_expiry_state(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     (src / "a.json").write_text('{"ev":"Q","sym":"O:UA240119C00100000","t":5}\n')
-    q = feed.latest_quotes_with_ttl(feed.normalized(feed.decoded(spark.readStream.text(str(src)))))
+    q = feed.latest_quotes_with_ttl(feed.normalized(feed.decoded(spark.readStream.text(str(src)))), ttl_seconds=1)
     run = q.writeStream.format("memory").queryName("ttl").outputMode("update").start()  # processing-time state keeps a stream going, so it is stopped by hand
     try:
         end = time.time() + 60
-        while time.time() < end and not spark.table("ttl").count():
+        while time.time() < end and not spark.table("ttl").where("expired").count():
             time.sleep(0.5)
         got = spark.table("ttl").collect()
     finally:
         run.stop()
-    assert [(r["t"], r["ev"], r["expired"]) for r in got][:1] == [(5, "Q", False)]
+    assert [(r["t"], r["ev"], r["expired"]) for r in got] == [(5, "Q", False), (5, "Q", True)]
 
 
 def test_stream_results_are_files(spark, sf, tmp_path):
