@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from .common import stored, table, unit_hash
 
-#: Shortest candidate, and the bound on labelled findings that the forest is fitted on.
-MIN_LENGTH, MAX_LABELLED = 12, 20_000
+#: Shortest candidate, shortest one that a credential's name precedes, and the bound on labelled findings that the forest is fitted on.
+MIN_LENGTH, NAMED_LENGTH, MAX_LABELLED = 12, 6, 20_000
+#: Words of the dictionary that come from the corpus at most, and how often one has to occur.
+DICTIONARY_SIZE, LEAST_COUNT = 20_000, 5
 #: Trees, their depth, least share of votes for a secret.
 TREES, DEPTH, LEAST = 24, 7, 0.5
 REDACTED = "[REDACTED]"
@@ -26,35 +28,63 @@ DICTIONARY = (
 #: Forms that name their issuer or their use, and forms of things that are no secrets. They label findings for the fit only.
 CERTAIN_SECRET = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35})$"
 CERTAIN_OTHER = r"^([^@]+@[^@]+\.[a-z]+|https?://.*|[0-9.:/+()-]+|[0-9]{4}-[0-9]{2}-[0-9]{2}.*|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[a-z]+([._/-][a-z]+)*[0-9]{0,4}|[A-Z]+|[^\x00-\x7f]+.*)$"
+STAND_IN = r"example|changeme|placeholder|your|xxx|\*\*\*|^<|\$\{"
 ASSIGNED_HEX = r"^[0-9a-fA-F]{16,}$"
 FEATURES = ("length", "transitions", "digit_share", "upper_share", "hex_share", "distinct_share", "symbol_share", "coverage", "key_before", "key_inside", "assigned", "quoted", "path_depth", "path_test", "previous_length", "next_length")
 
 
+def frequent_words(docs: DataFrame, text: str = "text", most: int = DICTIONARY_SIZE) -> DataFrame:
+    """Rows (word): the most frequent words of three letters or more of all texts, lower-cased, `most` at most, and DICTIONARY. Stored."""
+    words = docs.select(F.explode(F.split(F.lower(text), r"\P{L}+")).alias("word")).where(F.length("word") >= 3)
+    top = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word").limit(most).select("word")
+    fixed = docs.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, DICTIONARY))).alias("word"))
+    return stored(top.union(fixed).distinct())
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """Rows (id, path, place, value, previous, next, key, quoted): words of MIN_LENGTH or more characters with a digit, or of 16 capitals.
+    """Rows (id, path, place, word, value, previous, next, key, quoted): words of MIN_LENGTH or more characters with a digit, or of 16
+    capitals, and all words of NAMED_LENGTH or more that a credential's name precedes, in an assignment or as one of the two words before.
 
     place is the word's position in the text; value is the word without quotes and closing punctuation and, in an assignment, without
-    its key. previous holds the two words before.
+    its key. previous holds the two words before. Neighbours are taken before the words of a text become rows, so the work is linear.
     """
-    w = F.col("words")
-    words = docs.select(F.col(id_col).alias("id"), F.col(path).alias("path"), F.split(F.col(text), r"[\x20\x09-\x0D]+").alias("words")).where(F.col(text).rlike(rf"[!-~]{{{MIN_LENGTH},}}"))
-    long = F.filter(F.transform(w, lambda x, i: F.struct(i.alias("place"), x.alias("word"))), lambda s: (F.length(s["word"]) >= MIN_LENGTH) & s["word"].rlike(r"[0-9]|^[\"'(]*[A-Z]{16}"))
-    hits = words.select("id", "path", "words", F.explode(long).alias("s"))
-    at = F.col("s.place")
+    w, keyword = F.col("words"), "(" + "|".join(KEYWORDS) + ")"
+    source = docs.select(F.col(id_col).alias("id"), F.col(path).alias("path"), F.col(text).alias("text")).where(F.col("text").rlike(rf"[!-~]{{{MIN_LENGTH},}}") | F.lower("text").rlike(keyword))
+    words = source.select("id", "path", F.split("text", r"[\x20\x09-\x0D]+").alias("words"), F.lower("text").rlike(keyword).alias("named"))
     get = lambda i: F.coalesce(F.get(w, i), F.lit(""))
-    raw = F.col("s.word")
-    value = F.regexp_replace(F.regexp_replace(raw, r"^[^=]{0,40}?[=:](?=[^=/])", ""), r"^[\"'`(<\[]+|[\"'`)>\],.;:!?*&%$#]+$", "")
-    out = hits.select("id", "path", at.alias("place"), raw.alias("word"), value.alias("value"), F.lower(F.concat_ws(" ", get(at - 2), get(at - 1))).alias("previous"), F.lower(get(at + 1)).alias("next"))
-    key = F.lower(F.regexp_extract(F.col("word"), r"^([^=:]{0,40}?)[=:]", 1))
-    return out.withColumns({"key": key, "quoted": F.col("word").rlike("[\"'`]")}).where(F.length("value") >= MIN_LENGTH)
-
-
-def featured(found: DataFrame) -> DataFrame:
+    before = lambda i: F.lower(F.concat_ws(" ", get(i - 2), get(i - 1)))
+
+    def chosen(i: Column) -> Column:
+        x = get(i)
+        named = F.col("named") & (F.length(x) >= NAMED_LENGTH) & (F.lower(x).rlike(f"{keyword}[^=:]{{0,20}}[=:].{{{NAMED_LENGTH}}}") | before(i).rlike(keyword))
+        return ((F.length(x) >= MIN_LENGTH) & x.rlike(r"[0-9]|^[\"'(]*[A-Z]{16}")) | named
+
+    places = F.filter(F.sequence(F.lit(0), F.size(w) - 1), chosen)
+    struct = lambda i: F.struct(i.alias("place"), get(i).alias("word"), before(i).alias("previous"), F.lower(get(i + 1)).alias("next"))
+    hits = words.select("id", "path", F.explode(F.transform(places, struct)).alias("s")).select("id", "path", "s.*")
+    raw = F.col("word")
+    value = F.regexp_replace(F.regexp_replace(raw, r"^[^=:]{0,40}(=|:(?!//))(?=[^=/])", ""), r"^[\"'`(<\[]+|[\"'`)>\],.;:!?*&%$#]+$", "")
+    key = F.lower(F.regexp_extract(raw, r"^([^=:]{0,40})(=|:(?!//))(?=[^=/])", 1))
+    out = hits.withColumns({"value": value, "key": key, "quoted": raw.rlike("[\"'`]")})
+    named = F.col("key").rlike(keyword) | F.col("previous").rlike(keyword)
+    return out.where((F.length("value") >= MIN_LENGTH) | ((F.length("value") >= NAMED_LENGTH) & named))
+
+
+def covered(found: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Adds coverage, the share of a value's characters in words of the dictionary; a value's words are its runs of letters, cut at capitals."""
+    runs = F.array_distinct(F.regexp_extract_all(F.regexp_replace("value", r"(?<=\p{Ll})(?=\p{Lu})", " "), F.lit(r"\p{L}{3,}"), F.lit(0)))
+    rows = found.select("value").distinct().select("value", F.explode(runs).alias("run")).withColumn("word", F.lower("run"))
+    known = rows.join(F.broadcast(dictionary), "word")  # DICTIONARY_SIZE words at most
+    times = lambda v, run: (F.length(v) - F.length(F.replace(v, run, F.lit("")))).cast("long")
+    share = known.groupBy("value").agg(F.least(F.sum(times(F.col("value"), F.col("run"))) / F.length("value"), F.lit(1.0)).alias("coverage"))
+    return found.join(share, "value", "left").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
+
+
+def featured(found: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Adds the numbers that the forest sees: length, character transitions, dictionary coverage, path and neighbouring words."""
     v, n = F.col("value"), F.length("value")
     share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
     keyword = "(" + "|".join(KEYWORDS) + ")"
-    covered = n - F.length(F.regexp_replace(F.lower(v), "(" + "|".join(sorted(DICTIONARY, key=lambda x: (-len(x), x))) + ")", ""))
     path = F.lower(F.coalesce("path", F.lit("")))
     number: dict[str, Column] = {
         "length": n,
@@ -64,7 +94,6 @@ def featured(found: DataFrame) -> DataFrame:
         "hex_share": share("[0-9a-f]"),
         "distinct_share": F.size(F.array_distinct(F.split(v, ""))) / n,
         "symbol_share": share("[^A-Za-z0-9]"),
-        "coverage": covered / n,
         "key_before": F.col("previous").rlike(keyword),
         "key_inside": F.col("key").rlike(keyword),
         "assigned": F.col("previous").rlike("[=:]$") | (F.length("key") > 0),
@@ -74,19 +103,25 @@ def featured(found: DataFrame) -> DataFrame:
         "previous_length": F.length("previous"),
         "next_length": F.length("next"),
     }
-    return found.withColumns({k: c.cast("double") for k, c in number.items()})
+    return covered(found, dictionary).withColumns({k: c.cast("double") for k, c in number.items()})
 
 
 def labelled(found: DataFrame) -> DataFrame:
     """Findings with a label (1 secret, 0 not) by their form alone, where that is beyond doubt; for use where no reviewed findings exist.
 
-    A value in an issuer's format, or a hexadecimal one that a credential's name is assigned, is a secret. Addresses, numbers, dates,
-    UUIDs, plain words, and hexadecimal values without a credential's name nearby are not.
+    A value in an issuer's format, a hexadecimal one that a credential's name is assigned, and one of eight characters of several kinds that
+    a credential's name in the same word is assigned, are secrets. Stand-ins, and without a credential's name addresses, numbers, dates,
+    UUIDs, plain words and hexadecimal values are not.
     """
     keyword = "(" + "|".join(KEYWORDS) + ")"
-    named = (F.col("key_inside") == 1) | ((F.col("key_before") == 1) & (F.col("assigned") == 1))
+    inside = F.col("key_inside") == 1
+    named = inside | ((F.col("key_before") == 1) & (F.col("assigned") == 1))
     v = F.col("value")
-    label = F.when(v.rlike(CERTAIN_SECRET) | (v.rlike(ASSIGNED_HEX) & named), 1.0).when(v.rlike(CERTAIN_OTHER) | (v.rlike(ASSIGNED_HEX) & ~F.concat_ws(" ", "previous", "key", "next").rlike(keyword)), 0.0)
+    mixed = inside & (F.length(v) >= 8) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & ((F.col("transitions") * F.length(v)) >= 2)
+    near = F.concat_ws(" ", "previous", "key", "next").rlike(keyword)
+    secret = v.rlike(CERTAIN_SECRET) | (v.rlike(ASSIGNED_HEX) & named) | (mixed & ~v.rlike(CERTAIN_OTHER))
+    other = (v.rlike(CERTAIN_OTHER) & ~inside) | (v.rlike(ASSIGNED_HEX) & ~near)
+    label = F.when(F.lower(v).rlike(STAND_IN), 0.0).when(secret, 1.0).when(other, 0.0)
     return found.withColumn("label", label).where("label is not null")
 
 
@@ -111,11 +146,14 @@ def judged(found: DataFrame, findings: DataFrame) -> DataFrame:
 def secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """Rows (id, place, value, score): the candidates of all texts that the forest takes for secrets.
 
-    findings: reviewed candidates (columns of `candidates` and label); by default those that `labelled` labels. Null, empty and very long
-    texts are handled alike; a repeated row gives its findings again. Texts without candidates give no row.
+    findings: reviewed candidates (columns of `candidates` and label); by default those that `labelled` labels. Dictionary words are the
+    frequent ones of all texts. Null, empty and very long texts are handled alike; a repeated row gives its findings again, null ids stay null.
+    Texts without candidates give no row, nor does an empty table. Columns of docs other than id, text and path are ignored, so names can't clash.
+    A word is looked at as a whole: values that hold white space are not found.
     """
-    found = stored(featured(candidates(docs, id_col, text, path)))
-    known = labelled(found) if findings is None else featured(findings)
+    dictionary = frequent_words(docs, text)
+    found = stored(featured(candidates(docs, id_col, text, path), dictionary))
+    known = labelled(found) if findings is None else featured(findings, dictionary)
     return judged(found, known).where(F.col("score") >= LEAST).select(F.col("id").alias(id_col), "place", "value", "score")
 
 
