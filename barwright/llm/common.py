@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,13 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until df has no such column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def unit_hash(*cols: Column) -> Column:
     """Repeatable pseudo-random number in [0, 1) of the values."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double")) / float(1 << 53)
@@ -41,6 +50,20 @@ def bounded_batches(spark: SparkSession, rows: int = 512) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Sets a session's configuration for a while."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,11 +75,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, **options: str) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it again: cuts the lineage and survives lost executors. options: the writer's.
+
+    Spark drops the shuffle files of the write when it has ended, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 

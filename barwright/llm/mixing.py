@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from .common import WORD, stored, table
 
-#: Words of a block, slots of an output shard, hash buckets in which the documents of a source are laid out.
-BLOCK, SHARD, BUCKETS = 64, 1024, 1024
+#: Words of a block, slots of an output shard, and the number of neighbours whose sums, blocks or copies a task holds together at most.
+BLOCK, SHARD, STRETCH = 64, 1024, 4096
+#: Hash buckets in which the documents of a source are laid out at least, and about how many documents there are to a bucket beyond.
+BUCKETS, IN_BUCKET = 1024, 256
 #: A source gives at most so many times its words.
 MOST = 3
 #: Rounds of the index permutations; cells of an interval lookup.
 ROUNDS, CELLS = 10, 4096
+#: About how many slots a task draws and permutes.
+SLOTS_IN_TASK = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -55,19 +59,31 @@ def permuted(i: Column, n: Column, *key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), i, turn)
 
 
-def laid_out(sized: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    """Adds start, the number of words before a document in its source (rows sid, id, size, digest of the text).
+def summed_before(rows: DataFrame, part: str, order: str, value: str, name: str, stretch: int = STRETCH) -> DataFrame:
+    """Adds the sum of value over the rows of a part that have a smaller number `order`, in two levels, so no part goes to one task."""
+    rows = rows.withColumn("_s", F.expr(f"{order} div {stretch}"))
+    before = Window.partitionBy(part).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(part, "_s").agg(F.sum(value).alias("_n")).select(part, "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(part, "_s").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.join(sums, [part, "_s"]).withColumn(name, F.col("_before") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_s", "_before")
 
-    Sums over hash buckets are added up first and then the documents within a bucket, so no source goes to one task. sizes: the same
-    rows without their texts, where those are at hand.
+
+def laid_out(sized: DataFrame) -> DataFrame:
+    """Rows (sid, id, digest, size, copy, start) of rows (sid, id, digest of the text, size): start is the number of words before it in its source.
+
+    Rows alike in all four columns are numbered by copy and stand together. Documents are dealt to hash buckets; sums of buckets are added
+    up first, then the documents within a bucket, so neither a large source nor many copies of a row go to one task.
     """
-    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS))
-    rows = sized.withColumn("bucket", bucket)
-    sums = (rows if sizes is None else sizes.withColumn("bucket", bucket)).groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
-    before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("sid", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    alike = stored(sized.groupBy("sid", "id", "digest", "size").agg(F.count("*").alias("copies")))
+    buckets = max(BUCKETS, alike.count() // IN_BUCKET)
+    rows = alike.withColumn("bucket", F.pmod(F.xxhash64("id", "digest"), F.lit(buckets))).withColumn("n", F.col("size") * F.col("copies"))
+    offsets = summed_before(rows.groupBy("sid", "bucket").agg(F.sum("n").alias("all")), "sid", "bucket", "all", "offset").drop("all")
     within = Window.partitionBy("sid", "bucket").orderBy("id", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(offsets, ["sid", "bucket"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))).drop("bucket", "offset")
+    rows = rows.join(offsets, ["sid", "bucket"]).withColumn("first", F.col("offset") + F.coalesce(F.sum("n").over(within), F.lit(0)))
+    rows = rows.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {STRETCH}"))))
+    copy = F.explode(F.sequence(F.col("_s") * STRETCH, F.least(F.col("_s") * STRETCH + (STRETCH - 1), F.col("copies") - 1)))
+    rows = rows.select("sid", "id", "digest", "size", "first", copy.alias("copy"))
+    return rows.select("sid", "id", "digest", "size", "copy", (F.col("first") + F.col("copy") * F.col("size")).alias("start"))
 
 
 def slots(sources: DataFrame, seed: int, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
@@ -88,9 +104,10 @@ def slots(sources: DataFrame, seed: int, block: int = BLOCK, shard: int = SHARD)
     drawn = spark.range(total).select(F.col("id").alias("slot"), F.expr(f"id div {shard}").alias("shard"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(total, 1))).alias("at"))
     drawn = in_intervals(drawn, "at", plan.select("sid", "quota", "n", "lo", "hi"), total).drop("at")
     counts = drawn.groupBy("sid", "shard").agg(F.count("*").alias("c"))
-    earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = stored(counts.select("sid", "shard", "c", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("first")))
-    rank = F.row_number().over(Window.partitionBy("shard", "sid").orderBy("slot")) - 1
+    counts = stored(summed_before(counts, "sid", "shard", "c", "first").select("sid", "shard", "c", "first"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // SLOTS_IN_TASK)  # hashing takes long for its few bytes
+    drawn = drawn.repartition(parts, "sid", "shard")
+    rank = F.row_number().over(Window.partitionBy("sid", "shard").orderBy("slot")) - 1
     ranked = drawn.withColumn("rank", rank).join(counts.drop("c"), ["sid", "shard"]).withColumn("j", F.col("rank") + F.col("first")).drop("rank", "first")
     balance = plan.join(counts.groupBy("sid").agg(F.sum("c").alias("c")), "sid", "left").select("sid", "n", "quota", F.coalesce("c", F.lit(0)).alias("c"))
     over = F.sum(F.greatest(F.col("c") - F.col("quota"), F.lit(0))).over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1))
@@ -103,37 +120,65 @@ def slots(sources: DataFrame, seed: int, block: int = BLOCK, shard: int = SHARD)
     return taken.select("shard", "slot", "sid", place.alias("block"))
 
 
-def blocks(laid: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows (sid, block, parts, words): the words of a block of a source, joined by blanks, and the documents (start, id, n) they come from.
+def goals(laid: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows (sid, id, digest, goals) of laid out documents and drawn slots: where in the mix the words of a document go.
+
+    A goal is (start, block, slot). No row holds more than the goals of STRETCH blocks of one copy, or of 16 copies.
+    """
+    spread = laid.where("size > 0").withColumns({"lo": F.expr(f"start div {block}"), "hi": F.expr(f"(start + size - 1) div {block}")})
+    spread = spread.withColumn("stretch", F.explode(F.sequence(F.expr(f"lo div {STRETCH}"), F.expr(f"hi div {STRETCH}"))))
+    within = F.sequence(F.greatest("lo", F.col("stretch") * STRETCH), F.least("hi", F.col("stretch") * STRETCH + (STRETCH - 1)))
+    keep = ["sid", "id", "digest", "stretch", F.expr("copy div 16").alias("some")]
+    held = spread.select(*keep, "start", F.explode(within).alias("block"))
+    found = held.join(drawn.select("sid", "block", "slot"), ["sid", "block"])
+    return found.groupBy("sid", "id", "digest", "stretch", "some").agg(F.collect_list(F.struct("start", "block", "slot")).alias("goals")).drop("stretch", "some")
+
+
+def pieces(texts: DataFrame, aims: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows (slot, sid, at, start, id, n, words): the n words from place at of a source that stand in a slot of the mix, of the document at start.
 
-    laid: sid, id, start, size, text. Every text is split once and cut at its block bounds; a block has as many parts as words at most.
+    texts: sid, id, digest, text, each text once; aims: `goals`. A text is split once for each row of goals.
     """
     all_words = F.array(F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)))
-    numbers = F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))
 
-    def part(words: Column, b: Column) -> Column:
-        first = F.greatest(F.col("start"), b * block)
-        n = F.least(F.col("start") + F.col("size"), (b + 1) * block) - first
-        cut = F.slice(words, (first - F.col("start") + 1).cast("int"), n.cast("int"))
-        return F.struct(b.alias("block"), n.alias("n"), F.array_join(cut, " ").alias("words"))
+    def part(words: Column, g: Column) -> Column:
+        first = F.greatest(g["start"], g["block"] * block)
+        n = F.least(g["start"] + F.size(words), (g["block"] + 1) * block) - first
+        cut = F.slice(words, (first - g["start"] + 1).cast("int"), n.cast("int"))
+        return F.struct(g["slot"].alias("slot"), first.alias("at"), g["start"].alias("start"), n.alias("n"), F.array_join(cut, " ").alias("words"))
+
+    cuts = F.flatten(F.transform(all_words, lambda words: F.transform("goals", lambda g: part(words, g))))
+    other = aims.select(*(F.col(c).alias(f"_{c}") for c in ("sid", "id", "digest")), "goals")
+    joined = texts.join(other, (F.col("sid") == F.col("_sid")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    return joined.select("sid", "id", F.explode(cuts).alias("c")).select("c.slot", "sid", "c.at", "c.start", "id", "c.n", "c.words")
+
 
-    cuts = F.flatten(F.transform(all_words, lambda words: F.transform(numbers, lambda b: part(words, b))))
-    parts = laid.where("size > 0").select("sid", "id", "start", F.explode(cuts).alias("p")).select("sid", "p.block", F.struct("start", "id", "p.n", "p.words").alias("p"))
-    whole = parts.groupBy("sid", "block").agg(F.sort_array(F.collect_list("p")).alias("p"))  # a block's parts
-    return whole.select("sid", "block", F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["id"].alias("id"), p["n"].alias("n"))).alias("parts"), F.array_join("p.words", " ").alias("words"))
+def assembled(parts: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """The mix of its pieces: rows (shard, slot, sid, block, parts, words), a shard in one partition in the order of its slots.
+
+    A slot holds the words of one block, joined by blanks, and the documents (start, id, n) they come from, one for each word at most.
+    """
+    dealt = parts.repartition(F.expr(f"slot div {shard}"))
+    one = dealt.groupBy(F.expr(f"slot div {shard}").alias("shard"), "slot").agg(F.first("sid").alias("sid"), F.sort_array(F.collect_list(F.struct("at", "start", "id", "n", "words"))).alias("p"))
+    come_from = F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["id"].alias("id"), p["n"].alias("n")))
+    whole = one.select("shard", "slot", "sid", F.expr(f"p[0].at div {block}").alias("block"), come_from.alias("parts"), F.array_join("p.words", " ").alias("words"))
+    return whole.sortWithinPartitions("shard", "slot")
 
 
 def _mixed(docs: DataFrame, id_col: str, text: str, source: str, seed: int, block: int, shard: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The laid out documents, the sources and the mix."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
-    sized = stored(texts.drop("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
+    sized = stored(texts.select("id", "source", "digest", word_count(F.col("text")).alias("size")))
     sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
     ids = sources.select(F.col("source").alias("_source"), "sid")
-    keyed = lambda rows: rows.join(F.broadcast(ids), F.col("source").eqNullSafe(F.col("_source"))).drop("source", "_source")
-    laid = laid_out(keyed(sized))
-    filled = blocks(laid_out(keyed(texts.where("size > 0")), keyed(sized)), block)
-    mix = slots(sources, seed, block, shard).join(filled, ["sid", "block"]).select("shard", "slot", "sid", "block", "parts", "words")
-    return laid, sources, stored(mix.repartition("shard").sortWithinPartitions("shard", "slot"))
+    keyed = lambda rows: rows.join(ids, F.col("source").eqNullSafe(F.col("_source"))).drop("source", "_source")
+    laid = stored(laid_out(keyed(sized)))
+    once = keyed(texts.where(F.col("text").isNotNull()))
+    if laid.where("copy > 0").limit(1).count():
+        once = once.groupBy("sid", "id", "digest").agg(F.first("text").alias("text"))
+    aims = stored(goals(laid, slots(sources, seed, block, shard), block))
+    parts = stored(pieces(once, aims, block), compression="zstd")  # so that the shuffle of whole texts is over before that of their parts begins
+    return laid, sources, stored(assembled(parts, block, shard), compression="zstd")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
@@ -144,8 +189,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
 def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """Makes and writes the mix; one row per document: id, size, source, source_size, target, taken, the words of it in the mix.
 
-    Null and empty texts have size 0 and are never taken; documents with null source make up a source of their own. Rows that
-    repeat an id are documents of their own. Reruns over the same rows give the same mix. No document is taken more than MOST times.
+    Null and empty texts have size 0 and are never taken; documents with null source make up a source of their own, null ids stay null.
+    Rows that repeat an id are documents of their own. Columns of docs other than these three are ignored, so their names can't clash.
+    An empty table gives no row. Reruns over the same rows give the same mix. No document is taken more than MOST times. Sums over
+    sources run in one task, which holds dozens or thousands of sources, not millions.
     """
     laid, sources, made = _mixed(docs, id_col, text, source, seed, block, shard)
     taken = made.select("sid", F.explode("parts").alias("p")).groupBy("sid", F.col("p.start").alias("at")).agg(F.sum("p.n").alias("taken"))
