@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fold, stored, table
+from .common import bounded_batches, fold, stored, table, unused
 
 #: Bytes of context, and the most leaves of the trie, or codes with their score, that are shipped to the executors; others are joined.
 ORDER, MAX_LEAVES = 5, 6_000_000
@@ -24,6 +24,9 @@ FREQUENT_WORDS = 50_000
 SLICE = 256
 #: Byte that ends a text; white space never occurs inside words.
 END = b"\n"
+#: Columns that `scored` adds, and those that it needs on the way.
+RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+PRIVATE = ("_part", "_words", "_tf", "_codes", "_reps", "_known", "_base", "_more", "_c", "_word", "_code", "_log")
 _SYMBOL = np.uint64(8)
 
 
@@ -225,9 +228,11 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
     (end included). The FREQUENT_WORDS most frequent words are looked up in every task; only the other words of a document are joined
     with the counts. Up to max_leaves leaves are shipped as a trie; of more, every code's log10 probability is worked out by a join, the
     most frequent codes of docs are looked up in every task, and the other codes of a document are joined. Both give the same score.
-    Tasks work on a few hundred texts at a time.
+    Tasks work on a few hundred texts at a time. Null and empty texts hold the end alone; rows that repeat are scored each; an empty table
+    gives no row. Columns of docs with the names of RESULTS or PRIVATE are left out, all others stay.
     """
     bounded_batches(docs.sparkSession)
+    docs = docs.drop(*(c for c in (*RESULTS, *PRIVATE) if c != text))
     keep = [c for c in docs.columns if c != text]
     vocabulary = counts.count() + (n_ends > 0)
     held, least = 0, None
@@ -255,7 +260,7 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
             for lo in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(lo, SLICE)
                 streams = [stream(t) for t in batch.column(text).to_pylist()]
-                rows: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "part", "words", "tf")}
+                rows: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "_part", "_words", "_tf")}
                 for s in streams:
                     tokens, part, rest, tf = s.split(), end, [], []
                     for w, k in Counter(tokens).items():
@@ -267,27 +272,30 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
                     n_known = int(n_ends > 0) + len(tokens) - sum(tf)
                     for k, v in zip(rows, (len(tokens) + 1, n_known, part, rest, tf), strict=True):
                         rows[k].append(v)
-                arrays = [pa.array(rows["n_tokens"], pa.int64()), pa.array(rows["n_known"], pa.int64()), pa.array(rows["part"], pa.float64()), pa.array(rows["words"], pa.list_(pa.binary())), pa.array(rows["tf"], pa.list_(pa.int64()))]
+                arrays = [pa.array(rows["n_tokens"], pa.int64()), pa.array(rows["n_known"], pa.int64()), pa.array(rows["_part"], pa.float64()), pa.array(rows["_words"], pa.list_(pa.binary())), pa.array(rows["_tf"], pa.list_(pa.int64()))]
                 if whole_trie:
                     part_score, codes, reps = trie.scores(streams), [[]] * len(streams), [[]] * len(streams)
                 else:
                     part_score, codes, reps = looked_up(streams, values, numbers, order)
                 arrays += [pa.array(codes, pa.list_(pa.int64())), pa.array(reps, pa.list_(pa.int64())), pa.array(part_score)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=[*keep, *rows, "codes", "reps", "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=[*keep, *rows, "_codes", "_reps", "score"])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    first = docs.mapInArrow(score, f"{kept}, n_tokens long, n_known long, part double, words array<binary>, tf array<long>, codes array<long>, reps array<long>, score double")
-    first = stored(first.withColumn("_row", F.monotonically_increasing_id()))
-    rare = first.select("_row", F.explode(F.arrays_zip("words", "tf")).alias("r")).select("_row", F.col("r.words").alias("word"), "r.tf")
-    log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(floor)))
-    joined = rare.join(counts, "word", "left").groupBy("_row").agg(F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("_known"), F.sum(F.col("tf") * log).alias("_score"))
-    out = first.drop("words", "tf", "codes", "reps").join(joined, "_row", "left")
+    first = docs.mapInArrow(score, f"{kept}{', ' * bool(kept)}n_tokens long, n_known long, _part double, _words array<binary>, _tf array<long>, _codes array<long>, _reps array<long>, score double")
+    row = unused(first, "_row")
+    first = stored(first.withColumn(row, F.monotonically_increasing_id()))
+    rare = first.select(row, F.explode(F.arrays_zip("_words", "_tf")).alias("r")).select(row, F.col("r._words").alias("_word"), F.col("r._tf").alias("_tf"))
+    log = F.log10((F.coalesce("_c", F.lit(0)) + 0.5) / F.lit(float(floor)))
+    joined = rare.join(counts.select(F.col("word").alias("_word"), F.col("c").alias("_c")), "_word", "left")
+    joined = joined.groupBy(row).agg(F.sum(F.when(F.col("_c") > 0, F.col("_tf")).otherwise(0)).alias("_known"), F.sum(F.col("_tf") * log).alias("_base"))
+    out = first.drop("_words", "_tf", "_codes", "_reps").join(joined, row, "left")
     score = F.col("score")
     if not whole_trie:
-        other = first.select("_row", F.explode(F.arrays_zip("codes", "reps")).alias("r")).select("_row", F.col("r.codes").alias("code"), "r.reps")
-        out = out.join(other.join(logs_of.select("code", "log"), "code").groupBy("_row").agg(F.sum(F.col("reps") * F.col("log")).alias("_more")), "_row", "left")
+        other = first.select(row, F.explode(F.arrays_zip("_codes", "_reps")).alias("r")).select(row, F.col("r._codes").alias("_code"), F.col("r._reps").alias("_reps"))
+        known = other.join(logs_of.select(F.col("code").alias("_code"), F.col("log").alias("_log")), "_code")
+        out = out.join(known.groupBy(row).agg(F.sum(F.col("_reps") * F.col("_log")).alias("_more")), row, "left")
         score += F.coalesce("_more", F.lit(0.0))
-    n_known, base = F.col("n_known") + F.coalesce("_known", F.lit(0)), F.col("part") + F.coalesce("_score", F.lit(0.0))
+    n_known, base = F.col("n_known") + F.coalesce("_known", F.lit(0)), F.col("_part") + F.coalesce("_base", F.lit(0.0))
     return out.select(*keep, "n_tokens", n_known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
 
 
