@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, table
 
-#: Chunks whose counts a task keeps; it starts anew beyond this.
-MEMO = 400_000
+#: Chunks whose counts a task keeps, and their length at most; it starts anew beyond that number.
+MEMO, MEMO_LENGTH = 400_000, 48
 #: Characters on whose class regular-expression libraries differ; text with one of them goes to the library.
 DOUBTFUL = frozenset("\x1c\x1d\x1e\x1f\x85᠎​﻿")
 
@@ -70,7 +70,9 @@ class TokenCounter:
             if part and held and not part[0].isspace() and not held[-1].isspace():
                 n = memo.get(held)
                 if n is None:
-                    n = memo[held] = self.chunk(held)
+                    n = self.chunk(held)
+                    if len(held) <= MEMO_LENGTH:
+                        memo[held] = n
                 total += n
                 held = " " + part
             else:
@@ -81,7 +83,8 @@ class TokenCounter:
 def token_counts(docs: DataFrame, vocabulary: str, pattern: str, limit: int, text: str = "text") -> DataFrame:
     """Adds n_bytes (UTF-8), n_tokens and over_limit (n_tokens > limit) of the whole text; a null text counts as empty.
 
-    vocabulary: the tokenizer's JSON itself, so that executors need no file. Nothing is shuffled. Columns of these names are replaced.
+    vocabulary: the tokenizer's JSON itself, so that executors need no file. Nothing is shuffled: every row, repeated or not, is counted by
+    itself, and an empty table stays empty. Columns of docs with these names are replaced, all others stay.
     """
     shared = bounded_batches(docs.sparkSession).sparkContext.broadcast((vocabulary, whole_tokens(vocabulary)))  # bounded by the vocabulary
 
