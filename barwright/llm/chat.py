@@ -19,10 +19,12 @@ def rotated(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
     participant `unknown`. In a participant's view, that participant's turns are the assistant's and have mask 1; turns of the system stay the system's, and all
     others are a user's with the speaker's name; their mask is 0. Segments in order of turn (ties: role, text) make up the view's text, in which
     a segment stands at [char_start, char_end). A null text is empty. Offsets are sums over stretches of turns, then within a stretch, so that a long
-    conversation is spread over tasks. A conversation of the system alone has no view.
+    conversation is spread over tasks. A conversation of the system alone has no view. Marks of turns inside a text or a name are parted by a blank, so that
+    none can open or close a turn. Rows that repeat are turns of their own; an empty table gives no row; other columns are ignored, so names can't clash.
     """
-    name = F.coalesce(F.nullif(F.lower(F.trim(F.col(speaker))), F.lit("")), F.lit("unknown"))
-    said = turns.select(F.col(conversation).alias("conv"), F.col(turn).alias("turn"), name.alias("name"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    inert = lambda c: F.replace(F.replace(c, F.lit(OPEN), F.lit("< |")), F.lit(CLOSE), F.lit("| >"))
+    name = inert(F.coalesce(F.nullif(F.lower(F.trim(F.col(speaker))), F.lit("")), F.lit("unknown")))
+    said = turns.select(F.col(conversation).alias("conv"), F.col(turn).alias("turn"), name.alias("name"), inert(F.coalesce(F.col(text), F.lit(""))).alias("text"))
     people = said.where(F.col("name") != SYSTEM).select(F.col("conv").alias("_conv"), F.col("name").alias("perspective")).distinct()
     views = said.join(people, F.col("conv").eqNullSafe(F.col("_conv")))
     own = F.col("name") == F.col("perspective")
@@ -50,7 +52,8 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 with said as (
-    select conv_id, turn, coalesce(nullif(lower(trim(role)), ''), 'unknown') as name, coalesce(text, '') as text from conversations
+    select conv_id, turn, replace(replace(coalesce(nullif(lower(trim(role)), ''), 'unknown'), '<|', '< |'), '|>', '| >') as name,
+        replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') as text from conversations
 ), people as (select distinct conv_id, name as perspective from said where name <> 'system'
 ), views as (
     select s.conv_id, p.perspective, s.turn, s.name, s.text,
