@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, unit_hash
+from .common import stored, table, unit_hash, unused
 
 #: Shortest candidate, shortest one that a credential's name precedes, and the bound on labelled findings that the forest is fitted on.
 MIN_LENGTH, NAMED_LENGTH, MAX_LABELLED = 12, 6, 20_000
@@ -159,11 +159,12 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "d
 
 def redacted(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with every found value of a document replaced in its text by REDACTED; all rows and other columns stay."""
-    values = found.groupBy(id_col).agg(F.collect_set("value").alias("_values"))  # the secrets of one document
-    longest = F.array_sort("_values", lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)), F.when(a < b, -1).when(a > b, 1).otherwise(0)))
+    held = unused(docs, "_values")
+    values = found.groupBy(id_col).agg(F.collect_set("value").alias(held))  # the secrets of one document
+    longest = F.array_sort(held, lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)), F.when(a < b, -1).when(a > b, 1).otherwise(0)))
     clean = F.aggregate(longest, F.col(text), lambda t, v: F.replace(t, v, F.lit(REDACTED)))
     joined = docs.join(values, id_col, "left")
-    return joined.withColumn(text, F.when(F.col("_values").isNull(), F.col(text)).otherwise(clean)).select(*docs.columns)
+    return joined.withColumn(text, F.when(F.col(held).isNull(), F.col(text)).otherwise(clean)).select(*docs.columns)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
