@@ -6,54 +6,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.llm import decontaminate, language, mixing, secrets, simhash
-from barwright.llm.common import fold, stored, table
+from barwright.llm.common import fold, stored, table, unused
 
 #: A text goes if no language reaches this probability.
 LEAST_LANGUAGE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts of no known language; a missing language is filled in."""
+    """Drops texts without a letter (null and empty ones too) and texts of no known language; a missing language is filled in.
+
+    Rows that repeat, and rows with null or repeated ids, are judged each by its text. All columns, whatever their names, stay as they are
+    but lang. An empty table stays empty; where no row has a language, all texts with a letter stay.
+    """
     model = language.train(docs.where(F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(True))))
-    found = language.identified(docs.withColumnRenamed("text", "_text"), model, "_text").withColumnRenamed("_text", "text")
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)) if model.langs else found.where(F.col("text").rlike(r"\p{L}"))
-    return kept.withColumn("lang", F.coalesce("lang", F.nullif("lang_pred", F.lit(language.UNKNOWN)))).select(*docs.columns)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # so that no column of docs meets those of the model
+    if not model.langs:
+        return whole.where(F.col("doc.text").rlike(r"\p{L}")).select("doc.*")
+    found = language.identified(whole, model, "doc.text").where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE))
+    return found.withColumn("doc", F.col("doc").withField("lang", F.coalesce("doc.lang", "lang_pred"))).select("doc.*")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """docs with a stored key _row for each row, as ids may be null or repeated."""
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a stored key for each row, as ids may be null or repeated, and the key's name, which no column of docs has."""
+    key = unused(docs, "_row")
+    return stored(docs.withColumn(key, F.monotonically_increasing_id())), key
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every near-duplicate group: that with the smallest id, null ids last, of rows with that id the first.
 
-    Rows without an id and rows that repeat an id are documents of their own, which only go as near duplicates.
+    Rows without an id and rows that repeat an id are documents of their own, which only go as near duplicates. Null and empty texts are one
+    group. All columns stay as they are, and an empty table stays empty.
     """
-    rows = keyed(docs)
-    groups = simhash.near_duplicates(rows.select("_row", "text"), "_row").join(rows.select("_row", "doc_id"), "_row")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
-    kept = stored(groups.groupBy("component_id").agg(first.alias("first")).select("first._row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows, key = keyed(docs)
+    groups = simhash.near_duplicates(rows.select(key, "text"), key).join(rows.select(key, "doc_id"), key)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key))
+    kept = stored(groups.groupBy("component_id").agg(first.alias("first")).select(f"first.{key}"))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    rows = keyed(docs)
-    found = decontaminate.leaks(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
-    found = stored(found.select(F.col("doc_id").alias("_row")).distinct())
-    return rows.join(found, "_row", "left_anti").select(*docs.columns)
+    """Drops documents that hold a benchmark item; null and empty texts, and rows with null or repeated ids that hold none, stay.
+
+    All columns stay as they are. Without items, or rows, nothing goes.
+    """
+    rows, key = keyed(docs)
+    found = decontaminate.leaks(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    found = stored(found.select(F.col("doc_id").alias(key)).distinct())
+    return rows.join(found, key, "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in the texts; every document stays, n_chars follows its text."""
-    rows = keyed(docs)
-    found = stored(secrets.secrets(rows.select("_row", "text", "source"), id_col="_row").select("_row", "value").distinct())
-    return secrets.redacted(rows, found, "_row").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Replaces secrets in the texts; every row stays, n_chars follows its text, and all other columns stay as they are.
+
+    Null texts stay null with null n_chars; repeated rows are redacted alike; an empty table stays empty.
+    """
+    rows, key = keyed(docs)
+    found = stored(secrets.secrets(rows.select(key, "text", "source"), id_col=key).select(key, "value").distinct())
+    return secrets.redacted(rows, found, key).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Makes and writes the mix; how many words of each remaining document it takes."""
+    """Makes and writes the mix; how many words of each remaining document it takes.
+
+    Null and empty texts have size 0; rows with null or repeated ids are documents of their own; other columns are ignored; an empty table
+    gives no row.
+    """
     return mixing.mixed(docs.select("doc_id", "text", "source"))
 
 
