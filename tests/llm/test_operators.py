@@ -161,21 +161,38 @@ def test_lm_scores_beyond_the_shipped_leaves(spark, max_leaves):
     assert all(got[i]["score"] == pytest.approx(want[i]["score"]) and got[i][:-1] == want[i][:-1] for i in want)
 
 
-def test_embeddings(spark):
+@pytest.mark.parametrize(("crowd", "chunk"), [(64, 1024), (2, 5)])
+def test_embeddings(spark, crowd, chunk):
+    """Links, components and counts against brute force, by listed pairs and by blocks of crowded cells, whatever the scale of a vector."""
     rng = np.random.default_rng(8)
     base = rng.standard_normal((120, 64))
     near = base[:40] + rng.standard_normal((40, 64)) * 0.2
-    rows = [*base.tolist(), *near.tolist(), *base[:5].tolist(), *(base[:3] * 2).tolist(), None, [0.0] * 64, [float("nan")] * 64, [None] * 64, [1.0] * 8, [1.0] * 8, []]
+    dense = base[100] + rng.standard_normal((30, 64)) * 0.12
+    far = base[90] + rng.standard_normal(64) * 0.45  # cosine of some 0.9, not linked at any scale
+    rows = [*base.tolist(), *near.tolist(), *base[:5].tolist(), *(base[:3] * 2).tolist(), *dense.tolist(), *dense[:4].tolist()]
+    rows += [(base[10] * 1e200).tolist(), (base[11] * 1e-200).tolist(), (base[90] * 1e200).tolist(), (far * 1e200).tolist(), (far * 1e-200).tolist()]
+    rows += [None, [0.0] * 64, [float("nan")] * 64, [None] * 64, [float("inf")] * 64, [1.0] * 8, [1.0] * 8, []]
     vectors = spark.createDataFrame([(i, v, 1, "x") for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int, rep string")
     good = [i for i, v in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    unit = {i: np.array(rows[i]) / np.linalg.norm(rows[i]) for i in good}
+    scaled = {i: np.array(rows[i]) / np.abs(rows[i]).max() for i in good}
+    unit = {i: x / np.linalg.norm(x) for i, x in scaled.items()}
     pairs = [(a, b) for a, b in itertools.combinations(good, 2) if len(rows[a]) == len(rows[b]) and unit[a] @ unit[b] >= 0.95]
     degree, want = collections.Counter(x for p in pairs for x in p), roots(range(len(rows)), pairs)
-    got = {r["vec_id"]: r for r in lattice.near_duplicates(vectors).collect()}
-    assert len(pairs) > 40 and sum(r["n_links"] for r in got.values()) >= 0.95 * 2 * len(pairs)
+    got = {r["vec_id"]: r for r in lattice.near_duplicates(vectors, crowd=crowd, chunk=chunk).collect()}
+    assert len(pairs) > 400 and sum(r["n_links"] for r in got.values()) >= 0.95 * 2 * len(pairs)
     assert all(r["n_links"] <= degree[i] for i, r in got.items())
     assert sum(r["component_id"] == want[i] for i, r in got.items()) >= 0.95 * len(rows)
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(len(rows)) if i not in good)
+    other = {r["vec_id"]: r["n_links"] for r in lattice.near_duplicates(vectors, crowd=10**6).collect()}
+    assert {i: r["n_links"] for i, r in got.items()} == other  # a pair counts once, wherever it meets
+
+
+def test_embeddings_odd_tables(spark):
+    schema = "vec_id long, embedding array<double>, first string, size int, root int"
+    assert lattice.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+    rows = [(None, [1.0, 2.0]), (5, [2.0, 4.0]), (5, [-1.0, 0.5]), (5, [1.0, 2.0]), (None, None)]
+    got = lattice.near_duplicates(spark.createDataFrame([(*r, "f", 1, 2) for r in rows], schema)).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str) == sorted([(None, 2, 5), (5, 2, 5), (5, 0, 5), (5, 2, 5), (None, 0, None)], key=str)
 
 
 def test_lattice_decoding():
@@ -365,6 +382,53 @@ def test_secrets(spark):
     assert secrets.secrets(docs_of(spark, [])).count() == 0
 
 
+def test_secret_candidates(spark):
+    """Candidates against a plain search; short values and plain words are candidates where a credential's name precedes them."""
+    texts = [None, "", "password=Tr0ub4dor", "the passphrase token is horsebattery now", "secret: short1", "pwd=abc", "policy words only", 'api_key="abc_DEF"', "see https://example.com/a1b2c3d4 or mail"]
+    got = collections.defaultdict(list)
+    for r in secrets.candidates(docs_of(spark, texts)).collect():
+        got[r["id"]].append((r["value"], r["previous"], r["next"], r["key"]))
+    assert sorted(got) == [2, 3, 4, 7, 8]
+    assert got[2] == [("Tr0ub4dor", " ", "", "password")] and got[4] == [("short1", " secret:", "", "")] and got[7] == [("abc_DEF", " ", "", "api_key")]
+    assert [v for v, *_ in got[3]] == ["horsebattery"] and got[8][0][:3] == ("https://example.com/a1b2c3d4", " see", "or")
+    rng = random.Random(18)
+    words = [rng.choice(["a", "bb", "password", "token=", "x1" * rng.randrange(1, 9), "plainword", "A" * 17, "k=v2v2v2v2v2v2"]) for _ in range(3000)]
+    keyword = lambda x: any(k in x.lower() for k in secrets.KEYWORDS)
+    want = []
+    for i, x in enumerate(words):
+        named = len(x) >= 6 and (keyword(" ".join(words[max(i - 2, 0) : i])) or ("=" in x and keyword(x.split("=")[0]) and len(x.split("=")[1]) >= 6))
+        v = x.partition("=")[2] or x if x.startswith("k=") else x
+        if (len(x) >= 12 and (any(map(str.isdigit, x)) or x.startswith("A" * 16))) or named:
+            if len(v) >= 12 or (len(v) >= 6 and named):
+                want.append((i, v))
+    found = secrets.candidates(docs_of(spark, [" ".join(words)])).select("place", "value").collect()
+    assert sorted(map(tuple, found)) == want
+
+
+def test_secrets_from_reviewed_findings(spark):
+    """Findings passed in decide: here letters-only values behind a name are secrets, and long digit strings are not."""
+    rng = random.Random(19)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    texts = [f"use passphrase password={letters(14)} here" if i % 2 else f"order number {rng.randrange(10**14, 10**15)} came" for i in range(200)]
+    df = docs_of(spark, texts)
+    reviewed = secrets.candidates(df).where("id < 100").withColumn("label", F.col("value").rlike("[a-z]").cast("double"))
+    got = {r["doc_id"]: r["value"] for r in secrets.secrets(df, reviewed).collect()}
+    assert got == {i: t.split("=")[1].split()[0] for i, t in enumerate(texts) if i % 2}
+
+
+def test_secrets_odd_rows(spark):
+    """Repeated rows and null ids give their findings again; clashing columns are left alone."""
+    key = "AKIA" + "ABCDEFGHIJKLMNO7"
+    rows = [(None, f"a {key} b", "v"), (3, f"a {key} b", "v"), (3, f"a {key} b", "v"), (4, "plain", "v"), (5, None, "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, value string").withColumns({"source": F.lit(None).cast("string"), "score": F.lit("s"), "words": F.lit(1)})
+    extra = docs_of(spark, [f"text with {i} 10.20.30.{100 + i}:8080 and password={i}a{'f0' * 12}" for i in range(60)]).select("doc_id", "text", F.lit("v").alias("value"), "source", "score", F.lit(1).alias("words"))
+    found = secrets.secrets(df.union(extra.withColumn("doc_id", F.col("doc_id") + 100)))
+    assert sorted((str(r["doc_id"]) for r in found.collect() if r["value"] == key)) == ["3", "3", "None"]
+    clean = secrets.redacted(df, found).collect()
+    assert clean[0].asDict().keys() == df.first().asDict().keys() and sorted(str(r["doc_id"]) for r in clean) == ["3", "3", "4", "5", "None"]
+    assert all(r["value"] == "v" for r in clean) and [r["text"] for r in clean if r["doc_id"] == 3] == [f"a {secrets.REDACTED} b"] * 2
+
+
 def test_pipeline(spark, sf):
     """run() against its stages by brute force over what each stage receives."""
     import corpus_pipeline as cp
