@@ -181,3 +181,89 @@ def test_merged_results(spark):
     pages = [("a", 1, '{"results": ["x", "y"], "next_url": "u"}'), ("a", 2, '{"results": ["z"], "next_url": "u"}'), ("a", 3, '{"results": ["late"]}'), ("b", 1, '{"results": []}')]
     got = landing.merged_results(spark.createDataFrame(pages, "request string, page_no int, payload string"), 2).collect()
     assert sorted(map(tuple, got), key=str) == sorted([("a", 1, 0, "x", 2, True), ("a", 1, 1, "y", 2, True), ("a", 2, 0, "z", 2, True), ("b", 1, None, None, 1, False)], key=str)
+
+
+def test_upsert_touches_its_partitions_only(spark, tmp_path):
+    """Files of other partitions stay as they are, the staged copy goes, and the scan is pruned to the batch's partitions."""
+    path = str(tmp_path / "bars")
+    rows = [("A", dt.date(2024, m, 1), float(m)) for m in (1, 2, 3)]
+    schema = "symbol string, bar_date date, close double"
+    sinks.write_partitions(sinks.with_partition(spark.createDataFrame(rows, schema), "bar_date", "month"), path, "month")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "bars").rglob("part-*")}
+    batch = sinks.with_partition(spark.createDataFrame([("A", dt.date(2024, 2, 1), 9.0), ("B", dt.date(2024, 2, 5), 5.0)], schema), "bar_date", "month")
+    sinks.upsert_partitions(path, batch, ["symbol", "bar_date", "month"], "month")
+    got = sorted((r["symbol"], r["bar_date"].month, r["close"]) for r in spark.read.parquet(path).collect())
+    assert got == [("A", 1, 1.0), ("A", 2, 9.0), ("A", 3, 3.0), ("B", 2, 5.0)]
+    assert all(p.exists() and p.stat().st_mtime_ns == t for p, t in before.items() if "month=2024-02" not in str(p))
+    assert [p.name for p in tmp_path.iterdir()] == ["bars"]
+
+
+def test_first_seen_and_readiness(spark):
+    old = spark.createDataFrame([("a", 1, "x", "x"), ("b", 1, "x", "x")], "k string, v int, first_seen_at string, updated_at string")
+    got = sinks.first_seen(old, spark.createDataFrame([("b", 2), ("c", 3)], "k string, v int"), ["k"], F.lit("now")).collect()
+    assert sorted(map(tuple, got)) == [("a", 1, "x", "x"), ("b", 2, "x", "now"), ("c", 3, "now", "now")]
+    found = spark.createDataFrame([("b", None), ("z", 5)], "k string, v int")
+    got = sinks.readiness_update(old.select("k", "v", "updated_at"), found, ["k"]).collect()
+    assert sorted(map(tuple, got)) == [("a", 1, "x"), ("b", None, "x")]
+
+
+def test_empty_expirations_are_rejected(spark):
+    import pytest
+
+    target = spark.createDataFrame([("A", EXP), ("B", EXP)], "underlying string, expiry date")
+    asked = target.select("underlying").distinct()
+    assert sinks.replace_expirations(target, target, asked).count() == 2
+    with pytest.raises(ValueError, match="B"):
+        sinks.replace_expirations(target, target.where("underlying = 'A'"), asked)
+
+
+def test_landed_files(spark, tmp_path):
+    """Decoders read JSON documents from a folder, one a line, with context from folder names; broken ones give no row."""
+    from barwright.sources import landing
+
+    for symbol, lines in (("aa", ['{"results": [{"t": 1704171600000, "o": 1, "h": 2, "l": 0.5, "c": 1.5, "v": 10}]}', "broken", '{"results": null}']), ("bb", ['{"results": [{"o": 1}, {"t": 1704258000000, "c": 3}]}'])):
+        (tmp_path / f"symbol={symbol}").mkdir()
+        (tmp_path / f"symbol={symbol}" / "pages.json").write_text("\n".join(lines) + "\n")
+    got = landing.stock_daily(landing.read_pages(spark, str(tmp_path), "symbol string")).select("symbol", "bar_date", "close").collect()
+    assert sorted(map(tuple, got)) == [("AA", dt.date(2024, 1, 2), 1.5), ("BB", dt.date(2024, 1, 3), 3.0)]
+
+
+def test_ticker_details(spark):
+    from barwright.sources import landing
+
+    pages = ['{"results": {"ticker": " ab ", "market_cap": "12.5", "active": false, "currency_name": "", "currency_symbol": "USD", "list_date": "2020-01-02", "total_employees": 7}}', '{"symbol": "cd", "type": "", "instrument_type": "CS"}', '{"results": {"name": "no symbol"}}', "broken"]
+    got = {r["symbol"]: r for r in landing.ticker_details(spark.createDataFrame([(p,) for p in pages], "payload string")).collect()}
+    assert set(got) == {"AB", "CD"} and len(got["AB"]) == 18
+    assert (got["AB"]["market_cap"], got["AB"]["active"], got["AB"]["currency"], got["AB"]["list_date"]) == (12.5, False, "USD", dt.date(2020, 1, 2))
+    assert (got["CD"]["active"], got["CD"]["instrument_type"], got["CD"]["total_employees"]) == (True, "CS", None)
+
+
+def test_buffer_drops_the_oldest(spark, tmp_path):
+    """Each micro-batch lets its newest rows through; a batch is one file here."""
+    from barwright.streaming import feed
+
+    rows = spark.createDataFrame([(b, b * 10 + i, i) for b in range(3) for i in range(5)], "b int, t long, event_id long")
+    for b in range(3):
+        rows.where(F.col("b") == b).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("b int, t long, event_id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = feed.run_to_files(stream, "buffer", "append", keep=2).collect()
+    assert sorted(r["t"] for r in got) == [3, 4, 13, 14, 23, 24]
+
+
+def test_filters_reach_below_the_newest_row(spark, sf):
+    """Requested contracts are picked before the newest snapshot of a day is: the semi join stands below the last aggregate on the plan."""
+    from barwright.plans.registry import QUERIES
+
+    plan = QUERIES["g5_chain_eod_by_keys"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("max(struct") < plan.index("LeftSemi")
+
+
+def test_fill_rate_parses_a_document_once(spark):
+    from barwright.operators import fundamentals as fun
+
+    keys = [f"k{i}" for i in range(40)]
+    rows = [("A", "r", '{"k1": 5, "k2": "", "k3": null, "k4": {"x": 1}}'), ("B", "r", '{"k1": 0}'), ("A", "r", '{"k1": 7}'), ("C", "s", "broken"), ("D", "s", None)]
+    df = fun.fill_rate(spark.createDataFrame(rows, "symbol string, report_type string, data string"), keys)
+    got = {(r["report_type"], r["key"]): r["symbols"] for r in df.collect()}
+    assert len(got) == 80 and {k: n for k, n in got.items() if n} == {("r", "k1"): 2, ("r", "k4"): 1}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
