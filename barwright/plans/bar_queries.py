@@ -12,7 +12,11 @@ from .registry import query
 D = lambda y, m, d: F.lit(dt.date(y, m, d))
 
 
-@query("f1_daily_bars", "select symbol, bar_date, open, high, low, close, volume, 'stock_daily' as source from stock_daily where symbol in ('UA', 'UB', 'UBC') and bar_date between date '2000-12-31' - 365 and date '2000-12-31'")
+@query(
+    "f1_daily_bars",
+    """select symbol, bar_date, open, high, low, close, volume, 'stock_daily' as source from stock_daily where symbol in ('UA', 'UB', 'UBC')
+    and bar_date between date '2000-12-31' - 365 and date '2000-12-31'""",
+)
 def _(m):
     return bars.daily_bars(m.stock_daily, ["UA", "UB", "UBC"], 365, D(2000, 12, 31))
 
@@ -22,12 +26,20 @@ def _(m):
     return bars.daily_close(m.stock_daily, "UC")
 
 
-@query("f3_bars_newest_first", "select symbol, bar_date, open, high, low, close, volume from stock_daily qualify row_number() over (partition by symbol order by bar_date desc) <= 30")
+@query(
+    "f3_bars_newest_first",
+    """select symbol, bar_date, open, high, low, close, volume from stock_daily qualify row_number() over (partition by symbol
+    order by bar_date desc) <= 30""",
+)
 def _(m):
     return bars.bars_newest_first(m.stock_daily, ["symbol"], "bar_date", 30).select("symbol", "bar_date", "open", "high", "low", "close", "volume")
 
 
-@query("f3_minute_bars_newest_first", "select symbol, period, epoch_us(bar_time) as t, close from stock_minute qualify row_number() over (partition by symbol, period order by bar_time desc) <= 20")
+@query(
+    "f3_minute_bars_newest_first",
+    """select symbol, period, epoch_us(bar_time) as t, close from stock_minute qualify row_number() over (partition by symbol, period
+    order by bar_time desc) <= 20""",
+)
 def _(m):
     return bars.bars_newest_first(m.stock_minute, ["symbol", "period"], "bar_time", 20).select("symbol", "period", F.unix_micros(F.col("bar_time").cast("timestamp")).alias("t"), "close")
 
@@ -37,7 +49,11 @@ def _(m):
     return bars.latest_bar_time(m.stock_minute)
 
 
-@query("f5_bar_times_in_range", "select symbol, epoch_us(bar_time) / 1e6 as t from stock_minute where bar_time between timestamp '2024-01-05 00:00:00' and timestamp '2024-01-12 00:00:00'")
+@query(
+    "f5_bar_times_in_range",
+    """select symbol, epoch_us(bar_time) / 1e6 as t from stock_minute where bar_time between timestamp '2024-01-05 00:00:00'
+    and timestamp '2024-01-12 00:00:00'""",
+)
 def _(m):
     return bars.bar_times_in_range(m.stock_minute, F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz"))
 
@@ -51,22 +67,38 @@ def _(m):
     return bars.asof_bars(m.stock_daily, m.corporate_action.select("symbol", F.col("ex_date").alias("as_of")).distinct())
 
 
-@query("f7_fallback_price", "select symbol, bar_date, close, lead(close) over w as prev_close from stock_daily window w as (partition by symbol order by bar_date desc) qualify row_number() over w = 1")
+@query(
+    "f7_fallback_price",
+    """select symbol, bar_date, close, lead(close) over w as prev_close from stock_daily window w as (partition by symbol order by bar_date desc)
+    qualify row_number() over w = 1""",
+)
 def _(m):
     return bars.fallback_price(m.stock_daily)
 
 
-@query("f8_bars_stats", "select symbol, coalesce(d, 0) as daily, coalesce(n, 0) as minute from (select symbol, count(*) as d from stock_daily group by symbol) a full join (select symbol, count(*) as n from stock_minute group by symbol) b using (symbol)")
+@query(
+    "f8_bars_stats",
+    """select symbol, coalesce(d, 0) as daily, coalesce(n, 0) as minute from (select symbol, count(*) as d from stock_daily group by symbol) a full
+    join (select symbol, count(*) as n from stock_minute group by symbol) b using (symbol)""",
+)
 def _(m):
     return bars.bars_stats(m.stock_daily, m.stock_minute)
 
 
-@query("f9_bars_coverage", "select t.symbol, count(d.bar_date) as n, min(d.bar_date) as first_day, max(d.bar_date) as last_day from (select symbol from ticker union select 'ZZZ') t left join stock_daily d using (symbol) group by t.symbol")
+@query(
+    "f9_bars_coverage",
+    """select t.symbol, count(d.bar_date) as n, min(d.bar_date) as first_day, max(d.bar_date) as last_day from (select symbol from ticker union
+    select 'ZZZ') t left join stock_daily d using (symbol) group by t.symbol""",
+)
 def _(m):
     return bars.bars_coverage(m.stock_daily, m.ticker.select("symbol").union(m.spark.createDataFrame([("ZZZ",)], "symbol string")))
 
 
-@query("f10_caret_symbols", "select distinct case when symbol like 'UB%' then '^' || symbol else symbol end as symbol from (select symbol from stock_daily union select symbol from stock_minute) x where symbol like 'UB%'")
+@query(
+    "f10_caret_symbols",
+    """select distinct case when symbol like 'UB%' then '^' || symbol else symbol end as symbol from (select symbol from stock_daily union
+    select symbol from stock_minute) x where symbol like 'UB%'""",
+)
 def _(m):
     caret = lambda df: df.select(F.when(F.col("symbol").startswith("UB"), F.concat(F.lit("^"), "symbol")).otherwise(F.col("symbol")).alias("symbol"))
     return bars.caret_symbols(caret(m.stock_daily), caret(m.stock_minute))
@@ -81,7 +113,11 @@ def option_daily(m):
     return rows.groupBy("option_ticker", "underlying", "expiry", "strike", "option_right", "bar_date").agg(F.max("iv").alias("close"), F.max("day_volume").alias("volume"))
 
 
-@query("f11_option_daily_bars", f"with {OPTION_DAILY} select * from ob where underlying = 'UA' and expiry = date '2004-01-16' and bar_date >= date '1999-01-01' order by bar_date, strike, option_right, option_ticker limit 5000")
+@query(
+    "f11_option_daily_bars",
+    f"""with {OPTION_DAILY} select * from ob where underlying = 'UA' and expiry = date '2004-01-16' and bar_date >= date '1999-01-01'
+    order by bar_date, strike, option_right, option_ticker limit 5000""",
+)
 def _(m):
     return bars.option_bars(option_daily(m), "UA", D(2004, 1, 16), D(1999, 1, 1))
 
@@ -91,7 +127,11 @@ def _(m):
     return bars.option_bar_dates(option_daily(m))
 
 
-@query("f12_option_minute_bars", "select option_ticker, epoch_us(snapshot_ts) as t, iv from option_snapshot qualify row_number() over (partition by option_ticker order by snapshot_ts desc) <= 5")
+@query(
+    "f12_option_minute_bars",
+    """select option_ticker, epoch_us(snapshot_ts) as t, iv from option_snapshot qualify row_number() over (partition by option_ticker
+    order by snapshot_ts desc) <= 5""",
+)
 def _(m):
     return bars.bars_newest_first(m.option_snapshot, ["option_ticker"], "snapshot_ts", 5).select("option_ticker", F.unix_micros("snapshot_ts").alias("t"), "iv")
 
@@ -101,7 +141,11 @@ def _(m):
     return bars.corporate_actions(m.corporate_action, "dividend")
 
 
-@query("l1_sma", "select symbol, bar_date, case when count(*) over w = 20 then round(avg(close) over w, 6) end as sma from stock_daily window w as (partition by symbol order by bar_date rows between 19 preceding and current row)")
+@query(
+    "l1_sma",
+    """select symbol, bar_date, case when count(*) over w = 20 then round(avg(close) over w, 6) end as sma
+    from stock_daily window w as (partition by symbol order by bar_date rows between 19 preceding and current row)""",
+)
 def _(m):
     return indicators.sma(m.stock_daily, 20).withColumn("sma", F.round("sma", 6))
 
@@ -123,7 +167,8 @@ def _(m):
 
 @query(
     "l5_resample_bars",
-    """select symbol, epoch_us(time_bucket(interval '1 hour', bar_time)) as t, arg_min(open, bar_time) as open, max(high) as high, min(low) as low, arg_max(close, bar_time) as close, cast(sum(volume) as bigint) as volume, round(sum(close * volume) / sum(volume), 6) as vwap
+    """select symbol, epoch_us(time_bucket(interval '1 hour', bar_time)) as t, arg_min(open, bar_time) as open, max(high) as high, min(low) as low,
+        arg_max(close, bar_time) as close, cast(sum(volume) as bigint) as volume, round(sum(close * volume) / sum(volume), 6) as vwap
     from stock_minute group by symbol, time_bucket(interval '1 hour', bar_time)""",
 )
 def _(m):
@@ -131,7 +176,11 @@ def _(m):
     return out.select("symbol", F.unix_micros(F.col("bar_time").cast("timestamp")).alias("t"), "open", "high", "low", "close", "volume", F.round("vwap", 6).alias("vwap"))
 
 
-@query("l6_open_close", "select symbol, bar_date, open, close, lag(close) over (partition by symbol order by bar_date) as prev_close from stock_daily qualify bar_date = date '2000-03-01'")
+@query(
+    "l6_open_close",
+    """select symbol, bar_date, open, close, lag(close) over (partition by symbol order by bar_date) as prev_close from stock_daily
+    qualify bar_date = date '2000-03-01'""",
+)
 def _(m):
     asked = m.stock_daily.select("symbol").distinct().withColumn("as_of", D(2000, 3, 1))
     found = bars.asof_bars(m.stock_daily, asked).where("bar_date = as_of")
@@ -155,7 +204,8 @@ def _(m):
 
 @query(
     "l8_split_adjusted_bars",
-    """select b.symbol, b.bar_date, b.close, coalesce(product(a.ratio_from / a.ratio_to), 1) as factor, b.close / coalesce(product(a.ratio_from / a.ratio_to), 1) as adjusted_close
+    """select b.symbol, b.bar_date, b.close, coalesce(product(a.ratio_from / a.ratio_to), 1) as factor,
+        b.close / coalesce(product(a.ratio_from / a.ratio_to), 1) as adjusted_close
     from stock_daily b left join corporate_action a on a.symbol = b.symbol and a.action_type = 'split' and a.ex_date > b.bar_date group by b.symbol, b.bar_date, b.close""",
 )
 def _(m):
@@ -173,12 +223,20 @@ def _(m):
 CHAIN = "chain as (select * from option_snapshot qualify row_number() over (partition by option_ticker order by snapshot_ts desc) = 1)"
 
 
-@query("g2_snapshots_latest", f"with {CHAIN} select s.option_ticker, s.iv, c.expiry, c.strike, c.option_right from chain s join option_contract c on c.option_ticker = s.option_ticker where s.underlying = 'UB' order by c.expiry, c.strike, c.option_right, s.option_ticker limit 40")
+@query(
+    "g2_snapshots_latest",
+    f"""with {CHAIN} select s.option_ticker, s.iv, c.expiry, c.strike, c.option_right from chain s join option_contract c
+    on c.option_ticker = s.option_ticker where s.underlying = 'UB' order by c.expiry, c.strike, c.option_right, s.option_ticker limit 40""",
+)
 def _(m):
     return chains.snapshots_latest(m.option_snapshot, m.option_contract, "UB", 40).select("option_ticker", "iv", "expiry", "strike", "option_right")
 
 
-@query("g3_oi_rows", "select option_ticker, trade_date, expiry, strike, open_interest from option_open_interest where underlying = 'UC' and trade_date >= date '2000-01-01'")
+@query(
+    "g3_oi_rows",
+    """select option_ticker, trade_date, expiry, strike, open_interest from option_open_interest where underlying = 'UC'
+    and trade_date >= date '2000-01-01'""",
+)
 def _(m):
     rows = m.option_open_interest.where((F.col("underlying") == "UC") & (F.col("trade_date") >= D(2000, 1, 1)))
     return rows.select("option_ticker", "trade_date", "expiry", "strike", "open_interest")
@@ -191,21 +249,30 @@ def asked(m):
     return c.where("pk % 3 = 0").select(F.col("option_ticker").alias("key")).union(keys).union(m.spark.createDataFrame([("UA|OPT|x|1|C",)], "key string"))
 
 
-@query("g4_chain_latest_by_keys", f"with {CHAIN} select s.option_ticker, c.pk % 3 = 0 as vendor, epoch_us(s.snapshot_ts) as t, s.iv from chain s join option_contract c on c.option_ticker = s.option_ticker where c.pk % 3 < 2")
+@query(
+    "g4_chain_latest_by_keys",
+    f"""with {CHAIN} select s.option_ticker, c.pk % 3 = 0 as vendor, epoch_us(s.snapshot_ts) as t, s.iv from chain s join option_contract c
+    on c.option_ticker = s.option_ticker where c.pk % 3 < 2""",
+)
 def _(m):
     return chains.chain_latest_by_keys(asked(m), m.option_contract, m.option_snapshot).select("option_ticker", "vendor", F.unix_micros("snapshot_ts").alias("t"), "iv")
 
 
 @query(
     "g5_chain_eod_by_keys",
-    """select s.option_ticker, s.ny_date, s.iv, d.close as underlying_price from option_snapshot s join option_contract c on c.option_ticker = s.option_ticker left join stock_daily d on d.symbol = s.underlying and d.bar_date = s.ny_date
+    """select s.option_ticker, s.ny_date, s.iv, d.close as underlying_price from option_snapshot s join option_contract c
+        on c.option_ticker = s.option_ticker left join stock_daily d on d.symbol = s.underlying and d.bar_date = s.ny_date
     where c.pk % 3 < 2 and s.ny_date >= date '2001-01-01' qualify row_number() over (partition by s.option_ticker, s.ny_date order by s.snapshot_ts desc) = 1""",
 )
 def _(m):
     return chains.chain_eod_by_keys(asked(m), m.option_contract, m.option_snapshot, m.stock_daily, D(2001, 1, 1)).select("option_ticker", "ny_date", "iv", "underlying_price")
 
 
-@query("g6_contracts_list", "select option_ticker, underlying, expiry, strike, option_right, underlying || '|OPT|' || strftime(expiry, '%Y%m%d') || '|' || cast(strike as varchar) || '|' || option_right as contract_key from option_contract")
+@query(
+    "g6_contracts_list",
+    """select option_ticker, underlying, expiry, strike, option_right, underlying || '|OPT|' || strftime(expiry,
+    '%Y%m%d') || '|' || cast(strike as varchar) || '|' || option_right as contract_key from option_contract""",
+)
 def _(m):
     return chains.contracts_list(m.option_contract)
 
@@ -220,7 +287,11 @@ def _(m):
     return m.option_contract.select("underlying", F.date_format("expiry", "yyyyMMdd").alias("expiry")).distinct()
 
 
-@query("g7_ticker_search", "select symbol, name, case when symbol = 'UB' then 0 when symbol like 'UB%' then 1 else 2 end as match from ticker where symbol like 'UB%' or upper(name) like '%UB%' order by match, symbol limit 8")
+@query(
+    "g7_ticker_search",
+    """select symbol, name, case when symbol = 'UB' then 0 when symbol like 'UB%' then 1 else 2 end as match from ticker where symbol like 'UB%'
+    or upper(name) like '%UB%' order by match, symbol limit 8""",
+)
 def _(m):
     return chains.ticker_search(m.ticker, "ub", 8).select("symbol", "name", "match")
 
@@ -269,7 +340,10 @@ def _(m):
     return chains.resolve_keys(asked(m), m.option_contract).select("option_ticker").distinct()
 
 
-@query("d8_lateral_latest", f"with {CHAIN} select c.option_ticker, s.iv, s.day_volume from option_contract c left join chain s on s.option_ticker = c.option_ticker")
+@query(
+    "d8_lateral_latest",
+    f"""with {CHAIN} select c.option_ticker, s.iv, s.day_volume from option_contract c left join chain s on s.option_ticker = c.option_ticker""",
+)
 def _(m):
     from ..operators.latest import chain_latest
 
@@ -281,7 +355,10 @@ def _(m):
     return m.ticker.join(m.option_contract.where("strike > 200").select(F.col("underlying").alias("symbol")), "symbol", "left_semi").select("symbol")
 
 
-@query("d10_resolve_watchlist", "select underlying as symbol, 'contracts' as source from option_contract group by underlying order by count(*) desc, underlying limit 7")
+@query(
+    "d10_resolve_watchlist",
+    """select underlying as symbol, 'contracts' as source from option_contract group by underlying order by count(*) desc, underlying limit 7""",
+)
 def _(m):
     return chains.resolve_watchlist(m.ticker.where("false"), m.option_contract, 7)
 
@@ -291,7 +368,10 @@ def _(m):
     return chains.union_benchmarks(m.ticker)
 
 
-@query("j1_closed_holidays", "select holiday_date from us_market_holiday where status = 'closed' and holiday_date between date '1996-01-01' and date '1999-12-31'")
+@query(
+    "j1_closed_holidays",
+    """select holiday_date from us_market_holiday where status = 'closed' and holiday_date between date '1996-01-01' and date '1999-12-31'""",
+)
 def _(m):
     return calendar.closed_holidays(m.us_market_holiday, D(1996, 1, 1), D(1999, 12, 31))
 
@@ -299,21 +379,36 @@ def _(m):
 OPEN = "dayofweek(day) between 1 and 5 and day not in (select holiday_date from us_market_holiday where status = 'closed')"
 
 
-@query("j2_recent_trading_days", f"select day from (select cast(unnest(generate_series(date '1998-01-01', date '1998-07-08', interval 1 day)) as date) as day) x where {OPEN} order by day desc limit 30")
+@query(
+    "j2_recent_trading_days",
+    f"""select day from (select cast(unnest(generate_series(date '1998-01-01', date '1998-07-08', interval 1 day)) as date) as day) x where {OPEN}
+    order by day desc limit 30""",
+)
 def _(m):
     return calendar.recent_trading_days(m.spark, m.us_market_holiday, D(1998, 7, 8), 30)
 
 
-@query("j3_expected_trading_days", f"select day from (select cast(unnest(generate_series(date '1996-01-01', date '2001-12-31', interval 1 day)) as date) as day) x where {OPEN}")
+@query(
+    "j3_expected_trading_days",
+    f"""select day from (select cast(unnest(generate_series(date '1996-01-01', date '2001-12-31', interval 1 day)) as date) as day) x where {OPEN}""",
+)
 def _(m):
     return calendar.expected_trading_days(m.spark, m.us_market_holiday, D(1996, 1, 1), D(2001, 12, 31))
 
 
-@query("c27_is_trading_day", "select day, dayofweek(day) between 1 and 5 and day not in (select holiday_date from us_market_holiday where status = 'closed') as is_trading from (select distinct bar_date as day from stock_daily) x")
+@query(
+    "c27_is_trading_day",
+    """select day, dayofweek(day) between 1 and 5 and day not in (select holiday_date from us_market_holiday where status = 'closed') as is_trading
+    from (select distinct bar_date as day from stock_daily) x""",
+)
 def _(m):
     return calendar.is_trading_day(m.stock_daily.select(F.col("bar_date").alias("day")).distinct(), m.us_market_holiday)
 
 
-@query("c28_resolve_target_date", "select distinct epoch_us(snapshot_ts) as t, case dayofweek(ny_date) when 6 then ny_date - 1 when 0 then ny_date - 2 else ny_date end as target from option_snapshot")
+@query(
+    "c28_resolve_target_date",
+    """select distinct epoch_us(snapshot_ts) as t, case dayofweek(ny_date) when 6 then ny_date - 1 when 0 then ny_date - 2 else ny_date end as target
+    from option_snapshot""",
+)
 def _(m):
     return m.option_snapshot.select(F.unix_micros("snapshot_ts").alias("t"), calendar.resolve_target_date(F.col("snapshot_ts")).alias("target")).distinct()

@@ -82,14 +82,21 @@ def option_rows(m) -> DataFrame:
 OPTION = "o as (select option_ticker, ny_date, min(iv) as low, max(iv) as high, cast(max(day_volume) as bigint) as volume from option_snapshot group by all)"
 
 
-@query("a4_ingest_option_daily", f"with {OPTION} select o.option_ticker, o.ny_date as bar_date, c.underlying, c.expiry, c.strike, c.option_right, o.low, o.high, o.volume from o join option_contract c on c.option_ticker = o.option_ticker")
+@query(
+    "a4_ingest_option_daily",
+    f"""with {OPTION} select o.option_ticker, o.ny_date as bar_date, c.underlying, c.expiry, c.strike, c.option_right, o.low, o.high, o.volume from o
+    join option_contract c on c.option_ticker = o.option_ticker""",
+)
 def _(m):
     p = pages(option_rows(m), ["option_ticker", "year"], bar_item(day_ms("ny_date")), "ny_date")
     bad = m.spark.createDataFrame([("O:BAD", 2000, '{"results":[{"t":1,"o":1.0}]}')], "option_ticker string, year int, payload string")
     return landing.option_daily(p.union(bad)).select("option_ticker", "bar_date", "underlying", "expiry", "strike", "option_right", "low", "high", "volume")
 
 
-@query("a5_ingest_option_minute", f"with {OPTION} select option_ticker, '5 minute' as period, epoch_us(cast(ny_date as timestamp)) + 18000000000 as t, low, high, volume from o")
+@query(
+    "a5_ingest_option_minute",
+    f"""with {OPTION} select option_ticker, '5 minute' as period, epoch_us(cast(ny_date as timestamp)) + 18000000000 as t, low, high, volume from o""",
+)
 def _(m):
     p = pages(option_rows(m), ["option_ticker", "year"], bar_item(day_ms("ny_date")), "ny_date").withColumns({"multiplier": F.lit(5), "timespan": F.lit("MINUTE")})
     return landing.option_minute(p).select("option_ticker", "period", F.unix_micros("bar_time").alias("t"), "low", "high", "volume")
@@ -102,7 +109,10 @@ def ticker_item(long: Column) -> Column:
     return F.struct(F.col("symbol").alias("ticker"), bag.alias("day"), F.create_map(F.lit("c"), F.col("prev_close")).alias("prevDay"), F.col("change").alias("todaysChange"), F.col("change_pct").alias("todaysChangePerc"))
 
 
-@query("a6_ingest_stock_snapshot", "select symbol, session_date, open, high, low, close, volume, prev_close, change, change_pct from stock_snapshot where prev_close is not null")
+@query(
+    "a6_ingest_stock_snapshot",
+    """select symbol, session_date, open, high, low, close, volume, prev_close, change, change_pct from stock_snapshot where prev_close is not null""",
+)
 def _(m):
     rows = m.stock_snapshot.where("prev_close is not null")
     item = ticker_item(F.day("session_date") % 2 == 0)
@@ -111,7 +121,11 @@ def _(m):
     return landing.stock_snapshot(many.unionByName(one)).select("symbol", "session_date", "open", "high", "low", "close", "volume", "prev_close", "change", "change_pct")
 
 
-@query("a7_ingest_stock_movers", "select d.direction, symbol, session_date, change_pct, close as price, volume from stock_snapshot, (select unnest(['gainers', 'losers']) as direction) d where prev_close is not null")
+@query(
+    "a7_ingest_stock_movers",
+    """select d.direction, symbol, session_date, change_pct, close as price, volume from stock_snapshot, (select unnest(['gainers',
+    'losers']) as direction) d where prev_close is not null""",
+)
 def _(m):
     p = pages(m.stock_snapshot.where("prev_close is not null"), ["session_date"], ticker_item(F.lit(False)), "symbol", "tickers").withColumn("direction", F.lit("gainers, LOSERS,gainers,up"))
     return landing.stock_movers(p).select("direction", "symbol", "session_date", "change_pct", "price", "volume")
@@ -137,7 +151,11 @@ def _(m):
     return landing.option_snapshots(chain_pages(m)).select("option_ticker", F.unix_micros("snapshot_ts").alias("t"), "underlying", "iv", "delta", "gamma", "theta", "vega", "open_interest", "day_volume")
 
 
-@query("a8_ingest_snapshot_contracts", "select option_ticker, underlying, expiry, strike, option_right, shares_per_contract from option_contract where option_ticker in (select option_ticker from option_snapshot)")
+@query(
+    "a8_ingest_snapshot_contracts",
+    """select option_ticker, underlying, expiry, strike, option_right, shares_per_contract from option_contract
+    where option_ticker in (select option_ticker from option_snapshot)""",
+)
 def _(m):
     return landing.option_contracts(chain_pages(m)).select("option_ticker", "underlying", "expiry", "strike", "option_right", "shares_per_contract")
 
@@ -150,12 +168,20 @@ def _(m):
     return landing.option_contracts(p.drop("underlying")).select("option_ticker", "underlying", "expiry", "strike", "option_right", "shares_per_contract")
 
 
-@query("a10_ingest_option_expiration", "select distinct c.underlying, c.expiry from option_contract c where option_ticker in (select option_ticker from option_snapshot)")
+@query(
+    "a10_ingest_option_expiration",
+    """select distinct c.underlying, c.expiry from option_contract c where option_ticker in (select option_ticker from option_snapshot)""",
+)
 def _(m):
     return landing.option_expirations(chain_pages(m))
 
 
-@query("a11_ingest_option_oi", "select s.option_ticker, s.ny_date as trade_date, c.underlying, c.expiry, c.strike, c.option_right, cast(s.open_interest as bigint) as open_interest from option_snapshot s join option_contract c on c.option_ticker = s.option_ticker where s.open_interest is not null")
+@query(
+    "a11_ingest_option_oi",
+    """select s.option_ticker, s.ny_date as trade_date, c.underlying, c.expiry, c.strike, c.option_right,
+    cast(s.open_interest as bigint) as open_interest from option_snapshot s join option_contract c on c.option_ticker = s.option_ticker
+    where s.open_interest is not null""",
+)
 def _(m):
     return landing.option_open_interest(chain_pages(m))
 
@@ -196,21 +222,32 @@ def _(m):
     return typed(landing.ticker_rows(pages(m.ticker, ["market", "locale", "instrument_type"], reference_item(), "symbol").select("payload")))
 
 
-@query("a13_ingest_ticker_related", "select from_symbol, to_symbol, cast(row_number() over (partition by from_symbol order by to_symbol) - 1 as int) as rank from ticker_related")
+@query(
+    "a13_ingest_ticker_related",
+    """select from_symbol, to_symbol, cast(row_number() over (partition by from_symbol order by to_symbol) - 1 as int) as rank from ticker_related""",
+)
 def _(m):
     twice = m.ticker_related.select("from_symbol", "to_symbol").withColumn("k", F.col("to_symbol"))
     p = pages(twice.union(twice.withColumn("k", F.concat(F.lit("~"), "k"))), ["from_symbol"], F.struct(F.col("to_symbol").alias("ticker")), "k")
     return landing.ticker_related(p)
 
 
-@query("a14_ingest_ticker_type", "select instrument_type as code, market as asset_class, locale, min(symbol) as description from ticker where instrument_type is not null group by all")
+@query(
+    "a14_ingest_ticker_type",
+    """select instrument_type as code, market as asset_class, locale, min(symbol) as description from ticker where instrument_type is not null
+    group by all""",
+)
 def _(m):
     rows = m.ticker.where("instrument_type is not null")
     p = pages(rows, ["currency"], F.struct(F.col("instrument_type").alias("code"), F.col("market").alias("asset_class"), "locale", F.col("symbol").alias("description")), "symbol")
     return landing.ticker_types(p.drop("currency"))
 
 
-@query("a14_ingest_ticker_type_pages", "select instrument_type as code, market as asset_class, locale, min(symbol) as description from ticker where instrument_type is not null group by all")
+@query(
+    "a14_ingest_ticker_type_pages",
+    """select instrument_type as code, market as asset_class, locale, min(symbol) as description from ticker where instrument_type is not null
+    group by all""",
+)
 def _(m):
     """Pages of one type and market each. The first row of a page gives the description, and the least of the pages' counts."""
     rows = m.ticker.where("instrument_type is not null")
@@ -220,7 +257,8 @@ def _(m):
 
 @query(
     "a15_ingest_financials_all",
-    """select symbol, case report_type when 'income_statement' then 'income_statement' when 'balance_sheet' then 'balance_sheet' when 'cash_flow_statement' then 'cash_flow_statement' else 'filing' end as report_type,
+    """select symbol, case report_type when 'income_statement' then 'income_statement' when 'balance_sheet' then 'balance_sheet'
+        when 'cash_flow_statement' then 'cash_flow_statement' else 'filing' end as report_type,
         period_date, period_type, cast(fiscal_year as bigint) as fiscal_year from stock_financials""",
 )
 def _(m):
@@ -250,7 +288,11 @@ def _(m):
     return landing.market_calendar(pages(rows, ["exchange", "year"], item, "holiday_date").select("payload")).select("exchange", "holiday_date", "status")
 
 
-@query("a15_ingest_financials", "select symbol, case when fiscal_year % 3 = 0 then 'filing' else 'income_statement' end as report_type, period_date, period_type, cast(fiscal_year as bigint) as fiscal_year from stock_financials where report_type = 'income_statement'")
+@query(
+    "a15_ingest_financials",
+    """select symbol, case when fiscal_year % 3 = 0 then 'filing' else 'income_statement' end as report_type, period_date, period_type,
+    cast(fiscal_year as bigint) as fiscal_year from stock_financials where report_type = 'income_statement'""",
+)
 def _(m):
     rows = m.stock_financials.where("report_type = 'income_statement'")
     body = F.when(F.col("fiscal_year") % 3 == 0, F.create_map(F.lit("balance_sheet"), F.lit(""))).otherwise(F.create_map(F.lit("income_statement"), F.col("data")))
@@ -258,20 +300,29 @@ def _(m):
     return landing.financials(pages(rows, ["symbol"], F.to_json(item), "period_date")).select("symbol", "report_type", "period_date", "period_type", "fiscal_year")
 
 
-@query("a16_ingest_splits", "select symbol, ex_date, ratio_from, ratio_to, 'adjustment_type=forward' as description from corporate_action where action_type = 'split'")
+@query(
+    "a16_ingest_splits",
+    """select symbol, ex_date, ratio_from, ratio_to, 'adjustment_type=forward' as description from corporate_action where action_type = 'split'""",
+)
 def _(m):
     item = F.struct(F.col("symbol").alias("ticker"), F.col("ex_date").cast("string").alias("execution_date"), F.col("ratio_from").alias("split_from"), F.col("ratio_to").alias("split_to"), F.lit("forward").alias("adjustment_type"))
     return landing.splits(pages(m.corporate_action.where("action_type = 'split'"), ["action_type"], item, "ex_date").drop("action_type")).drop("action_type")
 
 
-@query("a17_ingest_dividends", "select symbol, ex_date, ex_date + 1 as record_date, ex_date + 20 as payment_date, amount from corporate_action where action_type = 'dividend'")
+@query(
+    "a17_ingest_dividends",
+    """select symbol, ex_date, ex_date + 1 as record_date, ex_date + 20 as payment_date, amount from corporate_action where action_type = 'dividend'""",
+)
 def _(m):
     later = lambda n: F.date_add("ex_date", n).cast("string")
     item = F.struct(F.col("symbol").alias("ticker"), later(0).alias("ex_dividend_date"), later(1).alias("record_date"), later(20).alias("pay_date"), F.col("amount").alias("cash_amount"))
     return landing.dividends(pages(m.corporate_action.where("action_type = 'dividend'"), ["action_type"], item, "ex_date").drop("action_type")).select("symbol", "ex_date", "record_date", "payment_date", "amount")
 
 
-@query("a18_ingest_calendar", "select exchange, holiday_date, status, epoch_us(cast(holiday_date as timestamp)) + 14 * 3600000000 as opens from us_market_holiday")
+@query(
+    "a18_ingest_calendar",
+    """select exchange, holiday_date, status, epoch_us(cast(holiday_date as timestamp)) + 14 * 3600000000 as opens from us_market_holiday""",
+)
 def _(m):
     status = F.when((F.col("status") == "closed") & (F.month("holiday_date") == 7), "holiday").otherwise(F.col("status"))
     item = lambda s: F.struct("exchange", F.col("holiday_date").cast("string").alias("date"), s.alias("status"), F.concat(F.col("holiday_date").cast("string"), F.lit("T14:00:00Z")).alias("open"))
@@ -280,7 +331,11 @@ def _(m):
     return landing.market_calendar(p.drop("exchange")).groupBy("exchange", "holiday_date").agg(F.max("status").alias("status"), F.unix_micros(F.max("open_time")).alias("opens")).join(m.us_market_holiday.select("exchange", "holiday_date", F.col("status").alias("s")), ["exchange", "holiday_date"]).select("exchange", "holiday_date", F.col("s").alias("status"), "opens")
 
 
-@query("a19_merge_pages", "select user_id as request, least(count(*), 3) as pages, cast(least(count(*), 3) * 2 as bigint) as results, count(*) > 3 as truncated from events where user_id % 7 = 0 and event_id % 20 = 1 group by user_id")
+@query(
+    "a19_merge_pages",
+    """select user_id as request, least(count(*), 3) as pages, cast(least(count(*), 3) * 2 as bigint) as results, count(*) > 3 as truncated
+    from events where user_id % 7 = 0 and event_id % 20 = 1 group by user_id""",
+)
 def _(m):
     from pyspark.sql import Window
 
@@ -292,7 +347,8 @@ def _(m):
 
 @query(
     "a19_merge_results",
-    """with p as (select user_id as request, event_id, row_number() over (partition by user_id order by event_id) as page_no, count(*) over (partition by user_id) as n from events)
+    """with p as (select user_id as request, event_id, row_number() over (partition by user_id order by event_id) as page_no,
+        count(*) over (partition by user_id) as n from events)
     select request, page_no, pos, cast(event_id as varchar) || '-' || cast(pos as varchar) as result, least(n, 10) as pages, n > 10 as truncated from p, (values (0), (1)) v(pos) where page_no <= 10""",
 )
 def _(m):
@@ -305,7 +361,11 @@ def _(m):
     return landing.merged_results(rows.select(F.col("user_id").alias("request"), "page_no", payload.alias("payload")), 10)
 
 
-@query("a20_ingest_bars_rows", "select 'daily' as kind, count(*) filter (event_id % 4 = 0) as n from events union all select 'minute', count(*) filter (event_id % 4 in (1, 2)) from events union all select 'reject', count(*) filter (event_id % 4 = 3) from events")
+@query(
+    "a20_ingest_bars_rows",
+    """select 'daily' as kind, count(*) filter (event_id % 4 = 0) as n from events union all select 'minute', count(*) filter (event_id % 4 in (1,
+    2)) from events union all select 'reject', count(*) filter (event_id % 4 = 3) from events""",
+)
 def _(m):
     period = F.element_at(F.array(*map(F.lit, ("1 D", "1 min", "1 hour", "9 parsecs"))), (F.col("event_id") % 4 + 1).cast("int"))
     parts = landing.bar_rows(m.events.select(F.col("event_type").alias("symbol"), period.alias("period"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("long").alias("t"), F.col("value").alias("close")))
@@ -316,7 +376,8 @@ def _(m):
 @query(
     "a20_bars_rows_all",
     """with r as (select event_id, event_type as symbol, event_id % 4 as k, epoch_us(ts) // 1000 as t, value as close from events)
-    select event_id, case k when 0 then 'daily' when 3 then 'reject' else 'minute' end as kind, symbol, case k when 1 then '1 minute' when 2 then '1 hour' when 3 then '9 parsecs' end as period,
+    select event_id, case k when 0 then 'daily' when 3 then 'reject' else 'minute' end as kind, symbol, case k when 1 then '1 minute'
+        when 2 then '1 hour' when 3 then '9 parsecs' end as period,
         case when k = 0 then cast(make_timestamp(t * 1000) as date) end as bar_date, case when k in (1, 2) then t * 1000 end as t_us, close from r""",
 )
 def _(m):
@@ -350,22 +411,38 @@ NEW = "day(bar_date) >= 15"
 EVEN = "day(bar_date) % 2 = 0"
 
 
-@query("b1_upsert_update", f"select symbol, bar_date, close + case when {NEW} then case when {EVEN} then 2 else 1 end else 0 end as close, case when not ({NEW}) then volume when {EVEN} then 7 end as volume from stock_daily")
+@query(
+    "b1_upsert_update",
+    f"""select symbol, bar_date, close + case when {NEW} then case when {EVEN} then 2 else 1 end else 0 end as close, case
+    when not ({NEW}) then volume when {EVEN} then 7 end as volume from stock_daily""",
+)
 def _(m):
     return sinks.upsert_update(*batch_and_target(m), KEYS)
 
 
-@query("b5_upsert_partial_columns", f"select symbol, bar_date, close + case when {NEW} then case when {EVEN} then 2 else 1 end else 0 end as close, case when day(bar_date) < 20 then volume when {EVEN} then 7 end as volume from stock_daily")
+@query(
+    "b5_upsert_partial_columns",
+    f"""select symbol, bar_date, close + case when {NEW} then case when {EVEN} then 2 else 1 end else 0 end as close, case
+    when day(bar_date) < 20 then volume when {EVEN} then 7 end as volume from stock_daily""",
+)
 def _(m):
     return sinks.upsert_update(*batch_and_target(m), KEYS, update=["close"])
 
 
-@query("b2_upsert_do_nothing", "select symbol, bar_date, close + case when day(bar_date) >= 20 then 1 else 0 end as close, case when day(bar_date) < 20 then volume end as volume from stock_daily")
+@query(
+    "b2_upsert_do_nothing",
+    """select symbol, bar_date, close + case when day(bar_date) >= 20 then 1 else 0 end as close, case
+    when day(bar_date) < 20 then volume end as volume from stock_daily""",
+)
 def _(m):
     return sinks.upsert_do_nothing(*batch_and_target(m), KEYS)
 
 
-@query("b3_upsert_coalesce", f"select symbol, bar_date, close + case when {NEW} then case when {EVEN} then 2 else 1 end else 0 end as close, case when {NEW} and {EVEN} then 7 when day(bar_date) < 20 then volume end as volume, day(bar_date) >= 20 as inserted from stock_daily")
+@query(
+    "b3_upsert_coalesce",
+    f"""select symbol, bar_date, close + case when {NEW} then case when {EVEN} then 2 else 1 end else 0 end as close, case when {NEW}
+    and {EVEN} then 7 when day(bar_date) < 20 then volume end as volume, day(bar_date) >= 20 as inserted from stock_daily""",
+)
 def _(m):
     return sinks.upsert_coalesce(*batch_and_target(m), KEYS)
 
@@ -382,7 +459,11 @@ def _(m):
     return sinks.merge_overview(m.ticker.select("symbol", "name"), batch, ["symbol"])[1]
 
 
-@query("b6_replace_by_key", "select from_symbol, to_symbol, rank from ticker_related where from_symbol > 'UD' union all select distinct from_symbol, 'UA', 0 from ticker_related where from_symbol <= 'UD' and from_symbol <> 'UB'")
+@query(
+    "b6_replace_by_key",
+    """select from_symbol, to_symbol, rank from ticker_related where from_symbol > 'UD' union all select distinct from_symbol, 'UA', 0
+    from ticker_related where from_symbol <= 'UD' and from_symbol <> 'UB'""",
+)
 def _(m):
     target = m.ticker_related.select("from_symbol", "to_symbol", "rank")
     touched = target.where("from_symbol <= 'UD'").select("from_symbol").distinct()
@@ -390,7 +471,11 @@ def _(m):
     return sinks.replace_by_key(target, batch, "from_symbol", touched)
 
 
-@query("b6_replace_expirations", "select underlying, expiry from option_contract where underlying > 'UD' group by all union all select underlying, max(expiry) + 7 from option_contract where underlying <= 'UD' group by underlying")
+@query(
+    "b6_replace_expirations",
+    """select underlying, expiry from option_contract where underlying > 'UD' group by all union all select underlying, max(expiry) + 7
+    from option_contract where underlying <= 'UD' group by underlying""",
+)
 def _(m):
     target = m.option_contract.select("underlying", "expiry").distinct()
     batch = target.where("underlying <= 'UD'").groupBy("underlying").agg(F.date_add(F.max("expiry"), 7).alias("expiry"))
@@ -404,7 +489,8 @@ def _(m):
 
 @query(
     "b12_partitioned_upsert",
-    """select symbol, bar_date, case when year(bar_date) >= 2001 and day(bar_date) = 5 then close + 1 else close end as close, cast(year(bar_date) as varchar) as year from stock_daily
+    """select symbol, bar_date, case when year(bar_date) >= 2001 and day(bar_date) = 5 then close + 1 else close end as close,
+        cast(year(bar_date) as varchar) as year from stock_daily
     union all select 'NEW', date '2001-07-01', 5.0, '2001'""",
 )
 def _(m):
@@ -418,7 +504,11 @@ def _(m):
     return m.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(rows.schema).parquet(path)
 
 
-@query("b15_first_seen", "select symbol, name, case when symbol < 'UE' then date '2020-01-01' else date '2024-01-01' end as first_seen_at, case when symbol >= 'UC' then date '2024-01-01' else date '2020-01-01' end as updated_at from ticker")
+@query(
+    "b15_first_seen",
+    """select symbol, name, case when symbol < 'UE' then date '2020-01-01' else date '2024-01-01' end as first_seen_at, case
+    when symbol >= 'UC' then date '2024-01-01' else date '2020-01-01' end as updated_at from ticker""",
+)
 def _(m):
     """Rows below UE are there, those from UC on come in: a row keeps the day it was first seen on."""
     old = m.ticker.where("symbol < 'UE'").select("symbol", "name", D(2020, 1, 1).alias("first_seen_at"), D(2020, 1, 1).alias("updated_at"))
@@ -430,14 +520,21 @@ def _(m):
     return sinks.delete_bars(m.stock_minute, "UC", ["1 minute", "9 weeks"]).groupBy("symbol", "period").agg(F.count("*").alias("n"))
 
 
-@query("b9_upsert_financials", "select symbol, report_type, period_date, period_type, case when fiscal_year >= 1999 then '{}' else data end as data from stock_financials")
+@query(
+    "b9_upsert_financials",
+    """select symbol, report_type, period_date, period_type, case when fiscal_year >= 1999 then '{}' else data end as data from stock_financials""",
+)
 def _(m):
     f = m.stock_financials.select("symbol", "report_type", "period_date", "period_type", "fiscal_year", "data")
     batch = f.where("fiscal_year >= 1999").withColumn("data", F.lit("{}"))
     return sinks.upsert_update(f.where("fiscal_year < 2000"), batch, ["symbol", "report_type", "period_date", "period_type"]).drop("fiscal_year")
 
 
-@query("b10_update_freshness", "select dimension, case when dimension = 'click' then 0 else rows_written end as rows_written, case when dimension = 'click' then 'failed' else status end as status from freshness union all select 'stock_daily', 5, 'ok'")
+@query(
+    "b10_update_freshness",
+    """select dimension, case when dimension = 'click' then 0 else rows_written end as rows_written, case when dimension = 'click' then 'failed'
+    else status end as status from freshness union all select 'stock_daily', 5, 'ok'""",
+)
 def _(m):
     runs = m.freshness.where("dimension = 'click'").select("dimension", "last_run_at", F.lit(-3).cast("long").alias("rows_written"), F.lit("failed").alias("status"))
     grouped = m.freshness.where("dimension = 'view'").select(F.lit("stock_daily_grouped").alias("dimension"), "last_run_at", F.lit(5).cast("long").alias("rows_written"), F.lit("ok").alias("status"))
@@ -453,7 +550,10 @@ def _(m):
     return sinks.retention_trim(m.job_log, F.lit("2024-01-31").cast("timestamp_ntz"), 10, 1000).select("id", "status")
 
 
-@query("b12_partitioned_layout", "select coalesce(strftime(case when trade_count > 1 then bar_date end, '%Y-%m'), 'default') as month, count(*) as n from stock_daily group by 1")
+@query(
+    "b12_partitioned_layout",
+    """select coalesce(strftime(case when trade_count > 1 then bar_date end, '%Y-%m'), 'default') as month, count(*) as n from stock_daily group by 1""",
+)
 def _(m):
     rows = m.stock_daily.withColumn("bar_date", F.when(F.col("trade_count") > 1, F.col("bar_date")))
     return sinks.with_partition(rows, "bar_date", "month").groupBy("month").agg(F.count("*").alias("n"))
@@ -467,7 +567,11 @@ def _(m):
     return sinks.seed_holidays(target, legacy)
 
 
-@query("b15_touch_updated_at", "select option_ticker, case when underlying in (select underlying from option_contract where pk < 5) then date '2024-01-01' end as updated_at from option_contract")
+@query(
+    "b15_touch_updated_at",
+    """select option_ticker, case when underlying in (select underlying from option_contract where pk < 5) then date '2024-01-01' end as updated_at
+    from option_contract""",
+)
 def _(m):
     target = m.option_contract.select("option_ticker", "underlying", F.lit(None).cast("date").alias("updated_at"))
     return sinks.touch_updated_at(target, m.option_contract.where("pk < 5"), "underlying", D(2024, 1, 1)).drop("underlying")

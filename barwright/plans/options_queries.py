@@ -10,9 +10,12 @@ from ..operators import calendar, latest, options_analytics as oa
 from .registry import query
 
 PAIN = """curve as (
-    select k.underlying, k.trade_date, k.expiry, k.strike, sum(case when o.option_right = 'C' then o.open_interest * greatest(k.strike - o.strike, 0) * 100 else 0 end) as pain_call,
-        sum(case when o.option_right = 'P' then o.open_interest * greatest(o.strike - k.strike, 0) * 100 else 0 end) as pain_put, sum(o.open_interest) as total_oi,
-        sum(case when o.option_right = 'C' and o.strike = k.strike then o.open_interest else 0 end) as call_oi, sum(case when o.option_right = 'P' and o.strike = k.strike then o.open_interest else 0 end) as put_oi
+    select k.underlying, k.trade_date, k.expiry, k.strike, sum(case when o.option_right = 'C' then o.open_interest * greatest(k.strike - o.strike,
+        0) * 100 else 0 end) as pain_call,
+        sum(case when o.option_right = 'P' then o.open_interest * greatest(o.strike - k.strike, 0) * 100 else 0 end) as pain_put,
+            sum(o.open_interest) as total_oi,
+        sum(case when o.option_right = 'C' and o.strike = k.strike then o.open_interest else 0 end) as call_oi, sum(case when o.option_right = 'P'
+            and o.strike = k.strike then o.open_interest else 0 end) as put_oi
     from (select distinct underlying, trade_date, expiry, strike from option_open_interest) k join option_open_interest o using (underlying, trade_date, expiry)
     group by k.underlying, k.trade_date, k.expiry, k.strike)"""
 BEST = """best as (select underlying, trade_date, expiry, arg_min(strike, (pain_call + pain_put, strike)) as max_pain_strike, cast(any_value(total_oi) as bigint) as total_oi, min(pain_call + pain_put) as total_pain_at_strike
@@ -24,7 +27,11 @@ def _(m):
     return oa.max_pain_daily(m.option_open_interest)
 
 
-@query("e2_max_pain_curve", f"with {PAIN} select underlying, trade_date, expiry, strike, cast(call_oi as bigint) as call_oi, cast(put_oi as bigint) as put_oi, pain_call, pain_put, pain_call + pain_put as pain from curve qualify trade_date = max(trade_date) over (partition by underlying, expiry)")
+@query(
+    "e2_max_pain_curve",
+    f"""with {PAIN} select underlying, trade_date, expiry, strike, cast(call_oi as bigint) as call_oi, cast(put_oi as bigint) as put_oi, pain_call,
+    pain_put, pain_call + pain_put as pain from curve qualify trade_date = max(trade_date) over (partition by underlying, expiry)""",
+)
 def _(m):
     return oa.max_pain_curve(oa.newest_dates(m.option_open_interest, ["underlying", "expiry"]))
 
@@ -40,11 +47,16 @@ ATM_ROWS = """rows as (
     where s.iv is not null qualify row_number() over (partition by s.option_ticker, s.ny_date order by s.snapshot_ts desc) = 1)"""
 ATM = """spots as (select underlying, trade_date, expiry, median(underlying_price) as spot from rows group by all),
 good as (select r.*, spot, abs(strike - spot) as dist from rows r join spots using (underlying, trade_date, expiry) where iv > 0 and iv < 10),
-atm as (select underlying, trade_date, expiry, arg_min(strike, (dist, option_ticker)) as atm_strike, arg_min(iv, (dist, option_ticker)) filter (option_right = 'C') as call_iv,
+atm as (select underlying, trade_date, expiry, arg_min(strike, (dist, option_ticker)) as atm_strike, arg_min(iv, (dist,
+    option_ticker)) filter (option_right = 'C') as call_iv,
     arg_min(iv, (dist, option_ticker)) filter (option_right = 'P') as put_iv, any_value(spot) as underlying_price from good group by all)"""
 
 
-@query("e4_atm_iv_rows", f"with {ATM_ROWS} select underlying, trade_date, option_ticker, epoch_us(snapshot_ts) as ts_us, iv, underlying_price, expiry, strike, option_right from rows")
+@query(
+    "e4_atm_iv_rows",
+    f"""with {ATM_ROWS} select underlying, trade_date, option_ticker, epoch_us(snapshot_ts) as ts_us, iv, underlying_price, expiry, strike,
+    option_right from rows""",
+)
 def _(m):
     rows = oa.atm_iv_rows(m.option_snapshot, m.option_contract, m.stock_daily)
     return rows.select("underlying", "trade_date", "option_ticker", F.unix_micros("snapshot_ts").alias("ts_us"), "iv", "underlying_price", "expiry", "strike", "option_right")
@@ -55,7 +67,11 @@ def _(m):
     return oa.atm_iv_daily(oa.atm_iv_rows(m.option_snapshot, m.option_contract, m.stock_daily))
 
 
-@query("e6_pcr_oi_totals", "select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put, cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint) as call from option_open_interest group by all")
+@query(
+    "e6_pcr_oi_totals",
+    """select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put, cast(sum(case
+    when option_right = 'C' then open_interest else 0 end) as bigint) as call from option_open_interest group by all""",
+)
 def _(m):
     return oa.pcr_totals(m.option_open_interest, "open_interest", ["underlying", "trade_date"])
 
@@ -71,9 +87,12 @@ def _(m):
 
 @query(
     "e8_pcr_daily",
-    f"""with {VOLUME}, oi as (select underlying, trade_date, sum(case when option_right = 'P' then open_interest else 0 end) as put, sum(case when option_right = 'C' then open_interest else 0 end) as call from option_open_interest group by all),
-    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi, coalesce(put_v, 0) as total_put_volume, coalesce(call_v, 0) as total_call_volume from oi full join vol using (underlying, trade_date))
-    select *, case when total_call_oi > 0 then round(cast(total_put_oi as double) / total_call_oi, 6) end as pcr_oi, case when total_call_volume > 0 then round(cast(total_put_volume as double) / total_call_volume, 6) end as pcr_volume
+    f"""with {VOLUME}, oi as (select underlying, trade_date, sum(case when option_right = 'P' then open_interest else 0 end) as put, sum(case
+        when option_right = 'C' then open_interest else 0 end) as call from option_open_interest group by all),
+    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi,
+        coalesce(put_v, 0) as total_put_volume, coalesce(call_v, 0) as total_call_volume from oi full join vol using (underlying, trade_date))
+    select *, case when total_call_oi > 0 then round(cast(total_put_oi as double) / total_call_oi, 6) end as pcr_oi, case
+        when total_call_volume > 0 then round(cast(total_put_volume as double) / total_call_volume, 6) end as pcr_volume
     from sums where total_put_oi + total_call_oi + total_put_volume + total_call_volume > 0""",
 )
 def _(m):
@@ -87,9 +106,11 @@ def _(m):
 
 @query(
     "e10_iv_percentile_daily",
-    """with daily as (select symbol, trade_date, median(atm_iv) as iv, row_number() over (partition by symbol order by trade_date) as n from atm_iv group by symbol, trade_date)
+    """with daily as (select symbol, trade_date, median(atm_iv) as iv, row_number() over (partition by symbol order by trade_date) as n from atm_iv
+        group by symbol, trade_date)
     select d.symbol, d.trade_date, d.iv as iv_current, round(100.0 * count(*) filter (h.iv <= d.iv) / count(*), 4) as iv_percentile_1y,
-        case when max(h.iv) > min(h.iv) then round(100.0 * (d.iv - min(h.iv)) / (max(h.iv) - min(h.iv)), 4) else 50.0 end as iv_rank_1y, cast(count(*) as int) as lookback_days
+        case when max(h.iv) > min(h.iv) then round(100.0 * (d.iv - min(h.iv)) / (max(h.iv) - min(h.iv)), 4) else 50.0 end as iv_rank_1y,
+            cast(count(*) as int) as lookback_days
     from daily d join daily h on h.symbol = d.symbol and h.n between d.n - 251 and d.n and h.trade_date >= d.trade_date - 534 group by d.symbol, d.trade_date, d.iv""",
 )
 def _(m):
@@ -110,7 +131,11 @@ def _(m):
 EXTRACT = """newest as (select * from option_snapshot where open_interest is not null qualify row_number() over (partition by option_ticker, ny_date order by snapshot_ts desc) = 1)"""
 
 
-@query("e12_oi_extract", f"with {EXTRACT} select n.option_ticker, n.ny_date as trade_date, c.underlying, c.expiry, c.strike, c.option_right, n.open_interest from newest n join option_contract c on c.option_ticker = n.option_ticker")
+@query(
+    "e12_oi_extract",
+    f"""with {EXTRACT} select n.option_ticker, n.ny_date as trade_date, c.underlying, c.expiry, c.strike, c.option_right, n.open_interest
+    from newest n join option_contract c on c.option_ticker = n.option_ticker""",
+)
 def _(m):
     # Half of the contracts are withheld: their identity has to come from the ticker.
     return oa.oi_extract(m.option_snapshot, m.option_contract.where("pk % 2 = 0"))
@@ -118,10 +143,13 @@ def _(m):
 
 @query(
     "e13_pcr_trend",
-    f"""with {EXTRACT}, held as (select * from option_open_interest where underlying <> 'UA'), base as (select underlying, trade_date, option_right, open_interest from held
-        union all select c.underlying, n.ny_date, c.option_right, n.open_interest from newest n join option_contract c on c.option_ticker = n.option_ticker where c.underlying not in (select underlying from held)),
+    f"""with {EXTRACT}, held as (select * from option_open_interest where underlying <> 'UA'), base as (select underlying, trade_date, option_right,
+        open_interest from held
+        union all select c.underlying, n.ny_date, c.option_right, n.open_interest from newest n join option_contract c
+            on c.option_ticker = n.option_ticker where c.underlying not in (select underlying from held)),
     recent as (select * from base qualify trade_date >= max(trade_date) over (partition by underlying) - 120),
-    sums as (select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put, cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint) as call from recent group by all)
+    sums as (select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put, cast(sum(case
+        when option_right = 'C' then open_interest else 0 end) as bigint) as call from recent group by all)
     select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums""",
 )
 def _(m):
@@ -158,7 +186,11 @@ def sessions(m):
     return calendar.is_trading_day(held, m.us_market_holiday, "day").where("is_trading").orderBy(F.desc("day")).limit(3).select("day")
 
 
-@query("e11_multi_day_atm_iv", f"with {ATM_ROWS}, {ATM}, {SESSIONS} select atm.*, coalesce((call_iv + put_iv) / 2, call_iv, put_iv) as atm_iv, 'snapshot' as iv_source from atm join days using (trade_date)")
+@query(
+    "e11_multi_day_atm_iv",
+    f"""with {ATM_ROWS}, {ATM}, {SESSIONS} select atm.*, coalesce((call_iv + put_iv) / 2, call_iv, put_iv) as atm_iv, 'snapshot' as iv_source from atm
+    join days using (trade_date)""",
+)
 def _(m):
     return oa.atm_iv_daily(oa.atm_iv_rows(oa.on_days(m.option_snapshot, sessions(m), "ny_date"), m.option_contract, m.stock_daily))
 
@@ -167,7 +199,8 @@ def _(m):
     "e11_multi_day_pcr",
     f"""with {VOLUME}, {SESSIONS}, oi as (select underlying, trade_date, sum(case when option_right = 'P' then open_interest else 0 end) as put,
         sum(case when option_right = 'C' then open_interest else 0 end) as call from option_open_interest group by all),
-    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi, coalesce(put_v, 0) as total_put_volume,
+    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi,
+        coalesce(put_v, 0) as total_put_volume,
         coalesce(call_v, 0) as total_call_volume from oi full join vol using (underlying, trade_date))
     select sums.*, case when total_call_oi > 0 then round(cast(total_put_oi as double) / total_call_oi, 6) end as pcr_oi,
         case when total_call_volume > 0 then round(cast(total_put_volume as double) / total_call_volume, 6) end as pcr_volume
@@ -180,7 +213,8 @@ def _(m):
 
 IV_RANK = """daily as (select symbol, trade_date, median(atm_iv) as iv, row_number() over (partition by symbol order by trade_date) as n from atm_iv group by symbol, trade_date),
     ranked as (select d.symbol, d.trade_date, d.iv as iv_current, round(100.0 * count(*) filter (h.iv <= d.iv) / count(*), 4) as iv_percentile_1y,
-        case when max(h.iv) > min(h.iv) then round(100.0 * (d.iv - min(h.iv)) / (max(h.iv) - min(h.iv)), 4) else 50.0 end as iv_rank_1y, cast(count(*) as int) as lookback_days
+        case when max(h.iv) > min(h.iv) then round(100.0 * (d.iv - min(h.iv)) / (max(h.iv) - min(h.iv)), 4) else 50.0 end as iv_rank_1y,
+            cast(count(*) as int) as lookback_days
     from daily d join daily h on h.symbol = d.symbol and h.n between d.n - 251 and d.n and h.trade_date >= d.trade_date - 534 group by d.symbol, d.trade_date, d.iv)"""
 
 
@@ -189,7 +223,11 @@ def _(m):
     return oa.on_days(oa.iv_percentile_daily(oa.iv_rollup(m.atm_iv)), sessions(m))
 
 
-@query("e18_read_iv_percentile", f"with {IV_RANK} select * from ranked where trade_date between date '2001-06-01' - 30 and date '2001-06-01' order by trade_date desc, symbol limit 500")
+@query(
+    "e18_read_iv_percentile",
+    f"""with {IV_RANK} select * from ranked where trade_date between date '2001-06-01' - 30 and date '2001-06-01' order by trade_date desc,
+    symbol limit 500""",
+)
 def _(m):
     return oa.read_daily(oa.iv_percentile_daily(oa.iv_rollup(m.atm_iv)), "symbol", F.lit(dt.date(2001, 6, 1)), 30)
 
@@ -198,7 +236,8 @@ def _(m):
     "e18_read_pcr",
     f"""with {VOLUME}, oi as (select underlying, trade_date, sum(case when option_right = 'P' then open_interest else 0 end) as put,
         sum(case when option_right = 'C' then open_interest else 0 end) as call from option_open_interest group by all),
-    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi, coalesce(put_v, 0) as total_put_volume,
+    sums as (select underlying, trade_date, cast(coalesce(put, 0) as bigint) as total_put_oi, cast(coalesce(call, 0) as bigint) as total_call_oi,
+        coalesce(put_v, 0) as total_put_volume,
         coalesce(call_v, 0) as total_call_volume from oi full join vol using (underlying, trade_date)),
     pcr as (select *, case when total_call_oi > 0 then round(cast(total_put_oi as double) / total_call_oi, 6) end as pcr_oi,
         case when total_call_volume > 0 then round(cast(total_put_volume as double) / total_call_volume, 6) end as pcr_volume
@@ -214,8 +253,10 @@ CHAIN = "chain as (select * from option_snapshot qualify row_number() over (part
 
 @query(
     "e14_chain_by_expiry",
-    f"""with {CHAIN} select c.underlying, c.expiry, cast(sum(case when c.option_right = 'P' then coalesce(s.open_interest, 0) else 0 end) as bigint) as put_oi, cast(sum(case when c.option_right = 'C' then coalesce(s.open_interest, 0) else 0 end) as bigint) as call_oi,
-        cast(sum(case when c.option_right = 'P' then coalesce(s.day_volume, 0) else 0 end) as bigint) as put_volume, cast(sum(case when c.option_right = 'C' then coalesce(s.day_volume, 0) else 0 end) as bigint) as call_volume
+    f"""with {CHAIN} select c.underlying, c.expiry, cast(sum(case when c.option_right = 'P' then coalesce(s.open_interest, 0)
+        else 0 end) as bigint) as put_oi, cast(sum(case when c.option_right = 'C' then coalesce(s.open_interest, 0) else 0 end) as bigint) as call_oi,
+        cast(sum(case when c.option_right = 'P' then coalesce(s.day_volume, 0) else 0 end) as bigint) as put_volume, cast(sum(case
+            when c.option_right = 'C' then coalesce(s.day_volume, 0) else 0 end) as bigint) as call_volume
     from option_contract c left join chain s on s.option_ticker = c.option_ticker group by c.underlying, c.expiry""",
 )
 def _(m):
@@ -228,9 +269,11 @@ def _(m):
     select c.underlying, c.expiry, cast(sum(case when c.option_right = 'P' then coalesce(s.open_interest, 0) else 0 end) as bigint) as put_oi,
         cast(sum(case when c.option_right = 'C' then coalesce(s.open_interest, 0) else 0 end) as bigint) as call_oi,
         cast(sum(case when c.option_right = 'P' then coalesce(s.day_volume, 0) else 0 end) as bigint) as put_volume,
-        cast(sum(case when c.option_right = 'C' then coalesce(s.day_volume, 0) else 0 end) as bigint) as call_volume, max(s.ny_date) as snap_day, 'option_snapshot' as basis
+        cast(sum(case when c.option_right = 'C' then coalesce(s.day_volume, 0) else 0 end) as bigint) as call_volume, max(s.ny_date) as snap_day,
+            'option_snapshot' as basis
     from known c left join chain s on s.option_ticker = c.option_ticker group by c.underlying, c.expiry
-    union all select underlying, expiry, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint), cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint),
+    union all select underlying, expiry, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint), cast(sum(case
+        when option_right = 'C' then open_interest else 0 end) as bigint),
         0, 0, date '2001-06-01', 'option_open_interest' from option_open_interest
     where trade_date = date '2001-06-01' and underlying not in (select underlying from known) group by underlying, expiry""",
 )
@@ -248,25 +291,39 @@ def _(m):
 @query(
     "e16_liquidity_summary",
     f"""with {CHAIN}, few as (select * from chain qualify row_number() over (partition by underlying order by option_ticker) <= 50),
-    lists as (select underlying, count(*) as contracts, list(open_interest order by open_interest) filter (open_interest is not null) as oi, list(day_volume order by day_volume) as vol from few group by underlying)
-    select underlying, contracts, cast(len(oi) as int) as oi_count, cast(list_sum(oi) as bigint) as oi_sum, oi[1 + cast(round_even((len(oi) - 1) * 0.5, 0) as int)] as oi_p50, oi[1 + cast(round_even((len(oi) - 1) * 0.9, 0) as int)] as oi_p90,
+    lists as (select underlying, count(*) as contracts, list(open_interest order by open_interest) filter (open_interest is not null) as oi,
+        list(day_volume order by day_volume) as vol from few group by underlying)
+    select underlying, contracts, cast(len(oi) as int) as oi_count, cast(list_sum(oi) as bigint) as oi_sum,
+        oi[1 + cast(round_even((len(oi) - 1) * 0.5, 0) as int)] as oi_p50, oi[1 + cast(round_even((len(oi) - 1) * 0.9, 0) as int)] as oi_p90,
         cast(len(vol) as int) as vol_count, cast(list_sum(vol) as bigint) as vol_sum, vol[1 + cast(round_even((len(vol) - 1) * 0.5, 0) as int)] as vol_p50, vol[1 + cast(round_even((len(vol) - 1) * 0.9, 0) as int)] as vol_p90 from lists""",
 )
 def _(m):
     return oa.liquidity_summary(m.option_snapshot, 50)
 
 
-@query("e17_iv_curve", f"with {CHAIN} select c.underlying, c.expiry, c.option_right, c.strike, s.iv, s.option_ticker from chain s join option_contract c on c.option_ticker = s.option_ticker where s.iv > 0 and s.iv < 10")
+@query(
+    "e17_iv_curve",
+    f"""with {CHAIN} select c.underlying, c.expiry, c.option_right, c.strike, s.iv, s.option_ticker from chain s join option_contract c
+    on c.option_ticker = s.option_ticker where s.iv > 0 and s.iv < 10""",
+)
 def _(m):
     return oa.iv_curve(m.option_snapshot, m.option_contract)
 
 
-@query("e18_read_max_pain", f"with {PAIN}, {BEST} select * from best where trade_date between date '2000-06-01' - 60 and date '2000-06-01' order by trade_date desc, underlying, expiry limit 500")
+@query(
+    "e18_read_max_pain",
+    f"""with {PAIN}, {BEST} select * from best where trade_date between date '2000-06-01' - 60 and date '2000-06-01' order by trade_date desc,
+    underlying, expiry limit 500""",
+)
 def _(m):
     return oa.read_daily(oa.max_pain_daily(m.option_open_interest), "underlying", F.lit(dt.date(2000, 6, 1)), 60)
 
 
-@query("e18_read_atm_iv", "select * from (select symbol, trade_date, expiry, atm_iv from atm_iv qualify trade_date = max(trade_date) over (partition by symbol)) x order by trade_date desc, symbol, expiry limit 500")
+@query(
+    "e18_read_atm_iv",
+    """select * from (select symbol, trade_date, expiry, atm_iv from atm_iv qualify trade_date = max(trade_date) over (partition by symbol)) x
+    order by trade_date desc, symbol, expiry limit 500""",
+)
 def _(m):
     return oa.read_daily(m.atm_iv)
 
@@ -276,22 +333,38 @@ def _(m):
     return latest.chain_latest(m.option_snapshot).select("option_ticker", "underlying", F.unix_micros("snapshot_ts").alias("ts_us"), "iv", "open_interest", "day_volume")
 
 
-@query("d3_snapshot_with_stock", "select s.option_ticker, epoch_us(s.snapshot_ts) as ts_us, s.ny_date, s.iv, d.close as underlying_price from option_snapshot s left join stock_daily d on d.symbol = s.underlying and d.bar_date = s.ny_date")
+@query(
+    "d3_snapshot_with_stock",
+    """select s.option_ticker, epoch_us(s.snapshot_ts) as ts_us, s.ny_date, s.iv, d.close as underlying_price from option_snapshot s left
+    join stock_daily d on d.symbol = s.underlying and d.bar_date = s.ny_date""",
+)
 def _(m):
     return oa.with_stock(m.option_snapshot, m.stock_daily).select("option_ticker", F.unix_micros("snapshot_ts").alias("ts_us"), "ny_date", "iv", "underlying_price")
 
 
-@query("d4_latest_per_day", "select option_ticker, ny_date, epoch_us(max(snapshot_ts)) as ts_us, arg_max(day_volume, snapshot_ts) as day_volume from option_snapshot group by option_ticker, ny_date")
+@query(
+    "d4_latest_per_day",
+    """select option_ticker, ny_date, epoch_us(max(snapshot_ts)) as ts_us, arg_max(day_volume, snapshot_ts) as day_volume from option_snapshot
+    group by option_ticker, ny_date""",
+)
 def _(m):
     return latest.latest_per_day(m.option_snapshot).select("option_ticker", "ny_date", F.unix_micros("snapshot_ts").alias("ts_us"), "day_volume")
 
 
-@query("d12_near_term_contracts", "select option_ticker, underlying, expiry, strike, option_right from option_contract where expiry between date '2004-01-01' and date '2004-01-01' + 120 qualify row_number() over (partition by underlying order by expiry, strike, option_right, option_ticker) <= 10")
+@query(
+    "d12_near_term_contracts",
+    """select option_ticker, underlying, expiry, strike, option_right from option_contract where expiry between date '2004-01-01'
+    and date '2004-01-01' + 120 qualify row_number() over (partition by underlying order by expiry, strike, option_right, option_ticker) <= 10""",
+)
 def _(m):
     return latest.near_term_contracts(m.option_contract, F.lit(dt.date(2004, 1, 1)), 120, 10).select("option_ticker", "underlying", "expiry", "strike", "option_right")
 
 
-@query("d13_full_outer_merge", f"with {VOLUME}, oi as (select underlying, trade_date, cast(sum(open_interest) as bigint) as oi from option_open_interest group by all) select underlying, trade_date, coalesce(oi, 0) as oi, coalesce(put_v + call_v, 0) as volume from oi full join vol using (underlying, trade_date)")
+@query(
+    "d13_full_outer_merge",
+    f"""with {VOLUME}, oi as (select underlying, trade_date, cast(sum(open_interest) as bigint) as oi from option_open_interest group by all)
+    select underlying, trade_date, coalesce(oi, 0) as oi, coalesce(put_v + call_v, 0) as volume from oi full join vol using (underlying, trade_date)""",
+)
 def _(m):
     oi = m.option_open_interest.groupBy("underlying", "trade_date").agg(F.sum("open_interest").alias("oi"))
     volume = oa.volume_rows(m.option_snapshot, m.option_contract).groupBy("underlying", "trade_date").agg(F.sum("day_volume").alias("volume"))

@@ -25,10 +25,13 @@ def messages(events: DataFrame) -> DataFrame:
 
 
 SQL = """e as (
-    select event_id, case event_type when 'click' then 'Q' when 'view' then 'AM' when 'purchase' then 'T' when 'error' then 'status' end as ev, epoch_us(ts) // 1000 as t, value, user_id,
+    select event_id, case event_type when 'click' then 'Q' when 'view' then 'AM' when 'purchase' then 'T' when 'error' then 'status' end as ev,
+        epoch_us(ts) // 1000 as t, value, user_id,
         'U' || translate(cast(user_id % 20 as varchar), '0123456789', 'ABCDEFGHIJ') as symbol, 100 + (user_id % 7) * 2.5 as strike from events
 ), f as (
-    select event_id, symbol || '|OPT|20040116|' || case when strike = floor(strike) then cast(cast(strike as int) as varchar) else cast(cast(strike as decimal(8, 1)) as varchar) end || '|' || case when user_id % 2 = 0 then 'C' else 'P' end as contract_key, symbol, ev, t, value
+    select event_id, symbol || '|OPT|20040116|' || case when strike = floor(strike) then cast(cast(strike as int) as varchar)
+        else cast(cast(strike as decimal(8, 1)) as varchar) end || '|' || case when user_id % 2 = 0 then 'C' else 'P' end as contract_key, symbol, ev, t,
+        value
     from e where ev is not null and event_id % 50 <> 7
 )"""
 
@@ -48,12 +51,20 @@ def _(m):
     return feed.decoded(messages(m.events)).select("event_id", "ev", "t")
 
 
-@query("k2_normalize_event", f"with {SQL} select event_id, contract_key, ev, t, case when ev = 'Q' then value end as bid, case when ev = 'T' then value end as last, case when ev = 'AM' then value end as close from f")
+@query(
+    "k2_normalize_event",
+    f"""with {SQL} select event_id, contract_key, ev, t, case when ev = 'Q' then value end as bid, case when ev = 'T' then value end as last, case
+    when ev = 'AM' then value end as close from f""",
+)
 def _(m):
     return _feed(m).select("event_id", "contract_key", "ev", "t", "bid", "last", "close")
 
 
-@query("k3_latest_quote_state", f"with {SQL} select contract_key, max(t) as t, arg_max(event_id, (t, event_id)) as event_id, arg_max(ev, (t, event_id)) as ev from f group by contract_key")
+@query(
+    "k3_latest_quote_state",
+    f"""with {SQL} select contract_key, max(t) as t, arg_max(event_id, (t, event_id)) as event_id, arg_max(ev, (t, event_id)) as ev from f
+    group by contract_key""",
+)
 def _(m):
     latest = feed.latest_quotes(_stream(m).select("contract_key", "t", "event_id", "ev"), ["t", "event_id"])
     return feed.run_to_files(latest, "quotes", "complete")
@@ -87,17 +98,27 @@ def _(m):
     return feed.run_to_files(_stream(m).select("contract_key", "t", "event_id"), "buffer", "append", keep=feed.BUFFER)
 
 
-@query("k5_stream_health_metrics", f"with {SQL} select count(*) as messages, max(t) as last_t, (epoch_ms(timestamp '2024-01-31 00:00:00') - max(t)) / 1000 > 120 as stale from f")
+@query(
+    "k5_stream_health_metrics",
+    f"""with {SQL} select count(*) as messages, max(t) as last_t, (epoch_ms(timestamp '2024-01-31 00:00:00') - max(t)) / 1000 > 120 as stale from f""",
+)
 def _(m):
     return feed.health(_feed(m), F.lit(1706659200000))
 
 
-@query("k6_watchlist_stream_filter", f"with {SQL} select event_id, contract_key from f where symbol in (select symbol from ticker where instrument_type = 'cs')")
+@query(
+    "k6_watchlist_stream_filter",
+    f"""with {SQL} select event_id, contract_key from f where symbol in (select symbol from ticker where instrument_type = 'cs')""",
+)
 def _(m):
     return feed.watched(_feed(m), m.ticker.where("instrument_type = 'cs'")).select("event_id", "contract_key")
 
 
-@query("k6_subscription_diff", "select symbol, 'add' as action from ticker where instrument_type = 'cs' and market <> 'stocks' union all select symbol, 'remove' from ticker where market = 'stocks' and instrument_type is distinct from 'cs'")
+@query(
+    "k6_subscription_diff",
+    """select symbol, 'add' as action from ticker where instrument_type = 'cs' and market <> 'stocks' union all select symbol, 'remove' from ticker
+    where market = 'stocks' and instrument_type is distinct from 'cs'""",
+)
 def _(m):
     return feed.subscription_diff(m.ticker.where("market = 'stocks'"), m.ticker.where("instrument_type = 'cs'"))
 
