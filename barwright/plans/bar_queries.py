@@ -150,19 +150,43 @@ def _(m):
     return indicators.sma(m.stock_daily, 20).withColumn("sma", F.round("sma", 6))
 
 
-@query("l2_ema")
+CLOSES = """b as materialized (select symbol, bar_date, close, row_number() over (partition by symbol order by bar_date) as k
+    from stock_daily where close is not null)"""
+
+
+def smoothed(name: str, rows: str, value: str, window: int, alpha: str) -> str:
+    """Recursive SQL for exponential smoothing of a column from the mean of its first values; rows have symbol and k = 1, 2, ..."""
+    return f"""{name} as (select symbol, cast({window} as bigint) as k, avg({value}) as v from {rows} where k <= {window} group by symbol having count(*) = {window}
+    union all select n.symbol, n.k, {alpha} * n.{value} + (1 - {alpha}) * s.v from {name} s join {rows} n on n.symbol = s.symbol and n.k = s.k + 1)"""
+
+
+@query("l2_ema", f"with recursive {CLOSES}, {smoothed('r', 'b', 'close', 10, '(2 / 11)')} select symbol, bar_date, round(r.v, 6) as ema from b left join r using (symbol, k)")
 def _(m):
     return indicators.ema(m.stock_daily, 10).withColumn("ema", F.round("ema", 6))
 
 
-@query("l3_rsi")
+@query(
+    "l3_rsi",
+    f"""with recursive {CLOSES}, d as (select symbol, k - 1 as k, close - lag(close) over (partition by symbol order by k) as d from b),
+    steps as materialized (select symbol, k, greatest(d, 0) as up, greatest(-d, 0) as down from d where k > 0),
+    {smoothed('u', 'steps', 'up', 14, '(1 / 14)')}, {smoothed('w', 'steps', 'down', 14, '(1 / 14)')}
+    select b.symbol, b.bar_date, round(case when w.v = 0 then 100 else 100 - 100 / (1 + u.v / w.v) end, 6) as rsi
+    from b left join u on u.symbol = b.symbol and u.k = b.k - 1 left join w on w.symbol = b.symbol and w.k = b.k - 1""",
+)
 def _(m):
     return indicators.rsi(m.stock_daily).withColumn("rsi", F.round("rsi", 6))
 
 
-@query("l4_macd")
+@query(
+    "l4_macd",
+    f"""with recursive {CLOSES}, {smoothed('s', 'b', 'close', 12, '(2 / 13)')}, {smoothed('l', 'b', 'close', 26, '(2 / 27)')},
+    m as materialized (select s.symbol, s.k - 25 as k, s.v - l.v as d from s join l using (symbol, k)), {smoothed('g', 'm', 'd', 9, '(2 / 10)')}
+    select b.symbol, b.bar_date, round(m.d, 6) as macd, round(g.v, 6) as signal, round(m.d - g.v, 6) as histogram
+    from b left join m on m.symbol = b.symbol and m.k = b.k - 25 left join g on g.symbol = b.symbol and g.k = b.k - 25""",
+)
 def _(m):
-    return indicators.macd(m.stock_daily)
+    out = indicators.macd(m.stock_daily)
+    return out.withColumns({c: F.round(c, 6) for c in ("macd", "signal", "histogram")})
 
 
 @query(
