@@ -160,6 +160,7 @@ def test_decontamination_in_several_blocks(spark, monkeypatch):
     whole = pairs()
     monkeypatch.setattr(decontaminate, "BLOCK", 4)
     monkeypatch.setattr(decontaminate, "PASS", 3)
+    monkeypatch.setattr(decontaminate, "STRETCH", 48)  # and texts in several stretches
     assert whole == pairs() == {(i, i % 30) for i in range(60) if i % 2}
 
 
