@@ -47,7 +47,8 @@ def rotated(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
 def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every participant's view of every conversation, turn by turn, with a digest of each segment."""
     views = rotated(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
-    return views.select("conv_id", "perspective", "turn", "role", "name", F.md5(F.col("segment").cast("binary")).alias("digest"), "mask", F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"))
+    digest, offsets = F.md5(F.col("segment").cast("binary")).alias("digest"), [F.col(c).cast("long").alias(c) for c in ("char_start", "char_end")]
+    return views.select("conv_id", "perspective", "turn", "role", "name", digest, "mask", *offsets)
 
 
 OP9_SQL = """

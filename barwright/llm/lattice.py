@@ -86,7 +86,8 @@ def hashed(classes: DataFrame, tables: int = TABLES, blocks: int = BLOCKS, scale
                     rep, sign = some["rep"].to_numpy(), signs(x)
                     for t in range(tables):
                         found = cells(x, t, blocks, scale)
-                        yield pd.DataFrame({"t": t, "cell": np.concatenate(found), "rep": np.tile(rep, len(found)), "own": np.repeat(np.arange(len(found)) == 0, len(rep)), "signs": np.tile(sign, len(found))})
+                        own = np.repeat(np.arange(len(found)) == 0, len(rep))
+                        yield pd.DataFrame({"t": t, "cell": np.concatenate(found), "rep": np.tile(rep, len(found)), "own": own, "signs": np.tile(sign, len(found))})
 
     return classes.select("rep", "embedding").mapInPandas(emit, "t int, cell long, rep long, own boolean, signs long")
 
@@ -156,7 +157,8 @@ def crowded_links(classes: DataFrame, filed: DataFrame, crowded: DataFrame, leas
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector: str = "embedding", tables: int = TABLES, blocks: int = BLOCKS, scale: float = SCALE, crowd: int = CROWDED, chunk: int = CHUNK
+    vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector: str = "embedding", tables: int = TABLES, blocks: int = BLOCKS, scale: float = SCALE,
+    crowd: int = CROWDED, chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept.
 

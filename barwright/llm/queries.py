@@ -13,6 +13,10 @@ from .simhash import op5_simhash_near_dedup
 from .token_counts import op8_token_counts
 from .toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_benchmark_decontamination, op4_secret_scan, op5_simhash_near_dedup, op6_lm_scores, op7_embedding_near_dedup, op8_token_counts, op9_chat_rotation, op10_source_mix)}
+OPERATORS = (
+    op1_toxicity, op2_language_id, op3_benchmark_decontamination, op4_secret_scan, op5_simhash_near_dedup, op6_lm_scores, op7_embedding_near_dedup,
+    op8_token_counts, op9_chat_rotation, op10_source_mix,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 ORACLE_SQL: dict[str, str] = {"op9_chat_rotation": OP9_SQL}

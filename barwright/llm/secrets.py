@@ -20,17 +20,22 @@ REDACTED = "[REDACTED]"
 #: Words that name credentials, and everyday words of addresses, examples and file names.
 KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "auth", "bearer", "credential", "private_key")
 DICTIONARY = (
-    "about", "account", "address", "archive", "article", "branch", "build", "change", "class", "client", "com", "commit", "config", "content", "data", "default", "demo", "docs", "domain", "dummy",
-    "example", "file", "format", "function", "github", "group", "hash", "home", "html", "http", "https", "image", "index", "info", "item", "license", "link", "list", "local", "localhost", "mail",
-    "main", "master", "mock", "model", "name", "net", "null", "number", "object", "org", "package", "page", "path", "placeholder", "print", "product", "public", "release", "report", "return", "sample",
-    "schema", "script", "server", "service", "session", "source", "sha", "static", "string", "system", "table", "test", "title", "type", "update", "user", "value", "version", "web", "www", "xxxx", "your",
+    "about", "account", "address", "archive", "article", "branch", "build", "change", "class", "client", "com", "commit", "config", "content", "data",
+    "default", "demo", "docs", "domain", "dummy", "example", "file", "format", "function", "github", "group", "hash", "home", "html", "http", "https",
+    "image", "index", "info", "item", "license", "link", "list", "local", "localhost", "mail", "main", "master", "mock", "model", "name", "net",
+    "null", "number", "object", "org", "package", "page", "path", "placeholder", "print", "product", "public", "release", "report", "return",
+    "sample", "schema", "script", "server", "service", "session", "source", "sha", "static", "string", "system", "table", "test", "title", "type",
+    "update", "user", "value", "version", "web", "www", "xxxx", "your",
 )
 #: Forms that name their issuer or their use, and forms of things that are no secrets. They label findings for the fit only.
 CERTAIN_SECRET = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35})$"
 CERTAIN_OTHER = r"^([^@]+@[^@]+\.[a-z]+|https?://.*|[0-9.:/+()-]+|[0-9]{4}-[0-9]{2}-[0-9]{2}.*|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[a-z]+([._/-][a-z]+)*[0-9]{0,4}|[A-Z]+|[^\x00-\x7f]+.*)$"
 STAND_IN = r"example|changeme|placeholder|your|xxx|\*\*\*|^<|\$\{"
 ASSIGNED_HEX = r"^[0-9a-fA-F]{16,}$"
-FEATURES = ("length", "transitions", "digit_share", "upper_share", "hex_share", "distinct_share", "symbol_share", "coverage", "key_before", "key_inside", "assigned", "quoted", "path_depth", "path_test", "previous_length", "next_length")
+FEATURES = (
+    "length", "transitions", "digit_share", "upper_share", "hex_share", "distinct_share", "symbol_share", "coverage", "key_before", "key_inside", "assigned", "quoted",
+    "path_depth", "path_test", "previous_length", "next_length",
+)
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = DICTIONARY_SIZE) -> DataFrame:
@@ -137,7 +142,8 @@ def judged(found: DataFrame, findings: DataFrame) -> DataFrame:
     share = F.when(F.col("label") == 1, MAX_LABELLED / 2 / sizes[1.0]).otherwise(MAX_LABELLED / 2 / sizes[0.0])
     rows = stored(findings.where(unit_hash(F.col("value"), F.col("id"), F.col("place")) < share).select("label", *FEATURES))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    forest = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, maxBins=32, seed=13, probabilityCol="_share", rawPredictionCol="_raw", predictionCol="_guess")
+    columns = {"featuresCol": "_features", "labelCol": "label", "probabilityCol": "_share", "rawPredictionCol": "_raw", "predictionCol": "_guess"}
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=32, seed=13, **columns)
     model = forest.fit(assembler.transform(rows))
     scored = model.transform(assembler.transform(found))
     return scored.withColumn("score", vector_to_array("_share")[1]).drop("_features", "_share", "_raw", "_guess")
