@@ -158,7 +158,7 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "d
     A word is looked at as a whole: values that hold white space are not found.
     """
     dictionary = frequent_words(docs, text)
-    found = stored(featured(candidates(docs, id_col, text, path), dictionary))
+    found = stored(featured(stored(candidates(docs, id_col, text, path)), dictionary))
     known = labelled(found) if findings is None else featured(findings, dictionary)
     return judged(found, known).where(F.col("score") >= LEAST).select(F.col("id").alias(id_col), "place", "value", "score")
 
