@@ -48,8 +48,8 @@ def chain_eod_by_keys(requests: DataFrame, contracts: DataFrame, snapshots: Data
     from .options_analytics import with_stock
 
     found = resolve_keys(requests, contracts).select("option_ticker", "contract_key").distinct()
-    asked = snapshots.where(F.col("ny_date") >= since).join(found.select("option_ticker").distinct(), "option_ticker", "left_semi")
-    return with_stock(latest_per_day(asked).join(found, "option_ticker"), stock_daily)
+    asked = snapshots.where(F.col("ny_date") >= since).join(found, "option_ticker")  # a contract has one key
+    return with_stock(latest_per_day(asked), stock_daily)
 
 
 def contracts_list(contracts: DataFrame) -> DataFrame:

@@ -100,11 +100,15 @@ def iv_rollup(atm: DataFrame) -> DataFrame:
 
 
 def iv_percentile_daily(daily: DataFrame, window: int = 252) -> DataFrame:
-    """Percentile and rank of each day's IV among the last `window` values within 2 * window + 30 days, that day included."""
-    w = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(-(window - 1), 0)
-    rows = daily.withColumn("h", F.collect_list(F.struct("trade_date", "iv")).over(w))  # window values at most
-    since = F.date_sub("trade_date", 2 * window + 30)
-    rows = rows.withColumn("h", F.transform(F.filter("h", lambda x: x["trade_date"] >= since), lambda x: x["iv"]))
+    """Percentile and rank of each day's IV among the last `window` values within 2 * window + 30 days, that day included.
+
+    daily has one row for each symbol and day. As the days ascend, the values too old stand first: how many are left is a count over days.
+    """
+    w = Window.partitionBy("symbol").orderBy("_day")
+    rows = daily.where("iv is not null").withColumn("_day", F.unix_date("trade_date"))
+    values, recent = F.collect_list("iv").over(w.rowsBetween(-(window - 1), 0)), F.count("*").over(w.rangeBetween(-(2 * window + 30), 0))  # window values at most
+    rows = rows.withColumns({"h": values, "_recent": recent.cast("int")})
+    rows = rows.withColumn("h", F.slice("h", -F.least(F.col("_recent"), F.size("h")), F.least(F.col("_recent"), F.size("h"))))
     n, low, high, cur = F.size("h"), F.array_min("h"), F.array_max("h"), F.col("iv")
     percentile = F.round(100.0 * F.size(F.filter("h", lambda x: x <= F.col("iv"))) / n, 4)
     rank = F.when(high > low, F.round(100.0 * F.try_divide(cur - low, high - low), 4)).otherwise(50.0)
