@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar, coverage as cov, fundamentals as fun, joblog
 from ..sources import sinks
-from .bar_queries import OPTION_DAILY, UNIVERSE, option_daily
+from .bar_queries import OPTION_DAILY, option_daily
 from .registry import query
 
 D = lambda y, m, d: F.lit(dt.date(y, m, d))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
-    as_float, as_int, epoch_ms_to_date, epoch_ms_to_ts, normalize_expiry, normalize_period, normalize_symbol, parse_date, parse_option_right, parse_option_ticker, parse_timestamptz, period_label, snapshot_ts_auto,
+    as_float, as_int, epoch_ms_to_date, epoch_ms_to_ts, normalize_period, normalize_symbol, parse_date, parse_option_right, parse_option_ticker, parse_timestamptz, period_label, snapshot_ts_auto,
 )
 
 BAR = "t bigint, o double, h double, l double, c double, v double, vw double, n bigint"
