@@ -27,7 +27,7 @@ END = b"\n"
 #: Columns that `scored` adds, and those that it needs on the way.
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 PRIVATE = ("_part", "_words", "_tf", "_codes", "_reps", "_known", "_base", "_more", "_c", "_word", "_code", "_log")
-_SYMBOL = np.uint64(8)
+_SYMBOL, _OWNERS = np.uint64(8), 1 << 16
 
 
 def stream(text: str | None) -> bytes:
@@ -48,16 +48,26 @@ def grams(streams: list[bytes], order: int = ORDER) -> np.ndarray:
 
 
 def blocks(streams: list[bytes], order: int, block: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Stretches lo:hi of the streams with their distinct codes and, for each byte, the place of its code and the number of its stream."""
+    """Stretches lo:hi of the streams with their distinct codes and, for each byte in some order, the place of its code and the number of its stream.
+
+    Where code and number fit into 64 bits together they are sorted as one number, which takes half the time.
+    """
     sizes = np.fromiter(map(len, streams), np.int64, len(streams)) + 1
     number = (np.cumsum(sizes) // block).tolist()
     lo = 0
     while lo < len(streams):
         hi = lo + 1
-        while hi < len(streams) and number[hi] == number[lo]:
+        while hi < len(streams) and number[hi] == number[lo] and hi - lo < _OWNERS:
             hi += 1
-        codes, where = np.unique(grams(streams[lo:hi], order), return_inverse=True)
-        yield lo, hi, codes, where, np.repeat(np.arange(hi - lo), sizes[lo:hi])
+        code, owner = grams(streams[lo:hi], order), np.repeat(np.arange(hi - lo), sizes[lo:hi])
+        if 8 * (order + 1) + 16 <= 64:
+            both = (code << np.uint64(16)) | owner.astype(np.uint64)
+            both.sort()
+            code, owner = both >> np.uint64(16), (both & np.uint64(_OWNERS - 1)).astype(np.int64)
+            first = np.flatnonzero(np.diff(code, prepend=~code[:1]))
+            yield lo, hi, code[first], np.repeat(np.arange(len(first)), np.diff(np.append(first, len(code)))), owner
+        else:
+            yield lo, hi, *np.unique(code, return_inverse=True), owner
         lo = hi
 
 
@@ -126,21 +136,29 @@ class Trie:
         return out
 
 
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of several lists with their summed counts."""
+    codes, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+    return codes, np.bincount(where, np.concatenate([n for _, n in held]), len(codes)).astype(np.int64)
+
+
 def code_counts(texts: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
     """Rows (code, n): the codes (context of `order` bytes, byte) of all texts with their counts, the leaves of the trie. Stored."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             streams = [stream(t) for t in batch["text"]]
             for lo in range(0, len(streams), SLICE):
-                new, n = np.unique(grams(streams[lo : lo + SLICE], order), return_counts=True)
-                codes, where = np.unique(np.concatenate([codes, new]), return_inverse=True)
-                counts = np.bincount(where, np.concatenate([counts, n])).astype(np.int64)
-                if len(codes) > 1_000_000:
-                    yield pd.DataFrame({"code": codes.view(np.int64), "n": counts})
-                    codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        yield pd.DataFrame({"code": codes.view(np.int64), "n": counts})
+                held.append(np.unique(grams(streams[lo : lo + SLICE], order), return_counts=True))
+                if sum(len(codes) for codes, _ in held) > 2_000_000:
+                    held = [_added(held)]
+                    if len(held[0][0]) > 1_000_000:
+                        yield pd.DataFrame({"code": held[0][0].view(np.int64), "n": held[0][1]})
+                        held = []
+        if held:
+            codes, counts = _added(held)
+            yield pd.DataFrame({"code": codes.view(np.int64), "n": counts})
 
     bounded_batches(texts.sparkSession)
     return stored(texts.select(F.col(text).alias("text")).mapInPandas(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
@@ -272,7 +290,8 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
                     n_known = int(n_ends > 0) + len(tokens) - sum(tf)
                     for k, v in zip(rows, (len(tokens) + 1, n_known, part, rest, tf), strict=True):
                         rows[k].append(v)
-                arrays = [pa.array(rows["n_tokens"], pa.int64()), pa.array(rows["n_known"], pa.int64()), pa.array(rows["_part"], pa.float64()), pa.array(rows["_words"], pa.list_(pa.binary())), pa.array(rows["_tf"], pa.list_(pa.int64()))]
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+                arrays = [pa.array(values, kind) for values, kind in zip(rows.values(), kinds, strict=True)]
                 if whole_trie:
                     part_score, codes, reps = trie.scores(streams), [[]] * len(streams), [[]] * len(streams)
                 else:
