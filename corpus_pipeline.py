@@ -29,7 +29,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a stored key for each row, as ids may be null or repeated, and the key's name, which no column of docs has."""
     key = unused(docs, "_row")
-    return stored(docs.withColumn(key, F.monotonically_increasing_id())), key
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), compression="zstd"), key
+
+
+def with_digest(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
+    """docs with the MD5 digest of columns, by which rows alike in them are found again, and its name. It is null where the text is."""
+    key = unused(docs, "_digest")
+    others = [F.coalesce(c, F.lit("")) for c in columns]
+    return docs.withColumn(key, F.md5(F.concat(*(F.concat(c, F.lit("\0")) for c in others), F.col("text")).cast("binary"))), key
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +55,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item; null and empty texts, and rows with null or repeated ids that hold none, stay.
 
-    All columns stay as they are. Without items, or rows, nothing goes.
+    All columns stay as they are. Without items, or rows, nothing goes. Equal texts hold the same items, so a digest of the text tells rows apart.
     """
-    rows, key = keyed(docs)
+    rows, key = with_digest(docs)
     found = decontaminate.leaks(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     found = stored(found.select(F.col("doc_id").alias(key)).distinct())
     return rows.join(found, key, "left_anti").select(*docs.columns)
@@ -59,9 +66,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; every row stays, n_chars follows its text, and all other columns stay as they are.
 
-    Null texts stay null with null n_chars; repeated rows are redacted alike; an empty table stays empty.
+    Null texts stay null with null n_chars; repeated rows are redacted alike; an empty table stays empty. Rows of one text and source hold
+    the same secrets, so a digest of both tells rows apart.
     """
-    rows, key = keyed(docs)
+    rows, key = with_digest(docs, "source")
     found = stored(secrets.secrets(rows.select(key, "text", "source"), id_col=key).select(key, "value").distinct())
     return secrets.redacted(rows, found, key).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
