@@ -32,11 +32,10 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     return stored(docs.withColumn(key, F.monotonically_increasing_id()), compression="zstd"), key
 
 
-def with_digest(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
-    """docs with the MD5 digest of columns, by which rows alike in them are found again, and its name. It is null where the text is."""
+def with_digest(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with the MD5 digest of the text, by which rows alike in it are found again, and its name. It is null where the text is."""
     key = unused(docs, "_digest")
-    others = [F.coalesce(c, F.lit("")) for c in columns]
-    return docs.withColumn(key, F.md5(F.concat(*(F.concat(c, F.lit("\0")) for c in others), F.col("text")).cast("binary"))), key
+    return docs.withColumn(key, F.md5(F.col("text").cast("binary"))), key
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,9 +66,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts; every row stays, n_chars follows its text, and all other columns stay as they are.
 
     Null texts stay null with null n_chars; repeated rows are redacted alike; an empty table stays empty. Rows of one text and source hold
-    the same secrets, so a digest of both tells rows apart.
+    the same secrets, so a hash of both tells rows apart; should two hashes meet, a value is only replaced where a text holds it.
     """
-    rows, key = with_digest(docs, "source")
+    key = unused(docs, "_hash")
+    rows = docs.withColumn(key, F.xxhash64("text", "source"))
     found = stored(secrets.secrets(rows.select(key, "text", "source"), id_col=key).select(key, "value").distinct())
     return secrets.redacted(rows, found, key).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
