@@ -78,7 +78,7 @@ def term_list(text: Column) -> Column:
 
 
 def term_counts(docs: DataFrame, vocabulary: set[str] | None) -> DataFrame:
-    """Rows (id, n, terms, counts) for documents (id, text) with a term: how many terms the text has, and its distinct ones (those of the vocabulary, if given)
+    """Rows (id, n, terms, counts) for documents (id, text) with a term, ids as text (pandas would turn those of a batch with a null into doubles): how many terms the text has, and its distinct ones (those of the vocabulary, if given)
     with their counts."""
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
     find, lower = re.compile(TERM).findall, str.maketrans(UPPER, LOWER)
@@ -94,9 +94,9 @@ def term_counts(docs: DataFrame, vocabulary: set[str] | None) -> DataFrame:
                 if counts:
                     held = counts if wanted is None else {t: c for t, c in counts.items() if t in wanted}
                     rows.append((i, sum(counts.values()), list(held), list(held.values())))
-            yield pd.DataFrame(rows, columns=["id", "n", "terms", "counts"]).astype({"id": "Int64"})
+            yield pd.DataFrame(rows, columns=["id", "n", "terms", "counts"])
 
-    return docs.where(F.col("text").isNotNull()).select("id", "text").mapInPandas(emit, "id long, n long, terms array<string>, counts array<long>")
+    return docs.where(F.col("text").isNotNull()).select("id", "text").mapInPandas(emit, "id string, n long, terms array<string>, counts array<long>")
 
 
 def best_of(counted: DataFrame, index: Index, k: int) -> DataFrame:
@@ -108,21 +108,13 @@ def best_of(counted: DataFrame, index: Index, k: int) -> DataFrame:
         heaps, step = Heaps(len(index.rows), k), max(1, STEP // max(1, len(index.items)))
         for batch in batches:
             null = batch["id"].isna().to_numpy()
-            ids = batch["id"].fillna(0).to_numpy(np.int64)
+            ids = np.array([int(i or 0) for i in batch["id"]], np.int64)
             for lo in range(0, len(batch), step):
                 some = batch.iloc[lo : lo + step]
                 heaps.update(ids[lo : lo + step], null[lo : lo + step], index.scores(some["n"].tolist(), some["terms"].tolist(), some["counts"].tolist()))
-        ids = pd.array(heaps.doc, "Int64")
-        ids[heaps.null] = pd.NA
-        yield pd.DataFrame({"row": index.rows[heaps.item], "id": ids, "score": heaps.score})
+        yield pd.DataFrame({"row": index.rows[heaps.item], "id": [None if n else str(d) for d, n in zip(heaps.doc, heaps.null, strict=True)], "score": heaps.score})
 
-    # ids travel as text: pandas would turn a batch of ids with a null among them into doubles
-    rows = counted.select(F.col("id").cast("string").alias("id"), "n", "terms", "counts")
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return emit(b.assign(id=pd.array([None if x is None else int(x) for x in b["id"]], "Int64")) for b in batches)
-
-    return rows.mapInPandas(read, "row long, id long, score long")
+    return counted.mapInPandas(emit, "row long, id string, score long").withColumn("id", F.col("id").cast("long"))
 
 
 def grouped(items: DataFrame, postings: int) -> tuple[DataFrame, int]:
@@ -155,7 +147,7 @@ def ranked(
     with repeated or null ids are ranked row by row. Other columns are ignored, so names can't clash; empty tables give no row.
     """
     spark = bounded_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    source = docs.select(F.col(id_col).cast("long").cast("string").alias("id"), F.col(text).alias("text"))
     asked = items.select(F.col(item_id).alias("item"), F.array_distinct(term_list(F.col(item_text))).alias("terms")).where(F.size("terms") > 0)
     asked, groups = grouped(stored(asked.withColumn("row", F.monotonically_increasing_id())), postings)
     pairs = asked.select("group", "row", F.explode("terms").alias("term"))
