@@ -13,11 +13,18 @@ from .registry import query
 D = lambda y, m, d: F.lit(dt.date(y, m, d))
 
 
+def soiled(payload: Column) -> Column:
+    """A page as vendors send it at times: with elements that are no objects, numbers in text, and whole numbers with a decimal point."""
+    text = F.regexp_replace(payload, r'"(o|c|v|strike_price|implied_volatility|market_cap|split_from|cash_amount|todaysChange)":(-?[0-9.E+-]+)', '"$1":"$2"')
+    text = F.regexp_replace(text, r'"(t|n|open_interest|sip_timestamp|last_updated)":([0-9]+)([,}])', '"$1":$2.0$3')
+    return F.regexp_replace(text, r"\]\}$", ',5,"odd",null,[1,{"t":1}],true]}')
+
+
 def pages(rows: DataFrame, keys: list[str], item: Column, order: str, field: str = "results") -> DataFrame:
-    """One JSON page per key with the items in order; a page is a symbol's year or less."""
+    """One JSON page per key with the items in order, every other one soiled; a page is a symbol's year or less."""
     by_key = lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)  # noqa: E731  items may hold maps, which have no order
     listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), item.alias("i"))), by_key)
-    return rows.groupBy(*keys).agg(F.transform(listed, lambda x: x["i"]).alias(field)).select(*keys, F.to_json(F.struct(field)).alias("payload"))
+    return rows.groupBy(*keys).agg(F.transform(listed, lambda x: x["i"]).alias(field)).select(*keys, F.to_json(F.struct(field)).alias("payload")).withColumn("payload", F.when(F.crc32(F.col("payload").cast("binary")) % 2 == 0, soiled(F.col("payload"))).otherwise(F.col("payload")))
 
 
 def bar_item(ms: Column, symbol: bool = False, volume: str = "volume") -> Column:
@@ -146,9 +153,9 @@ def chain_pages(m) -> DataFrame:
     return pages(rows, ["underlying", "ny_date"], item, "option_ticker").select(F.col("ny_date").alias("trade_date"), F.lit(dt.datetime(2024, 1, 1)).alias("fetched_at"), "payload")
 
 
-@query("a8_ingest_option_snapshot", "select option_ticker, epoch_us(snapshot_ts) as t, underlying, iv, delta, gamma, theta, vega, open_interest, day_volume from option_snapshot".replace("open_interest", "cast(open_interest as bigint) as open_interest"))
+@query("a8_ingest_option_snapshot", "select option_ticker, epoch_us(snapshot_ts) as t, underlying, iv, delta, gamma, theta + 0.0 as theta, vega, open_interest, day_volume from option_snapshot".replace("open_interest", "cast(open_interest as bigint) as open_interest"))
 def _(m):
-    return landing.option_snapshots(chain_pages(m)).select("option_ticker", F.unix_micros("snapshot_ts").alias("t"), "underlying", "iv", "delta", "gamma", "theta", "vega", "open_interest", "day_volume")
+    return landing.option_snapshots(chain_pages(m)).select("option_ticker", F.unix_micros("snapshot_ts").alias("t"), "underlying", "iv", "delta", "gamma", (F.col("theta") + 0.0).alias("theta"), "vega", "open_interest", "day_volume")
 
 
 @query(

@@ -14,13 +14,18 @@ EV = {"click": "Q", "view": "AM", "purchase": "T", "error": "status"}
 
 
 def messages(events: DataFrame) -> DataFrame:
-    """Raw messages of events: JSON objects, every second one in an array, some broken; signups have no kind."""
+    """Raw messages of events: JSON objects, every second one in an array, some broken; some arrays hold elements that are no objects, some numbers are text.
+
+    Signups have no kind.
+    """
     ev = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in EV.items() for x in kv]), F.col("event_type")), F.lit(None).cast("string"))
     sym = F.concat(F.lit("O:U"), F.translate((F.col("user_id") % 20).cast("string"), "0123456789", "ABCDEFGHIJ"), F.lit("040116"), F.when(F.col("user_id") % 2 == 0, "C").otherwise("P"), F.lpad((F.col("user_id") % 7 * 2500 + 100000).cast("string"), 8, "0"))
     t = (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("long")
     v = F.col("value")
-    body = F.to_json(F.struct(ev.alias("ev"), sym.alias("sym"), t.alias("t"), v.alias("bp"), (v + 0.25).alias("ap"), v.alias("p"), F.lit(1).alias("sz"), v.alias("o"), v.alias("h"), v.alias("l"), v.alias("c"), F.lit(10.0).alias("v")))
-    text = F.when(F.col("event_id") % 50 == 7, F.substring(body, 1, 20)).when(F.col("event_id") % 2 == 0, F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+    body = F.to_json(F.struct(ev.alias("ev"), sym.alias("sym"), t.alias("t"), v.alias("bp"), (v + 0.25).alias("ap"), v.alias("p"), F.when(ev == "T", F.col("event_id") % 9).alias("s"), v.alias("o"), v.alias("h"), v.alias("l"), v.alias("c"), F.lit(10.0).alias("v")))
+    odd = F.regexp_replace(F.regexp_replace(body, r'"(bp|p|c)":([0-9.E-]+)', '"$1":"$2"'), r'"t":([0-9]+)', '"t":$1.0')
+    text = F.when(F.col("event_id") % 50 == 7, F.substring(body, 1, 20)).when(F.col("event_id") % 6 == 0, F.concat(F.lit('[7,"x",null,'), odd, F.lit(',{"ev":""},[1]]')))
+    text = text.when(F.col("event_id") % 2 == 0, F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
     return events.select("event_id", text.alias("value"))
 
 
@@ -53,11 +58,11 @@ def _(m):
 
 @query(
     "k2_normalize_event",
-    f"""with {SQL} select event_id, contract_key, ev, t, case when ev = 'Q' then value end as bid, case when ev = 'T' then value end as last, case
-    when ev = 'AM' then value end as close from f""",
+    f"""with {SQL} select event_id, contract_key, ev, t, case when ev = 'Q' then value end as bid, case when ev = 'T' then value end as last,
+    case when ev = 'T' then event_id % 9 end as size, case when ev = 'AM' then value end as close from f""",
 )
 def _(m):
-    return _feed(m).select("event_id", "contract_key", "ev", "t", "bid", "last", "close")
+    return _feed(m).select("event_id", "contract_key", "ev", "t", "bid", "last", "size", "close")
 
 
 @query(

@@ -1,7 +1,12 @@
-"""Landed vendor JSON to typed rows. Every decoder takes pages with a column `payload` (one JSON document) and context columns."""
+"""Landed vendor JSON to typed rows. Every decoder takes pages with a column `payload` (one JSON document) and context columns.
+
+An element of a page that is no object is passed over, and a value of a wrong type is null (see `with_document`); the rest of the page stays.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,30 +26,42 @@ def read_pages(spark: SparkSession, path: str, context: str = "") -> DataFrame:
     return spark.read.schema(f"value string{', ' * bool(context)}{context}").text(path).withColumnRenamed("value", "payload")
 
 
+def with_document(df: DataFrame, fields: str, name: str = "j", text: str = "payload") -> DataFrame:
+    """df with a struct of the given fields (a schema string) of a JSON document; a value that does not fit its type costs nothing but itself.
+
+    Documents that fit are read by `from_json`. Where it reports one that does not, the document is parsed to a variant, and each value is cast on its
+    own: a number in text and 4.0 in an integer field keep their value, any other value of a wrong type is null, and so is an element of a wrong kind, in
+    its place among the others. Text that is no JSON gives null. Zero has no sign.
+    """
+    quick = F.from_json(text, f"{fields}, _odd string", {"columnNameOfCorruptRecord": "_odd"})
+    each = F.try_variant_get(F.try_parse_json(text), "$", f"struct<{_nested(fields)}>")
+    return df.withColumn("_quick", quick).withColumn(name, F.when(F.col("_quick._odd").isNull(), F.col("_quick").dropFields("_odd")).otherwise(each)).drop("_quick")
+
+
 def merged_pages(pages: DataFrame, max_pages: int) -> DataFrame:
     """Per request the number of pages and of results, and whether a next page remained after max_pages (columns request, page_no, payload)."""
-    p = pages.where(F.col("page_no") <= max_pages).withColumn("j", F.from_json("payload", "results array<string>, next_url string"))
+    p = pages.where(F.col("page_no") <= max_pages)
+    p = with_document(p, "results array<string>, next_url string")
     return p.groupBy("request").agg(F.count("*").alias("pages"), F.sum(F.greatest(F.size("j.results"), F.lit(0))).alias("results"), F.max_by(F.col("j.next_url"), F.struct("page_no")).isNotNull().alias("truncated"))
 
 
 def merged_results(pages: DataFrame, max_pages: int) -> DataFrame:
     """The results of all pages of a request up to max_pages: rows (request, page_no, pos, result, pages, truncated), a page without results as one row with null pos and result."""
     w = Window.partitionBy("request")
-    p = pages.where(F.col("page_no") <= max_pages).withColumn("j", F.from_json("payload", "results array<string>, next_url string"))
+    p = pages.where(F.col("page_no") <= max_pages)
+    p = with_document(p, "results array<string>, next_url string")
     p = p.withColumns({"pages": F.count("*").over(w), "truncated": F.max_by(F.col("j.next_url"), F.struct("page_no")).over(w).isNotNull()})
     return p.select("request", "page_no", "pages", "truncated", F.posexplode_outer("j.results").alias("pos", "result")).select("request", "page_no", "pos", "result", "pages", "truncated")
 
 
 def _results(pages: DataFrame, item: str, field: str = "results") -> DataFrame:
-    """One row per element, with its place in the page."""
+    """One row per element that is an object, with its place in the page."""
     keep = [c for c in pages.columns if c != "payload"]
-    parsed = F.col(f"j.{field}")
-    return pages.select(*keep, F.from_json("payload", f"{field} array<struct<{_nested(item)}>>").alias("j")).select(*keep, F.posexplode(parsed).alias("pos", "r"))
+    parsed = with_document(pages, f"{field} array<struct<{_nested(item)}>>")
+    return parsed.select(*keep, F.posexplode(f"j.{field}").alias("pos", "r")).where("r is not null")
 
 
 def _nested(ddl: str) -> str:
-    import re
-
     return re.sub(r"(^|, )(\w+) ", r"\1\2: ", ddl)
 
 
@@ -65,8 +82,9 @@ def stock_minute(pages: DataFrame) -> DataFrame:
 
 def grouped_daily(pages: DataFrame) -> DataFrame:
     """All symbols of a market day; the symbol is in the rows."""
-    items = pages.select(F.explode(F.from_json("payload", "results array<string>")["results"]).alias("i"))  # T and t differ in case only, so T is read by its path
-    rows = items.select(normalize_symbol(F.get_json_object("i", "$.T")).alias("symbol"), F.from_json("i", BAR).alias("r"))
+    items = with_document(pages, "results array<string>").select(F.explode("j.results").alias("i"))
+    symbol = normalize_symbol(F.get_json_object("i", "$.T"))  # T and t differ in case only, so T is read by its path
+    rows = with_document(items.where(F.col("i").startswith("{")), BAR, "r", "i").select(symbol.alias("symbol"), "r")
     return rows.where("r.t is not null and symbol <> ''").select("symbol", epoch_ms_to_date(F.col("r.t")).alias("bar_date"), *_bar())
 
 
@@ -91,7 +109,7 @@ _SNAPSHOT = "ticker: string, day: map<string, double>, prevDay: map<string, doub
 
 def _snapshots(pages: DataFrame) -> DataFrame:
     keep = [c for c in pages.columns if c != "payload"]
-    j = pages.select(*keep, F.from_json("payload", f"tickers array<struct<{_SNAPSHOT}>>, ticker struct<{_SNAPSHOT}>").alias("j"))
+    j = with_document(pages, f"tickers array<struct<{_SNAPSHOT}>>, ticker struct<{_SNAPSHOT}>")
     one = F.when(F.col("j.ticker").isNotNull(), F.array("j.ticker"))
     return j.select(*keep, F.explode(F.coalesce("j.tickers", one)).alias("r")).where(F.coalesce(F.trim("r.ticker"), F.lit("")) != "")
 
@@ -131,7 +149,7 @@ _CHAIN = (
 def _chain(pages: DataFrame) -> DataFrame:
     """Elements of chain pages with ticker, identity (from details, else from the ticker) and time."""
     keep = [c for c in pages.columns if c != "payload"]
-    rows = pages.select(*keep, F.from_json("payload", f"results array<struct<{_CHAIN}>>").alias("j")).select(*keep, F.posexplode("j.results").alias("pos", "r"))
+    rows = with_document(pages, f"results array<struct<{_CHAIN}>>").select(*keep, F.posexplode("j.results").alias("pos", "r")).where("r is not null")
     rows = rows.withColumn("option_ticker", normalize_symbol(F.coalesce("r.details.ticker", "r.ticker"))).withColumn("id", parse_option_ticker(F.col("option_ticker")))
     t = F.coalesce("r.last_trade.sip_timestamp", "r.last_trade.participant_timestamp", "r.last_trade.timestamp")
     return rows.select(
@@ -220,9 +238,8 @@ def ticker_types(pages: DataFrame) -> DataFrame:
 
 def financials(pages: DataFrame) -> DataFrame:
     """One row per non-empty statement of a filing, or one with the whole filing where it has none (context symbol)."""
-    rows = pages.select("symbol", F.from_json("payload", "results array<string>").alias("j")).select("symbol", F.explode("j.results").alias("item"))
-    head = F.from_json("item", "end_date string, period_end string, filing_date string, timeframe string, fiscal_year string, fiscal_period string, financials map<string, string>")
-    rows = rows.withColumn("h", head)
+    rows = with_document(pages, "results array<string>").select("symbol", F.explode("j.results").alias("item")).where(F.col("item").startswith("{"))
+    rows = with_document(rows, "end_date string, period_end string, filing_date string, timeframe string, fiscal_year string, fiscal_period string, financials map<string, string>", "h", "item")
     parts = F.array(*(F.struct(F.lit(s).alias("report_type"), F.element_at("h.financials", s).alias("data")) for s in STATEMENTS))
     full = F.filter(parts, lambda p: p["data"].isNotNull() & ~p["data"].isin("", "{}", "null"))
     whole = F.array(F.struct(F.lit("filing").alias("report_type"), F.col("item").alias("data")))

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import stream_contract_key
+from ..sources.landing import with_document
 from ..sources.scratch import new_folder
 
-MESSAGE = "ev string, sym string, t bigint, s bigint, bp double, ap double, bs bigint, `as` bigint, o double, h double, l double, c double, v double, p double, sz bigint"
+MESSAGE = "ev string, sym string, t bigint, s bigint, bp double, ap double, bs bigint, `as` bigint, o double, h double, l double, c double, v double, p double"
 #: Events that the log keeps, and that the buffer before it holds.
 LOG_LENGTH, BUFFER = 10_000, 10_000
 #: Seconds after which a quote that was not renewed expires; seconds after which the feed is stale.
@@ -19,12 +20,16 @@ TTL, STALE = 300, 120
 
 
 def decoded(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Events of messages that are a JSON object or an array of them; elements without `ev` and broken JSON are left out. Other columns stay."""
+    """Events of messages that are a JSON object or an array of them; elements that are no objects or have no `ev`, and broken JSON, are left out, and only they.
+
+    Other columns stay.
+    """
     keep = [F.col(c) for c in raw.columns if c != value]
     text = F.trim(F.col(value))
     listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-    rows = raw.select(*keep, F.explode(F.from_json(listed, f"array<struct<{', '.join(x.replace(' ', ': ', 1) for x in MESSAGE.split(', '))}>>")).alias("m"))
-    return rows.where("m.ev is not null").select(*keep, "m.*")
+    messages = raw.withColumn(value, F.concat(F.lit('{"m":'), listed, F.lit("}")))
+    rows = with_document(messages, f"m array<struct<{', '.join(x.replace(' ', ': ', 1) for x in MESSAGE.split(', '))}>>", "j", value)
+    return rows.select(*keep, F.explode("j.m").alias("m")).where("m.ev <> ''").select(*keep, "m.*")
 
 
 def normalized(events: DataFrame) -> DataFrame:
@@ -34,7 +39,7 @@ def normalized(events: DataFrame) -> DataFrame:
     only = lambda test, c, name: F.when(test, F.col(c)).alias(name)
     keep = [c for c in events.columns if c not in {x.split()[0].strip("`") for x in MESSAGE.split(", ")}]
     return events.select(
-        *keep, stream_contract_key(F.col("sym")).alias("contract_key"), "ev", F.when(bar, F.coalesce("s", "t")).otherwise(F.col("t")).alias("t"), only(quote, "bp", "bid"), only(quote, "ap", "ask"), only(trade, "p", "last"), only(trade, "sz", "size"),
+        *keep, stream_contract_key(F.col("sym")).alias("contract_key"), "ev", F.when(bar, F.coalesce("s", "t")).otherwise(F.col("t")).alias("t"), only(quote, "bp", "bid"), only(quote, "ap", "ask"), only(trade, "p", "last"), only(trade, "s", "size"),
         only(bar, "o", "open"), only(bar, "h", "high"), only(bar, "l", "low"), only(bar, "c", "close"), only(bar, "v", "volume"),
     ).where("contract_key is not null")
 

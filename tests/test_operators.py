@@ -270,3 +270,34 @@ def test_fill_rate_parses_a_document_once(spark):
     got = {(r["report_type"], r["key"]): r["symbols"] for r in df.collect()}
     assert len(got) == 80 and {k: n for k, n in got.items() if n} == {("r", "k1"): 2, ("r", "k4"): 1}
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+ODD_PAGE = """{"results":[5,{"t":1700000000000.0,"o":"1.5","h":"junk","l":{},"c":2,"v":7.9,"n":4.0},"str",null,[{"t":1}],{"o":1,"t":null},{"t":"1700086400000","n":"12","c":"1e3"}]}"""
+
+
+def test_odd_elements_cost_only_themselves(spark):
+    """An array with a number, a price in text, 4.0 in an integer field and a broken element keeps all other values."""
+    from barwright.sources import landing
+
+    clean = '{"results":[{"t":1700000000000,"c":3.5}]}'
+    pages = spark.createDataFrame([("a", ODD_PAGE), ("b", clean), ("c", '{"results":[{"t":1'), ("d", None), ("e", '{"results":{"t":1}}')], "symbol string, payload string")
+    got = {(r["symbol"], str(r["bar_date"])): r for r in landing.stock_daily(pages).collect()}
+    assert sorted(got) == [("A", "2023-11-14"), ("A", "2023-11-15"), ("B", "2023-11-14")]
+    first, second = got["A", "2023-11-14"], got["A", "2023-11-15"]
+    assert (first["open"], first["high"], first["low"], first["close"], first["volume"], first["trade_count"]) == (1.5, None, None, 2.0, 7, 4)
+    assert (second["close"], second["trade_count"]) == (1000.0, 12) and got["B", "2023-11-14"]["close"] == 3.5
+    day = '{"tickers":["x",{"ticker":"ua","day":{"o":1.5,"h":"high","c":"2"},"prevDay":"none","todaysChange":"0.5"},{"ticker":7}]}'
+    rows = landing.stock_snapshot(spark.createDataFrame([(day, None)], "payload string, session_date date")).collect()
+    assert [(r["symbol"], r["open"], r["high"], r["close"], r["change"]) for r in rows] == [("UA", 1.5, None, 2.0, 0.5), ("7", None, None, None, None)]
+    chain = '{"results":[9,{"details":{"ticker":"O:UA240119C00100000","strike_price":"100"},"greeks":5,"open_interest":3.0,"day":{"volume":"x"}},{"details":"none","ticker":"O:UB240119P00050000"}]}'
+    rows = landing.option_snapshots(spark.createDataFrame([(chain, None)], "payload string, fetched_at timestamp")).collect()
+    assert sorted((r["option_ticker"], r["underlying"], r["open_interest"]) for r in rows) == [("O:UA240119C00100000", "UA", 3), ("O:UB240119P00050000", "UB", None)]
+
+
+def test_odd_messages_cost_only_themselves(spark):
+    from barwright.streaming import feed
+
+    quote = '{"ev":"Q","sym":"O:UA240119C00100000","t":5.0,"bp":"1.25","ap":"junk"}'
+    raw = spark.createDataFrame([(f'[{quote},7,null,"x",[1],{{"ev":""}},{quote}]',), (quote,), ("[broken",), ('{"sym":"x"}',), (None,)], "value string")
+    got = feed.normalized(feed.decoded(raw)).collect()
+    assert len(got) == 3 and all((r["t"], r["bid"], r["ask"]) == (5, 1.25, None) for r in got)
