@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .chains import us_equity_universe
 from .latest import chain_latest, latest_per_day, one_latest
 
 
@@ -44,10 +45,13 @@ def snapshot_coverage(snapshots: DataFrame, tickers: DataFrame) -> DataFrame:
 
 
 def vendor_gap(snapshots: DataFrame, bars: DataFrame, tickers: DataFrame) -> DataFrame:
-    """Newest session closes that have no bar (fallback_gap), or whose bar is older and differs (vendor_gap); warrants do not count."""
+    """Newest session closes of the equity universe that have no bar (fallback_gap), or whose bar is older and differs (vendor_gap).
+
+    Warrants do not count, and a snapshot without a close is no gap.
+    """
     newest = F.broadcast(snapshots.agg(F.max("session_date").alias("session_date")))  # one row
-    listed = tickers.where(F.upper(F.coalesce("instrument_type", F.lit(""))) != "WARRANT").select("symbol")
-    rows = snapshots.join(newest, "session_date", "left_semi").join(listed, "symbol", "left_semi").select("symbol", "session_date", F.col("close").alias("snapshot_close"))
+    listed = us_equity_universe(tickers).where(F.upper(F.coalesce("instrument_type", F.lit(""))) != "WARRANT").select("symbol")
+    rows = snapshots.join(newest, "session_date", "left_semi").where("close is not null").join(listed, "symbol", "left_semi").select("symbol", "session_date", F.col("close").alias("snapshot_close"))
     last = latest_bar_per_symbol(bars).select("symbol", F.col("bar_date").alias("last_bar_date"), F.col("close").alias("last_bar_close"))
     stale = (F.col("last_bar_date") < F.col("session_date")) & (F.abs(F.col("snapshot_close") - F.col("last_bar_close")) >= 1e-4)
     reason = F.when(F.col("last_bar_date").isNull(), "fallback_gap").when(stale, "vendor_gap")

@@ -78,12 +78,16 @@ def pcr_totals(rows: DataFrame, value: str, keys: list[str], right: str = "optio
     return rows.groupBy(*keys).agg(side(is_put(F.col(right)), "put"), side(is_call(F.col(right)), "call"))
 
 
-def volume_rows(snapshots: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Newest snapshot of each contract and day whatever its volume, with the contract's underlying and right."""
-    newest = latest_per_day(snapshots.select("option_ticker", "snapshot_ts", "ny_date", "day_volume"))
+def newest_rows(snapshots: DataFrame, contracts: DataFrame, value: str) -> DataFrame:
+    """Newest snapshot of each contract and day whatever its value, with the contract's underlying, expiry and right."""
+    newest = latest_per_day(snapshots.select("option_ticker", "snapshot_ts", "ny_date", value))
     return newest.join(contracts.select("option_ticker", "underlying", "expiry", "option_right"), "option_ticker").withColumnRenamed("ny_date", "trade_date")
 
 
+def volume_rows(snapshots: DataFrame, contracts: DataFrame) -> DataFrame:
+    return newest_rows(snapshots, contracts, "day_volume")
+
+
 def pcr_daily(oi: DataFrame, snapshots: DataFrame, contracts: DataFrame) -> DataFrame:
     """Put/call ratios of open interest and volume per underlying and date; a missing side is 0, all-zero rows go."""
     keys = ["underlying", "trade_date"]
@@ -126,21 +130,33 @@ def oi_extract(snapshots: DataFrame, contracts: DataFrame) -> DataFrame:
     return out.where("expiry is not null and strike is not null and option_right in ('C', 'P')")
 
 
-def pcr_trend(oi: DataFrame, fallback: DataFrame, lookback_days: int) -> DataFrame:
-    """Put/call ratio of open interest (3 places) per symbol and date within the lookback; symbols without rows use the fallback rows."""
-    days = min(max(lookback_days, 30), 400)
+def _trend(rows: DataFrame, value: str) -> DataFrame:
+    """Ratios (3 places) per underlying and date, and the last one of each underlying."""
+    out = pcr_totals(rows, value, ["underlying", "trade_date"]).withColumn("ratio", safe_ratio(F.col("put"), F.col("call"), 3))
+    newest = Window.partitionBy("underlying").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # days of the lookback
+    return out.withColumn("latest_ratio", F.last("ratio").over(newest))
+
+
+def _lookback(days: int) -> int:
+    return min(max(days, 30), 400)
+
+
+def pcr_trend(oi: DataFrame, snapshots: DataFrame, contracts: DataFrame, lookback_days: int, as_of: Column) -> DataFrame:
+    """Put/call ratio of open interest per underlying and date since lookback_days (30 to 400) before as_of, and its latest value.
+
+    Underlyings without open interest in that time take that of their snapshots, the newest of each contract and day; null counts as 0.
+    """
+    since = F.date_sub(as_of, _lookback(lookback_days))
     cols = ["underlying", "trade_date", "option_right", "open_interest"]
-    rest = fallback.select(*cols).join(oi.select("underlying").distinct(), "underlying", "left_anti")
-    rows = newest_dates(oi.select(*cols).union(rest), ["underlying"], days)
-    out = pcr_totals(rows, "open_interest", ["underlying", "trade_date"])
-    return out.withColumn("ratio", safe_ratio(F.col("put"), F.col("call"), 3))
+    held = oi.select(*cols).where(F.col("trade_date") >= since)
+    recent = newest_rows(snapshots.where(F.col("snapshot_ts") >= since), contracts, "open_interest").select(*cols)
+    return _trend(held.unionByName(recent.join(held.select("underlying").distinct(), "underlying", "left_anti")), "open_interest")
 
 
-def pcr_volume_trend(snapshots: DataFrame, contracts: DataFrame, lookback_days: int) -> DataFrame:
-    """Put/call ratio of volume (3 places) per symbol and date within the lookback, from the newest snapshot of each contract and day."""
-    rows = newest_dates(volume_rows(snapshots, contracts), ["underlying"], min(max(lookback_days, 30), 400))
-    out = pcr_totals(rows, "day_volume", ["underlying", "trade_date"])
-    return out.withColumn("ratio", safe_ratio(F.col("put"), F.col("call"), 3))
+def pcr_volume_trend(snapshots: DataFrame, contracts: DataFrame, lookback_days: int, as_of: Column) -> DataFrame:
+    """The same of volume, from the newest snapshot of each contract and day."""
+    since = F.date_sub(as_of, _lookback(lookback_days))
+    return _trend(volume_rows(snapshots.where(F.col("snapshot_ts") >= since), contracts), "day_volume")
 
 
 def chain_or_open_interest(snapshots: DataFrame, contracts: DataFrame, oi: DataFrame, fallback: Column) -> DataFrame:

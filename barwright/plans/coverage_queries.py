@@ -99,20 +99,25 @@ def _(m):
     return cov.snapshot_coverage(m.stock_snapshot, m.ticker)
 
 
-@query(
-    "h8_vendor_gap",
-    """with held as (select * from stock_daily where symbol <> 'UA' and bar_date < (select max(bar_date) from stock_daily)), b as (select symbol,
-        max(bar_date) as last_bar_date, arg_max(close, bar_date) as last_bar_close from held group by symbol)
+VENDOR_GAP = """b as (select symbol, max(bar_date) as last_bar_date, arg_max(close, bar_date) as last_bar_close from held group by symbol)
     select s.symbol, s.session_date, s.close as snapshot_close, b.last_bar_date, b.last_bar_close, case when b.symbol is null then 'fallback_gap'
         else 'vendor_gap' end as reason
-    from stock_snapshot s left join b using (symbol) where s.session_date = (select max(session_date) from stock_snapshot)
-        and s.symbol in (select symbol from ticker where upper(coalesce(instrument_type, '')) <> 'WARRANT')
-        and (b.symbol is null or (b.last_bar_date < s.session_date and abs(s.close - b.last_bar_close) >= 1e-4))""",
+    from snap s left join b using (symbol) where s.session_date = (select max(session_date) from stock_snapshot) and s.close is not null
+        and s.symbol in (select symbol from ticker where active and locale = 'us' and market = 'stocks' and lower(instrument_type) = 'cs')
+        and (b.symbol is null or (b.last_bar_date < s.session_date and abs(s.close - b.last_bar_close) >= 1e-4))"""
+
+
+@query(
+    "h8_vendor_gap",
+    f"""with held as (select * from stock_daily where symbol <> 'UA' and bar_date < (select max(bar_date) from stock_daily)), snap as (select symbol, session_date,
+        case when symbol <> 'UE' then close end as close from stock_snapshot), {VENDOR_GAP}""",
 )
 def _(m):
+    """One symbol without bars, one whose snapshots have no close."""
     newest = m.stock_daily.agg(F.max("bar_date").alias("last"))
     held = m.stock_daily.where("symbol <> 'UA'").join(F.broadcast(newest)).where("bar_date < last").drop("last")  # one row
-    return cov.vendor_gap(m.stock_snapshot, held, m.ticker).select("symbol", "session_date", "snapshot_close", "last_bar_date", "last_bar_close", "reason")
+    snap = m.stock_snapshot.withColumn("close", F.when(F.col("symbol") != "UE", F.col("close")))
+    return cov.vendor_gap(snap, held, m.ticker).select("symbol", "session_date", "snapshot_close", "last_bar_date", "last_bar_close", "reason")
 
 
 DAYS = "days as (select day from (select cast(unnest(generate_series(date '2000-01-01', date '2000-06-15', interval 1 day)) as date) as day) x where dayofweek(day) between 1 and 5 and day not in (select holiday_date from us_market_holiday where status = 'closed') order by day desc limit 30)"
@@ -509,14 +514,7 @@ def _(m):
 
 @query(
     "h8_vendor_gap_all",
-    """with held as (select * from stock_daily where bar_date < (select max(bar_date) from stock_daily)),
-    b as (select symbol, max(bar_date) as last_bar_date, arg_max(close, bar_date) as last_bar_close from held group by symbol)
-    select s.symbol, s.session_date, s.close as snapshot_close, b.last_bar_date, b.last_bar_close, case when b.symbol is null then 'fallback_gap'
-        else 'vendor_gap' end as reason
-    from stock_snapshot s left join b using (symbol)
-    where s.session_date = (select max(session_date) from stock_snapshot) and s.symbol in (select symbol from ticker
-        where upper(coalesce(instrument_type, '')) <> 'WARRANT')
-        and (b.symbol is null or (b.last_bar_date < s.session_date and abs(s.close - b.last_bar_close) >= 1e-4))""",
+    f"with held as (select * from stock_daily where bar_date < (select max(bar_date) from stock_daily)), snap as (select * from stock_snapshot), {VENDOR_GAP}",
 )
 def _(m):
     newest = m.stock_daily.agg(F.max("bar_date").alias("last"))

@@ -508,7 +508,25 @@ def _(m):
     new = m.spark.createDataFrame([("NEW", dt.date(2001, 7, 1), 5.0)], "symbol string, bar_date date, close double")
     batch = m.stock_daily.where("year(bar_date) >= 2001 and day(bar_date) = 5").select("symbol", "bar_date", (F.col("close") + 1).alias("close")).union(new)
     sinks.upsert_partitions(path, sinks.with_partition(batch, "bar_date", "year"), ["symbol", "bar_date", "year"], "year")
-    return m.spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(rows.schema).parquet(path)
+    return sinks.read_partitioned(m.spark, path)
+
+
+@query(
+    "b5_partitioned_partial_columns",
+    """select symbol, bar_date, case when trade_count > 3 then close + 1 else close end as close, volume,
+        case when trade_count > 1 then strftime(bar_date, '%Y') end as year from stock_daily
+    union all select 'NEW', date '2001-07-01', 7.0, null, null""",
+)
+def _(m):
+    """A batch of some columns, with keys twice and rows without a partition, upserted into a table laid out by years."""
+    path = scratch.new_folder(m.spark, "bars")
+    year = F.when(F.col("trade_count") > 1, F.date_format("bar_date", "yyyy")).alias("year")
+    m.stock_daily.select("symbol", "bar_date", "close", "volume", year).write.partitionBy("year").parquet(path)
+    rows = m.stock_daily.where("trade_count > 3").select("symbol", "bar_date", "close", year)
+    extra = m.spark.createDataFrame([("NEW", dt.date(2001, 7, 1), 6.0, None)], "symbol string, bar_date date, close double, year string")
+    batch = rows.union(extra).select("symbol", "bar_date", F.explode(F.array(F.struct(F.lit(2).alias("o"), (F.col("close") + 1).alias("c")), F.struct(F.lit(1).alias("o"), F.lit(0.0).alias("c")))).alias("x"), "year")
+    sinks.upsert_partitions(path, batch.select("symbol", "bar_date", F.col("x.c").alias("close"), "year", F.col("x.o").alias(sinks.ORDINAL)), ["symbol", "bar_date"], "year")
+    return sinks.read_partitioned(m.spark, path).select("symbol", "bar_date", "close", "volume", "year")
 
 
 @query(

@@ -141,39 +141,44 @@ def _(m):
     return oa.oi_extract(m.option_snapshot, m.option_contract.where("pk % 2 = 0"))
 
 
+SINCE = "date '2001-10-01' - 120"
+TREND = f"""inside as (select underlying, trade_date, option_right, open_interest from held where trade_date >= {SINCE}),
+    recent as (select * from option_snapshot where snapshot_ts >= {SINCE} qualify row_number() over (partition by option_ticker, ny_date order by snapshot_ts desc) = 1),
+    base as (select * from inside union all select c.underlying, r.ny_date, c.option_right, coalesce(r.open_interest, 0) from recent r join option_contract c
+        on c.option_ticker = r.option_ticker where c.underlying not in (select underlying from inside)),
+    sums as (select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put,
+        cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint) as call from base group by all),
+    ratios as (select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums)
+    select *, last_value(ratio) over (partition by underlying order by trade_date rows between unbounded preceding and unbounded following) as latest_ratio from ratios"""
+AS_OF = F.lit("2001-10-01").cast("date")
+
+
 @query(
     "e13_pcr_trend",
-    f"""with {EXTRACT}, held as (select * from option_open_interest where underlying <> 'UA'), base as (select underlying, trade_date, option_right,
-        open_interest from held
-        union all select c.underlying, n.ny_date, c.option_right, n.open_interest from newest n join option_contract c
-            on c.option_ticker = n.option_ticker where c.underlying not in (select underlying from held)),
-    recent as (select * from base qualify trade_date >= max(trade_date) over (partition by underlying) - 120),
-    sums as (select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put, cast(sum(case
-        when option_right = 'C' then open_interest else 0 end) as bigint) as call from recent group by all)
-    select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums""",
+    f"with held as (select * from option_open_interest where underlying <> 'UA' and not (underlying < 'UF' and trade_date >= date '2001-01-01')), {TREND}",
 )
 def _(m):
-    return oa.pcr_trend(m.option_open_interest.where("underlying <> 'UA'"), oa.oi_extract(m.option_snapshot, m.option_contract), 120)
+    """One underlying without open interest and some whose open interest is stale."""
+    held = m.option_open_interest.where("underlying <> 'UA' and not (underlying < 'UF' and trade_date >= date '2001-01-01')")
+    return oa.pcr_trend(held, m.option_snapshot, m.option_contract, 120, AS_OF)
 
 
-@query(
-    "e13_pcr_trend_all",
-    """with recent as (select * from option_open_interest qualify trade_date >= max(trade_date) over (partition by underlying) - 120),
-    sums as (select underlying, trade_date, cast(sum(case when option_right = 'P' then open_interest else 0 end) as bigint) as put,
-        cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint) as call from recent group by all)
-    select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums""",
-)
+@query("e13_pcr_trend_all", f"with held as (select * from option_open_interest), {TREND}")
 def _(m):
-    return oa.pcr_trend(m.option_open_interest, oa.oi_extract(m.option_snapshot, m.option_contract), 120)
+    return oa.pcr_trend(m.option_open_interest, m.option_snapshot, m.option_contract, 120, AS_OF)
 
 
 @query(
     "e13_pcr_trend_volume",
-    f"""with {VOLUME}, recent as (select * from vol qualify trade_date >= max(trade_date) over (partition by underlying) - 120)
-    select underlying, trade_date, put_v as put, call_v as call, case when call_v > 0 then round(cast(put_v as double) / call_v, 3) end as ratio from recent""",
+    f"""with recent as (select * from option_snapshot where snapshot_ts >= {SINCE} qualify row_number() over (partition by option_ticker, ny_date order by snapshot_ts desc) = 1),
+    sums as (select c.underlying, r.ny_date as trade_date, cast(sum(case when c.option_right = 'P' then coalesce(r.day_volume, 0) else 0 end) as bigint) as put,
+        cast(sum(case when c.option_right = 'C' then coalesce(r.day_volume, 0) else 0 end) as bigint) as call
+        from recent r join option_contract c on c.option_ticker = r.option_ticker group by all),
+    ratios as (select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums)
+    select *, last_value(ratio) over (partition by underlying order by trade_date rows between unbounded preceding and unbounded following) as latest_ratio from ratios""",
 )
 def _(m):
-    return oa.pcr_volume_trend(m.option_snapshot, m.option_contract, 120)
+    return oa.pcr_volume_trend(m.option_snapshot, m.option_contract, 120, AS_OF)
 
 
 SESSIONS = """days as (select distinct s.ny_date as trade_date from option_snapshot s where dayofweek(s.ny_date) between 1 and 5

@@ -155,14 +155,24 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned table with all its columns, its partition column as text."""
+    return spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").option("mergeSchema", "true").parquet(path)
+
+
 def upsert_partitions(path: str, batch: DataFrame, keys: list[str], by: str, upsert: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert_update) -> None:
     """Upserts a batch (with its partition column, which must follow from the keys) into a partitioned Parquet table.
 
-    The table is joined with the batch's partitions first, which prunes its scan to them; only these partitions are written.
+    The table is read with its own columns, so a batch may hold some of them only. It is joined with the batch's partitions first, which prunes its scan to
+    them; only these partitions are written. Rows without a partition value are a partition of their own, and are read if the batch holds any.
     """
-    target = batch.sparkSession.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").schema(batch.schema).parquet(path)
-    touched = target.join(batch.select(by).distinct(), by, "left_semi").select(*batch.columns)
-    write_partitions(upsert(touched, batch, keys), path, by)
+    target = read_partitioned(batch.sparkSession, path)
+    value = F.col(by).cast("string")
+    touched = target.join(batch.select(value.alias(by)).where(f"{by} is not null").distinct(), by, "left_semi").select(*target.columns)
+    if batch.where(F.col(by).isNull()).head(1):  # one row
+        touched = touched.unionByName(target.where(F.col(by).isNull()))
+    new = upsert(touched, batch.withColumn(by, value), [k for k in keys if k != by])
+    write_partitions(new.select(*target.columns), path, by)
 
 
 def replace_all(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -198,6 +198,31 @@ def test_upsert_touches_its_partitions_only(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["bars"]
 
 
+def test_partitioned_upsert_keeps_what_the_batch_lacks(spark, tmp_path):
+    """Columns that the batch has not, its order, and rows without a partition."""
+    path = str(tmp_path / "table")
+    schema = "k string, v int, w int, part string"
+    spark.createDataFrame([("a", 1, 10, "x"), ("b", 2, 20, "x"), ("c", 3, 30, None), ("d", 4, 40, "y")], schema).write.partitionBy("part").parquet(path)
+    batch = spark.createDataFrame([("a", 5, "x", 1), ("a", 6, "x", 2), ("e", 7, None, 1), ("c", 8, None, 1)], f"k string, v int, part string, {sinks.ORDINAL} int")
+    sinks.upsert_partitions(path, batch, ["k", "part"], "part")
+    table = sinks.read_partitioned(spark, path)
+    assert sorted(table.columns) == ["k", "part", "v", "w"]
+    rows = sorted((r["k"], r["v"], r["w"], r["part"]) for r in table.collect())
+    assert rows == [("a", 6, 10, "x"), ("b", 2, 20, "x"), ("c", 8, 30, None), ("d", 4, 40, "y"), ("e", 7, None, None)]
+    sinks.upsert_partitions(path, batch.drop(sinks.ORDINAL).limit(1), ["k"], "part", sinks.upsert_coalesce)
+    assert sinks.read_partitioned(spark, path).where("part is null").count() == 2
+
+
+def test_stale_open_interest_gives_way_to_snapshots(spark):
+    d = dt.date
+    oi = spark.createDataFrame([("A", d(2020, 1, 2), "P", 9), ("B", d(2024, 1, 3), "P", 4), ("B", d(2024, 1, 3), "C", 2)], "underlying string, trade_date date, option_right string, open_interest long")
+    contracts = spark.createDataFrame([("a1", "A", d(2024, 2, 1), "P"), ("a2", "A", d(2024, 2, 1), "C"), ("b1", "B", d(2024, 2, 1), "P")], "option_ticker string, underlying string, expiry date, option_right string")
+    at = lambda day, h: dt.datetime(2024, 1, day, h)
+    snaps = [("a1", at(4, 15), d(2024, 1, 4), 3), ("a1", at(4, 18), d(2024, 1, 4), None), ("a1", at(5, 15), d(2024, 1, 5), 6), ("a2", at(5, 15), d(2024, 1, 5), 4), ("b1", at(5, 15), d(2024, 1, 5), 50)]
+    got = oa.pcr_trend(oi, spark.createDataFrame(snaps, "option_ticker string, snapshot_ts timestamp, ny_date date, open_interest long"), contracts, 90, F.lit(d(2024, 1, 8))).collect()
+    assert sorted((r["underlying"], r["trade_date"].day, r["put"], r["call"], r["ratio"], r["latest_ratio"]) for r in got) == [("A", 4, 0, 0, None, 1.5), ("A", 5, 6, 4, 1.5, 1.5), ("B", 3, 4, 2, 2.0, 2.0)]
+
+
 def test_first_seen_and_readiness(spark):
     old = spark.createDataFrame([("a", 1, "x", "x"), ("b", 1, "x", "x")], "k string, v int, first_seen_at string, updated_at string")
     got = sinks.first_seen(old, spark.createDataFrame([("b", 2), ("c", 3)], "k string, v int"), ["k"], F.lit("now")).collect()
