@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_seconds
 from .latest import n_latest
+from .scans import carried, total_after
 
 
 def daily_bars(bars: DataFrame, symbols: list[str], days: int, as_of: Column) -> DataFrame:
@@ -34,22 +35,25 @@ def bar_times_in_range(bars: DataFrame, start: Column, end: Column) -> DataFrame
 def asof_bars(bars: DataFrame, requests: DataFrame) -> DataFrame:
     """The newest bar on or before each requested day with the close before it (rows symbol, as_of).
 
-    An as-of join as one pass per symbol: requests and bars are laid on one time line and the last bar is carried forward.
+    Bars and requests are laid on one time line, which is cut into blocks of time (see `scans.carried`).
     """
-    w = Window.partitionBy("symbol").orderBy("bar_date")
-    left = bars.select("symbol", "bar_date", "close").withColumn("prev_close", F.lag("close").over(w))
-    line = left.select("symbol", F.col("bar_date").alias("day"), F.lit(0).alias("kind"), F.struct("bar_date", "close", "prev_close").alias("bar"))
-    asks = requests.select("symbol", F.col("as_of").alias("day"), F.lit(1).alias("kind"), F.lit(None).cast(line.schema["bar"].dataType).alias("bar"))
-    carried = F.last("bar", ignorenulls=True).over(Window.partitionBy("symbol").orderBy("day", "kind").rowsBetween(Window.unboundedPreceding, 0))
-    out = line.union(asks).withColumn("bar", carried).where("kind = 1 and bar is not null")
+    rows = carried(bars.select("symbol", "bar_date", "close"), ["symbol"], ["bar_date"], ["bar_date", "close"], F.lit(True), "prev", strict=True)
+    line = rows.select("symbol", F.col("bar_date").alias("day"), F.lit(0).alias("kind"), "bar_date", "close", F.col("prev.close").alias("prev_close"))
+    asks = requests.select("symbol", F.col("as_of").alias("day"), F.lit(1).alias("kind"))
+    line = line.unionByName(asks, allowMissingColumns=True)
+    out = carried(line, ["symbol"], ["day", "kind"], ["bar_date", "close", "prev_close"], F.col("kind") == 0, "bar").where("kind = 1 and bar is not null")
     return out.select("symbol", F.col("day").alias("as_of"), "bar.bar_date", "bar.close", "bar.prev_close")
 
 
 def fallback_price(bars: DataFrame) -> DataFrame:
-    """Last close, its day and the close before, per symbol; symbols whose last close is null are not found."""
-    w = Window.partitionBy("symbol").orderBy(F.desc("bar_date"))
-    rows = bars.select("symbol", "bar_date", "close", F.lead("close").over(w).alias("prev_close"), F.row_number().over(w).alias("n"))
-    return rows.where("n = 1 and close is not null").drop("n")
+    """Last close, its day and the close before, per symbol; symbols whose last close is null are not found.
+
+    The two newest bars are found first (Spark prunes the others before the shuffle), then laid side by side.
+    """
+    two = n_latest(bars.select("symbol", "bar_date", "close"), ["symbol"], [F.desc("bar_date")], 2).withColumn("newest", F.max("bar_date").over(Window.partitionBy("symbol")))
+    first = F.col("bar_date") == F.col("newest")
+    out = two.groupBy("symbol").agg(F.max("bar_date").alias("bar_date"), F.max(F.when(first, F.col("close"))).alias("close"), F.max(F.when(~first, F.col("close"))).alias("prev_close"))
+    return out.where("close is not null")
 
 
 def bars_stats(daily: DataFrame, minute: DataFrame) -> DataFrame:
@@ -98,12 +102,11 @@ def resample_bars(bars: DataFrame, width: str) -> DataFrame:
 def split_adjusted(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """Closes divided by the ratio of all splits after their day.
 
-    The splits of a symbol and its bars are laid on one time line; the ratios after a bar are a running product.
+    The splits of a symbol and its bars are laid on one time line; the ratios after a bar are a running product over blocks of time, from the last one back.
     """
-    splits = actions.where("action_type = 'split' and ratio_from > 0 and ratio_to > 0").select("symbol", F.col("ex_date").alias("day"), (F.col("ratio_from") / F.col("ratio_to")).alias("ratio"), F.lit(None).cast("double").alias("close"), F.lit(0).alias("kind"))
-    line = bars.select("symbol", F.col("bar_date").alias("day"), F.lit(1.0).alias("ratio"), "close", F.lit(1).alias("kind")).union(splits)
-    later = Window.partitionBy("symbol").orderBy(F.desc("day"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
-    out = line.withColumn("factor", F.product("ratio").over(later)).where("kind = 1")
+    splits = actions.where("action_type = 'split' and ratio_from > 0 and ratio_to > 0").select("symbol", F.col("ex_date").alias("day"), F.lit(1).alias("kind"), (F.col("ratio_from") / F.col("ratio_to")).alias("ratio"))
+    line = bars.select("symbol", F.col("bar_date").alias("day"), F.lit(2).alias("kind"), F.lit(1.0).alias("ratio"), "close").unionByName(splits, allowMissingColumns=True)
+    out = total_after(line, ["symbol"], ["day", "kind"], "ratio", "factor").where("kind = 2")
     return out.select("symbol", F.col("day").alias("bar_date"), "close", "factor", (F.col("close") / F.col("factor")).alias("adjusted_close"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
+from .scans import numbered, smoothed
+
 
 def sma(bars: DataFrame, window: int) -> DataFrame:
     """Simple moving average, null until `window` rows."""
@@ -13,47 +15,36 @@ def sma(bars: DataFrame, window: int) -> DataFrame:
     return bars.select("symbol", "bar_date", F.when(F.count("close").over(w) == window, F.avg("close").over(w)).alias("sma"))
 
 
-def _smoothed(values: pd.Series, window: int, alpha: float) -> pd.Series:
-    """Exponential smoothing from the mean of the first `window` values; null before it."""
-    out = values.astype(float).copy()
-    if len(out) < window:
-        return out * float("nan")
-    out.iloc[window - 1] = values.iloc[:window].mean()
-    out.iloc[: window - 1] = float("nan")
-    tail = out.iloc[window - 1 :].ewm(alpha=alpha, adjust=False).mean()
-    return pd.concat([out.iloc[: window - 1], tail])
-
-
-def _per_symbol(bars: DataFrame, f, schema: str) -> DataFrame:
-    """Recursive smoothing needs a symbol's closes in order; a symbol's history is some thousand rows."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return f(pdf.sort_values("bar_date", kind="stable").reset_index(drop=True))
-
-    return bars.where("close is not null").select("symbol", "bar_date", "close").groupBy("symbol").applyInPandas(run, f"symbol string, bar_date date, {schema}")
-
-
-def ema(bars: DataFrame, window: int) -> DataFrame:
-    return _per_symbol(bars, lambda p: p[["symbol", "bar_date"]].assign(ema=_smoothed(p["close"], window, 2 / (window + 1))), "ema double")
-
+def _closes(bars: DataFrame, time: str) -> tuple[DataFrame, int]:
+    """Closes numbered by symbol, with the one before; and the greatest number. They are read several times, so they are stored."""
+    rows = stored(numbered(bars.where("close is not null").select("symbol", time, "close"), ["symbol"], time, ["close"]))
+    return rows, rows.agg(F.max("n")).first()[0] or 1
 
-def rsi(bars: DataFrame, window: int = 14) -> DataFrame:
-    """Relative strength with Wilder's smoothing."""
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        d = p["close"].diff().iloc[1:]
-        up, down = (_smoothed(x, window, 1 / window) for x in (d.clip(lower=0), (-d).clip(lower=0)))
-        value = 100 - 100 / (1 + up / down.where(down > 0))
-        value = value.where(~((down == 0) & up.notna()), 100.0)
-        return p[["symbol", "bar_date"]].assign(rsi=value.reindex(p.index))
+def ema(bars: DataFrame, window: int, time: str = "bar_date") -> DataFrame:
+    """Exponential moving average from the mean of the first `window` closes on, null before."""
+    rows, longest = _closes(bars, time)
+    found = smoothed(rows, ["symbol"], time, window, 2 / (window + 1), "close", longest=longest).withColumnRenamed("close", "ema")
+    early = rows.where(F.col("n") < window).select("symbol", time, F.lit(None).cast("double").alias("ema"))
+    return found.select("symbol", time, "ema").unionByName(early)
 
-    return _per_symbol(bars, run, "rsi double")
 
+def rsi(bars: DataFrame, window: int = 14, time: str = "bar_date") -> DataFrame:
+    """Relative strength with Wilder's smoothing; 100 where nothing fell."""
+    rows, longest = _closes(bars, time)
+    step = F.col("close") - F.col("prev_close")
+    steps = rows.where("n > 1").select("symbol", time, (F.col("n") - 1).alias("n"), F.greatest(step, F.lit(0.0)).alias("up"), F.greatest(-step, F.lit(0.0)).alias("down"))
+    value = F.when(F.col("down") == 0, 100.0).otherwise(100 - 100 / (1 + F.col("up") / F.col("down")))
+    found = smoothed(steps, ["symbol"], time, window, 1 / window, "up", "down", longest=longest).select("symbol", time, value.alias("rsi"))
+    return found.unionByName(rows.where(F.col("n") <= window).select("symbol", time, F.lit(None).cast("double").alias("rsi")))
 
-def macd(bars: DataFrame, short: int = 12, long: int = 26, signal: int = 9) -> DataFrame:
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        value = _smoothed(p["close"], short, 2 / (short + 1)) - _smoothed(p["close"], long, 2 / (long + 1))
-        line = _smoothed(value.dropna(), signal, 2 / (signal + 1)).reindex(p.index)
-        return p[["symbol", "bar_date"]].assign(macd=value, signal=line, histogram=value - line)
 
-    return _per_symbol(bars, run, "macd double, signal double, histogram double")
+def macd(bars: DataFrame, short: int = 12, long: int = 26, signal: int = 9, time: str = "bar_date") -> DataFrame:
+    """Difference of a short and a long exponential average, its own average (signal), and what it is above that; null until there is one."""
+    (rows, longest), key = _closes(bars, time), ["symbol", time, "n"]
+    fast, slow = (smoothed(rows, ["symbol"], time, w, 2 / (w + 1), "close", longest=longest).withColumnRenamed("close", name) for w, name in ((short, "fast"), (long, "slow")))
+    value = stored(fast.join(slow, key).select(*key, (F.col("fast") - F.col("slow")).alias("macd")))
+    line = value.withColumns({"n": F.col("n") - max(short, long) + 1, "signal": F.col("macd")}).select(*key, "signal")
+    line = smoothed(line, ["symbol"], time, signal, 2 / (signal + 1), "signal", longest=longest).select("symbol", time, "signal")
+    out = rows.select("symbol", time).join(value.drop("n"), ["symbol", time], "left").join(line, ["symbol", time], "left")
+    return out.withColumn("histogram", F.col("macd") - F.col("signal"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -16,3 +16,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="spark-shared-")
     return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written there and read again, for results that are read several times."""
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
