@@ -566,6 +566,24 @@ def _(m):
     return sinks.update_freshness(m.freshness, runs.union(grouped)).drop("last_run_at")
 
 
+@query(
+    "b10_freshness_of_writes",
+    """select dimension, rows_written, status, last_run_at = timestamp '2024-02-01' as fresh from freshness
+    union all select 'stock_daily', (select count(*) from stock_daily), 'ok', true
+    union all select 'option_contract', (select count(*) from option_contract), 'ok', true
+    union all select 'stock_minute', 0, 'failed', true""",
+)
+def _(m):
+    """Tables are written, and one write fails, and the freshness table is told what each wrote."""
+    at, taken = F.lit("2024-02-01").cast("timestamp_ntz"), scratch.new_folder(m.spark, "taken")
+    m.ticker.write.parquet(taken)
+    writes = [("stock_daily_grouped", m.stock_daily, scratch.new_folder(m.spark, "bars")), ("option_contract", m.option_contract, scratch.new_folder(m.spark, "contracts")), ("stock_minute", m.stock_minute, taken)]
+    rows = m.spark.createDataFrame([], "dimension string, last_run_at timestamp_ntz, rows_written long, status string")
+    for name, df, path in writes:
+        rows = rows.unionByName(sinks.write_observed(df, path, name, at, mode="error"))
+    return sinks.update_freshness(m.freshness, rows).select("dimension", "rows_written", "status", (F.col("last_run_at") == at).alias("fresh"))
+
+
 @query(
     "b11_retention_trim",
     """select id, status from job_log where status not in ('done', 'failed') union all

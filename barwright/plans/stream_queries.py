@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import new_folder
 from ..streaming import feed
 from .registry import query
 
@@ -80,16 +81,31 @@ def _(m):
     return feed.run_to_files(_stream(m).select("contract_key", "ev", "t", "event_id"), "log", "append")
 
 
-@query("k3_latest_quote_ttl", f"with {SQL} select distinct contract_key, false as expired from f")
+@query(
+    "k3_latest_quote_ttl",
+    f"with {SQL} select contract_key, max(event_id) as seq, arg_max(t, event_id) as t, arg_max(ev, event_id) as ev, false as expired from f where t is not null group by contract_key",
+)
 def _(m):
     """The state that forgets by arrival; nothing expires while the stream only catches up."""
-    return feed.run_to_files(feed.latest_quotes_with_ttl(_stream(m)), "ttl", "update").select("contract_key", "expired").distinct()
+    held = feed.run_to_files(feed.latest_quotes_with_ttl(_stream(m)), "ttl", "update")
+    return held.groupBy("contract_key").agg(F.max("seq").alias("seq"), *(F.max_by(c, "seq").alias(c) for c in ("t", "ev", "expired")))
 
 
-@query("k4_event_log_trimmed", f"with {SQL} select contract_key, ev, t, event_id from f order by t desc nulls last, event_id desc limit 10000")
+@query("k4_event_log_trimmed", f"with {SQL} select contract_key, ev, t, event_id from f order by t desc nulls last, event_id desc limit 1000")
 def _(m):
     log = feed.run_to_files(_stream(m).select("contract_key", "ev", "t", "event_id"), "log", "append")
-    return feed.newest_kept(log, feed.LOG_LENGTH)
+    return feed.newest_kept(log, 1000)
+
+
+@query(
+    "k4_event_log_retained",
+    f"""with {SQL}, b as (select *, coalesce(t // {feed.BUCKET_MS}, -1) as bucket from f), n as (select bucket, count(*) as n from b group by bucket),
+    kept as (select bucket from (select bucket, coalesce(sum(n) over (order by bucket desc rows between unbounded preceding and 1 preceding), 0) as newer from n) x where newer < 1000)
+    select contract_key, ev, t, event_id from b where bucket in (select bucket from kept)""",
+)
+def _(m):
+    """Old buckets of the log are gone from the disk, not only from what is read."""
+    return feed.run_to_bounded_log(_stream(m).select("contract_key", "ev", "t", "event_id"), new_folder(m.spark, "log"), keep=1000)
 
 
 @query("k5_stream_health", f"with {SQL} select count(*) as messages, max(t) as last_t, (1706659200000 - max(t)) / 1000 > 120 as stale from f")
@@ -97,10 +113,17 @@ def _(m):
     return feed.run_to_files(feed.health(_stream(m), F.lit(1706659200000)), "health", "complete")
 
 
-@query("k7_drop_oldest_buffer", f"with {SQL} select contract_key, t, event_id from f order by t desc nulls last, event_id desc limit 10000")
+@query("k5_stream_health_observed", f"with {SQL} select count(*) as messages, max(t) as last_t, (1706659200000 - max(t)) / 1000 > 120 as stale from f")
 def _(m):
-    """The table is one file and so one micro-batch, which lets its newest events through."""
-    return feed.run_to_files(_stream(m).select("contract_key", "t", "event_id"), "buffer", "append", keep=feed.BUFFER)
+    """From the metrics of the stream that writes the log."""
+    watch = feed.StreamHealth()
+    m.spark.streams.addListener(watch)
+    try:
+        feed.run_to_files(feed.observed(_stream(m).select("contract_key", "ev", "t")), "log", "append")
+        watch.ended.wait(60)  # progress is reported a moment later
+    finally:
+        m.spark.streams.removeListener(watch)
+    return watch.row(m.spark, 1706659200000)
 
 
 @query(
@@ -119,6 +142,22 @@ def _(m):
     return feed.watched(_feed(m), m.ticker.where("instrument_type = 'cs'")).select("event_id", "contract_key")
 
 
+@query(
+    "k6_watchlist_on_stream",
+    f"""with {SQL} select event_id, contract_key from f where event_id % 2 = 0 and symbol in (select symbol from ticker where instrument_type = 'cs')
+    union all select event_id, contract_key from f where event_id % 2 = 1 and symbol in (select symbol from ticker where market = 'stocks')""",
+)
+def _(m):
+    """The feed arrives in two parts, and the list changes in between."""
+    path, arrived = new_folder(m.spark, "watched"), new_folder(m.spark, "arrived")
+    listed = [m.ticker.where("instrument_type = 'cs'"), m.ticker.where("market = 'stocks'")]
+    for part, symbols in enumerate(listed):
+        messages(m.events.where(F.col("event_id") % 2 == part)).write.mode("append").parquet(arrived)
+        source = m.spark.readStream.schema("event_id long, value string").option("maxFilesPerTrigger", FILES).parquet(arrived)
+        feed.run_watched(feed.normalized(feed.decoded(source)), lambda symbols=symbols: symbols, path)
+    return m.spark.read.parquet(f"{path}/rows").select("event_id", "contract_key")
+
+
 @query(
     "k6_subscription_diff",
     """select symbol, 'add' as action from ticker where instrument_type = 'cs' and market <> 'stocks' union all select symbol, 'remove' from ticker

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ORDINAL = "_ordinal"
@@ -105,6 +105,22 @@ def update_freshness(freshness: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert_update(freshness, clean.withColumn(ORDINAL, F.col("last_run_at")), ["dimension"])
 
 
+def write_observed(df: DataFrame, path: str, dimension: str, run_at: Column, mode: str = "append") -> DataFrame:
+    """Writes df as Parquet and gives its row for the freshness table; the rows written are counted by the write itself, not in a second pass.
+
+    A write that fails gives a row with status failed and no rows, and its error is not raised: the freshness table tells of it.
+    """
+    spark, seen = df.sparkSession, Observation(f"written_{uuid.uuid4().hex}")
+    n, status = 0, "ok"
+    try:
+        df.observe(seen, F.count("*").alias("rows")).write.mode(mode).parquet(path)
+        n = seen.get["rows"]
+    except Exception:  # whatever the write failed of
+        status = "failed"
+    row = spark.createDataFrame([(dimension, n, status)], "dimension string, rows_written long, status string")
+    return row.select("dimension", run_at.alias("last_run_at"), "rows_written", "status")
+
+
 def retention_trim(jobs: DataFrame, now: Column, keep_days: int, keep_max: int) -> DataFrame:
     """Drops finished rows older than keep_days, then keeps the keep_max newest finished ones; all other rows stay.
 

@@ -143,24 +143,6 @@ def test_stream_state_does_not_depend_on_batches(spark, tmp_path):
     assert seen[0] == seen[1] and len(seen[0]) == 2
 
 
-def test_quote_expiry_state(spark, tmp_path):
-    from barwright.streaming import feed
-
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "a.json").write_text('{"ev":"Q","sym":"O:UA240119C00100000","t":5}\n')
-    q = feed.latest_quotes_with_ttl(feed.normalized(feed.decoded(spark.readStream.text(str(src)))), ttl_seconds=1)
-    run = q.writeStream.format("memory").queryName("ttl").outputMode("update").start()  # processing-time state keeps a stream going, so it is stopped by hand
-    try:
-        end = time.time() + 60
-        while time.time() < end and not spark.table("ttl").where("expired").count():
-            time.sleep(0.5)
-        got = spark.table("ttl").collect()
-    finally:
-        run.stop()
-    assert [(r["t"], r["ev"], r["expired"]) for r in got] == [(5, "Q", False), (5, "Q", True)]
-
-
 def test_stream_results_are_files(spark, sf, tmp_path):
     """Log and state are read from files, not from the driver's memory, also where the stream has no rows."""
     from barwright.plans.registry import QUERIES
@@ -263,18 +245,6 @@ def test_ticker_details(spark):
     assert (got["CD"]["active"], got["CD"]["instrument_type"], got["CD"]["total_employees"]) == (True, "CS", None)
 
 
-def test_buffer_drops_the_oldest(spark, tmp_path):
-    """Each micro-batch lets its newest rows through; a batch is one file here."""
-    from barwright.streaming import feed
-
-    rows = spark.createDataFrame([(b, b * 10 + i, i) for b in range(3) for i in range(5)], "b int, t long, event_id long")
-    for b in range(3):
-        rows.where(F.col("b") == b).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("b int, t long, event_id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    got = feed.run_to_files(stream, "buffer", "append", keep=2).collect()
-    assert sorted(r["t"] for r in got) == [3, 4, 13, 14, 23, 24]
-
-
 def test_filters_reach_below_the_newest_row(spark, sf):
     """Requested contracts are picked before the newest snapshot of a day is: the join with them stands below that aggregate on the plan."""
     from barwright.plans.registry import QUERIES
