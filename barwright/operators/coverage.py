@@ -58,11 +58,39 @@ def vendor_gap(snapshots: DataFrame, bars: DataFrame, tickers: DataFrame) -> Dat
     return rows.join(last, "symbol", "left").withColumn("reason", reason).where("reason is not null")
 
 
-def holes(symbols: DataFrame, days: DataFrame, have: DataFrame) -> DataFrame:
-    """Pairs (symbol, day) that are expected but absent. The days are a bounded list, so every symbol simply unfolds them."""
-    listed = [r["day"] for r in days.orderBy("day").collect()]  # lookback days at most
-    grid = symbols.select("symbol").distinct().withColumn("day", F.explode(F.array(*map(F.lit, listed)))) if listed else symbols.select("symbol", F.lit(None).cast("date").alias("day")).where("false")
-    return grid.join(have.select("symbol", "day"), ["symbol", "day"], "left_anti")
+WORD_BITS = 64
+
+
+def _bit(i: Column) -> Column:
+    """A word with bit i."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))
+
+
+def missing_sessions(symbols: DataFrame, days: DataFrame, have: DataFrame) -> DataFrame:
+    """Rows (symbol, expected_days, missing_days, missing, days): for each symbol the sessions it lacks, as bits of words over the ordered days.
+
+    A symbol's days are bits of 64-bit words, put together before the shuffle, so no row is made for a pair of a symbol and a day. days is a list of
+    sessions (column day): its ordinals, one row for each day, go to all tasks; have: (symbol, day).
+    """
+    listed = days.agg(F.array_sort(F.collect_set("day")).alias("days"))  # one row
+    ordinals = listed.select(F.posexplode("days").alias("pos", "day"))  # one row for each session looked back on
+    ordinals = ordinals.select("day", F.floor(F.col("pos") / WORD_BITS).cast("int").alias("word"), _bit(F.col("pos") % WORD_BITS).alias("bit"))
+    held = have.select("symbol", "day").join(F.broadcast(ordinals), "day").groupBy("symbol", "word").agg(F.bit_or("bit").alias("bits"))
+    held = held.groupBy("symbol").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))  # a 64th of the days
+    rows = symbols.select("symbol").distinct().join(held, "symbol", "left").join(F.broadcast(listed))
+    n = F.size("days")
+    words = F.sequence(F.lit(0), F.floor((n - 1) / WORD_BITS).cast("int"))
+    full = lambda w: F.when((w + 1) * WORD_BITS <= n, F.lit(-1).cast("long")).otherwise(F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), (n % WORD_BITS).cast("int"))))
+    lacking = F.transform(words, lambda w: full(w).bitwiseAND(F.bitwise_not(F.coalesce(F.col("held")[w], F.lit(0).cast("long")))))
+    rows = rows.withColumn("missing", F.when(n > 0, lacking).otherwise(F.array().cast("array<bigint>")))
+    count = F.aggregate("missing", F.lit(0).cast("long"), lambda s, w: s + F.bit_count(w))
+    return rows.select("symbol", n.cast("long").alias("expected_days"), count.alias("missing_days"), "missing", "days")
+
+
+def missing_dates() -> Column:
+    """The days whose bits are set in rows of `missing_sessions`."""
+    is_set = lambda i: F.get("missing", F.floor(i / WORD_BITS).cast("int")).bitwiseAND(_bit(i % WORD_BITS)) != 0
+    return F.filter("days", lambda day, i: is_set(i))
 
 
 def check_row(name: str, df: DataFrame, passed: Column) -> DataFrame:
@@ -71,11 +99,16 @@ def check_row(name: str, df: DataFrame, passed: Column) -> DataFrame:
 
 def stock_daily_check(bars: DataFrame, watchlist: DataFrame, days: DataFrame, min_symbols: int) -> DataFrame:
     """Enough symbols, and no hole of a watched symbol on a trading day."""
-    gaps = holes(watchlist, days, bars.select("symbol", F.col("bar_date").alias("day")))
-    both = bars.agg(F.count_distinct("symbol").alias("n")).join(gaps.agg(F.count("*").alias("gaps")))  # one row each
+    gaps = missing_sessions(watchlist, days, bars.select("symbol", F.col("bar_date").alias("day"))).agg(F.coalesce(F.sum("missing_days"), F.lit(0)).alias("gaps"))
+    both = bars.agg(F.count_distinct("symbol").alias("n")).join(gaps)  # one row each
     return both.select(F.lit("stock_daily_coverage").alias("check"), ((F.col("n") > min_symbols) & (F.col("gaps") == 0)).alias("passed"), F.col("gaps"))
 
 
+def holes(symbols: DataFrame, days: DataFrame, have: DataFrame) -> DataFrame:
+    """Pairs (symbol, day) that are expected but absent; no others are made on the way."""
+    return missing_sessions(symbols, days, have).where("missing_days > 0").select("symbol", F.explode(missing_dates()).alias("day"))
+
+
 def gap_sample(symbols: DataFrame, days: DataFrame, have: DataFrame, limit: int = 50) -> DataFrame:
     """The first missing pairs (symbol, day), for a report."""
     return holes(symbols, days, have).orderBy("day", "symbol").limit(limit)
@@ -83,12 +116,8 @@ def gap_sample(symbols: DataFrame, days: DataFrame, have: DataFrame, limit: int
 
 def day_gaps(symbols: DataFrame, days: DataFrame, bars: DataFrame, limit: int = 120) -> DataFrame:
     """Per symbol the expected, covered and missing days, and its first missing ones."""
-    have = bars.select("symbol", F.col("bar_date").alias("day"))
-    missing = holes(symbols, days, have).groupBy("symbol").agg(F.count("*").alias("missing_days"), F.array_sort(F.collect_list("day")).alias("all"))  # days at most
-    expected = days.agg(F.count("*").alias("expected_days"))  # one row
-    out = symbols.select("symbol").distinct().join(F.broadcast(expected)).join(missing, "symbol", "left").withColumn("missing_days", F.coalesce("missing_days", F.lit(0)))
-    dates = F.coalesce(F.slice("all", 1, limit), F.array().cast("array<date>"))
-    return out.select("symbol", "expected_days", (F.col("expected_days") - F.col("missing_days")).alias("covered_days"), "missing_days", dates.alias("missing_dates"))
+    rows = missing_sessions(symbols, days, bars.select("symbol", F.col("bar_date").alias("day")))
+    return rows.select("symbol", "expected_days", (F.col("expected_days") - F.col("missing_days")).alias("covered_days"), "missing_days", F.slice(missing_dates(), 1, limit).alias("missing_dates"))
 
 
 def optionable(watchlist: DataFrame, contracts: DataFrame) -> DataFrame:
@@ -104,7 +133,8 @@ def option_snapshot_check(watchlist: DataFrame, contracts: DataFrame, snapshots:
 
 def option_oi_check(watchlist: DataFrame, contracts: DataFrame, oi: DataFrame, days: DataFrame) -> DataFrame:
     """Every optionable watched symbol has open interest on every completed day; an empty watchlist fails."""
-    gaps = holes(optionable(watchlist, contracts), days, oi.select(F.col("underlying").alias("symbol"), F.col("trade_date").alias("day"))).agg(F.count("*").alias("gaps"))
+    lacking = missing_sessions(optionable(watchlist, contracts), days, oi.select(F.col("underlying").alias("symbol"), F.col("trade_date").alias("day")))
+    gaps = lacking.agg(F.coalesce(F.sum("missing_days"), F.lit(0)).alias("gaps"))
     n = watchlist.agg(F.count("*").alias("n"))
     return gaps.join(n).select(F.lit("option_oi_coverage").alias("check"), ((F.col("gaps") == 0) & (F.col("n") > 0)).alias("passed"), "gaps")  # one row each
 
