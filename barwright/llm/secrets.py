@@ -164,12 +164,15 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "d
 
 
 def redacted(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with every found value of a document replaced in its text by REDACTED; all rows and other columns stay."""
-    held = unused(docs, "_values")
-    values = found.groupBy(id_col).agg(F.collect_set("value").alias(held))  # the secrets of one document
+    """docs with every found value of a document replaced in its text by REDACTED; all rows and other columns stay.
+
+    Rows without an id count as one document: what is found in any of them is replaced in all.
+    """
+    held, key = unused(docs, "_values"), unused(docs, "_id")
+    values = found.groupBy(F.col(id_col).alias(key)).agg(F.collect_set("value").alias(held))  # the secrets of one document
     longest = F.array_sort(held, lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)), F.when(a < b, -1).when(a > b, 1).otherwise(0)))
     clean = F.aggregate(longest, F.col(text), lambda t, v: F.replace(t, v, F.lit(REDACTED)))
-    joined = docs.join(values, id_col, "left")
+    joined = docs.join(values, F.col(id_col).eqNullSafe(F.col(key)), "left")
     return joined.withColumn(text, F.when(F.col(held).isNull(), F.col(text)).otherwise(clean)).select(*docs.columns)
 
 

@@ -220,3 +220,11 @@ def test_results_replace_columns_of_their_names(spark):
     out = ppm.scored(df, ppm.code_counts(df), counts, 3, 1)
     assert out.columns == ["doc_id", *ppm.RESULTS] and out.first()["n_tokens"] == 3
     assert token_counts.MEMO_LENGTH < 1000 and secrets.REDACTED in secrets.redacted(df, spark.createDataFrame([(1, "plain")], "doc_id long, value string")).first()["text"]
+
+
+def test_redaction_of_rows_without_an_id(spark):
+    key = "ghp_" + "a1B2c3D4e5" * 3 + "f6G7h8"
+    docs = spark.createDataFrame([(None, f"token {key} here"), (None, None), (1, "plain")], "doc_id long, text string")
+    found = spark.createDataFrame([(None, key)], "doc_id long, value string")
+    got = sorted(str(r["text"]) for r in secrets.redacted(docs, found).collect())
+    assert got == ["None", "plain", f"token {secrets.REDACTED} here"]
