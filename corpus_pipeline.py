@@ -46,9 +46,11 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     rows, key = keyed(docs)
     groups = simhash.near_duplicates(rows.select(key, "text"), key).join(rows.select(key, "doc_id"), key)
+    groups = stored(groups.select("component_id", "doc_id", key))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key))
-    kept = stored(groups.groupBy("component_id").agg(first.alias("first")).select(f"first.{key}"))
-    return rows.join(kept, key, "left_semi").select(*docs.columns)
+    several = groups.groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").select("component_id", F.col(f"first.{key}").alias("kept"))
+    gone = stored(groups.join(several, "component_id").where(F.col(key) != F.col("kept")).select(key))  # fewer than those that stay
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
