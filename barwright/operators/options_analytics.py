@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import is_call, is_put, parse_option_right, parse_option_ticker, safe_ratio, valid_iv
 from .latest import chain_latest, latest_per_day
+from .selection import medians
 
 SERIES = ["underlying", "trade_date", "expiry"]
 
@@ -100,7 +101,7 @@ def pcr_daily(oi: DataFrame, snapshots: DataFrame, contracts: DataFrame) -> Data
 
 def iv_rollup(atm: DataFrame) -> DataFrame:
     """Median IV over expiries of each symbol and date."""
-    return atm.where("atm_iv is not null").groupBy("symbol", "trade_date").agg(F.median("atm_iv").alias("iv"))
+    return medians(atm, ["symbol", "trade_date"], "atm_iv", "iv")
 
 
 def iv_percentile_daily(daily: DataFrame, window: int = 252) -> DataFrame:
