@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..operators import calendar, latest, options_analytics as oa
@@ -150,7 +151,10 @@ TREND = f"""inside as (select underlying, trade_date, option_right, open_interes
         cast(sum(case when option_right = 'C' then open_interest else 0 end) as bigint) as call from base group by all),
     ratios as (select *, case when call > 0 then round(cast(put as double) / call, 3) end as ratio from sums)
     select *, last_value(ratio) over (partition by underlying order by trade_date rows between unbounded preceding and unbounded following) as latest_ratio from ratios"""
-AS_OF = F.lit("2001-10-01").cast("date")
+
+
+def as_of() -> Column:
+    return F.lit("2001-10-01").cast("date")
 
 
 @query(
@@ -160,12 +164,12 @@ AS_OF = F.lit("2001-10-01").cast("date")
 def _(m):
     """One underlying without open interest and some whose open interest is stale."""
     held = m.option_open_interest.where("underlying <> 'UA' and not (underlying < 'UF' and trade_date >= date '2001-01-01')")
-    return oa.pcr_trend(held, m.option_snapshot, m.option_contract, 120, AS_OF)
+    return oa.pcr_trend(held, m.option_snapshot, m.option_contract, 120, as_of())
 
 
 @query("e13_pcr_trend_all", f"with held as (select * from option_open_interest), {TREND}")
 def _(m):
-    return oa.pcr_trend(m.option_open_interest, m.option_snapshot, m.option_contract, 120, AS_OF)
+    return oa.pcr_trend(m.option_open_interest, m.option_snapshot, m.option_contract, 120, as_of())
 
 
 @query(
@@ -178,7 +182,7 @@ def _(m):
     select *, last_value(ratio) over (partition by underlying order by trade_date rows between unbounded preceding and unbounded following) as latest_ratio from ratios""",
 )
 def _(m):
-    return oa.pcr_volume_trend(m.option_snapshot, m.option_contract, 120, AS_OF)
+    return oa.pcr_volume_trend(m.option_snapshot, m.option_contract, 120, as_of())
 
 
 SESSIONS = """days as (select distinct s.ny_date as trade_date from option_snapshot s where dayofweek(s.ny_date) between 1 and 5
