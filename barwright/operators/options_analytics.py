@@ -107,17 +107,29 @@ def iv_rollup(atm: DataFrame) -> DataFrame:
 def iv_percentile_daily(daily: DataFrame, window: int = 252) -> DataFrame:
     """Percentile and rank of each day's IV among the last `window` values within 2 * window + 30 days, that day included.
 
-    daily has one row for each symbol and day. As the days ascend, the values too old stand first: how many are left is a count over days.
+    daily has one row for each symbol and day; rows without an IV or a day are left out. Days are cut into blocks as long as that span, so a day's
+    values lie in its own block and the one before: a block's values, and the earlier one's, are held once for the whole block, and a
+    long history is spread over tasks.
     """
-    w = Window.partitionBy("symbol").orderBy("_day")
-    rows = daily.where("iv is not null").withColumn("_day", F.unix_date("trade_date"))
-    values, recent = F.collect_list("iv").over(w.rowsBetween(-(window - 1), 0)), F.count("*").over(w.rangeBetween(-(2 * window + 30), 0))  # window values at most
-    rows = rows.withColumns({"h": values, "_recent": recent.cast("int")})
-    rows = rows.withColumn("h", F.slice("h", -F.least(F.col("_recent"), F.size("h")), F.least(F.col("_recent"), F.size("h"))))
-    n, low, high, cur = F.size("h"), F.array_min("h"), F.array_max("h"), F.col("iv")
-    percentile = F.round(100.0 * F.size(F.filter("h", lambda x: x <= F.col("iv"))) / n, 4)
-    rank = F.when(high > low, F.round(100.0 * F.try_divide(cur - low, high - low), 4)).otherwise(50.0)
-    return rows.select("symbol", "trade_date", F.col("iv").alias("iv_current"), percentile.alias("iv_percentile_1y"), rank.alias("iv_rank_1y"), n.alias("lookback_days"))
+    span = 2 * window + 30
+    block = lambda day: F.floor(day / (span + 1))
+    rows = daily.where("iv is not null and trade_date is not null").select("symbol", F.unix_date("trade_date").alias("day"), "iv")
+    rows = rows.select("*", F.explode(F.array(block(F.col("day")), block(F.col("day")) + 1)).alias("_block"))
+    blocks = rows.groupBy("symbol", "_block").agg(F.array_sort(F.collect_list(F.struct("day", "iv"))).alias("h"))  # 2 * (span + 1) values at most
+
+    def placed(x: Column, i: Column) -> Column:
+        last = F.slice("h", F.greatest(i - (window - 2), F.lit(1)), F.least(i + 1, F.lit(window)))
+        since = x["day"] - span
+        return F.struct(x["day"].alias("day"), x["iv"].alias("iv"), F.when(last[0]["day"] >= since, last).otherwise(F.filter(last, lambda y: y["day"] >= since))["iv"].alias("v"))
+
+    def counted(x: Column) -> Column:
+        return F.struct(x["day"].alias("day"), x["iv"].alias("iv"), F.size(x["v"]).alias("n"), F.array_min(x["v"]).alias("low"), F.array_max(x["v"]).alias("high"), F.size(F.filter(x["v"], lambda y: y <= x["iv"])).alias("upto"))
+
+    own = lambda x, i: F.when(block(x["day"]) == F.col("_block"), F.transform(F.array(placed(x, i)), counted)[0])  # noqa: E731  one day's values at a time
+    rows = blocks.select("symbol", F.explode(F.filter(F.transform("h", own), lambda x: x.isNotNull())).alias("x")).select("symbol", "x.*")
+    percentile = F.round(100.0 * F.col("upto") / F.col("n"), 4)
+    rank = F.when(F.col("high") > F.col("low"), F.round(100.0 * F.try_divide(F.col("iv") - F.col("low"), F.col("high") - F.col("low")), 4)).otherwise(50.0)
+    return rows.select("symbol", F.date_from_unix_date("day").alias("trade_date"), F.col("iv").alias("iv_current"), percentile.alias("iv_percentile_1y"), rank.alias("iv_rank_1y"), F.col("n").alias("lookback_days"))
 
 
 def oi_extract(snapshots: DataFrame, contracts: DataFrame) -> DataFrame:

@@ -74,6 +74,39 @@ def test_iv_percentile_random(spark):
         assert abs(got[day]["iv_percentile_1y"] - 100 * sum(x <= cur for x in h) / len(h)) < 1e-3
 
 
+def test_iv_percentile_of_long_histories(spark):
+    """Every day against a plain loop, over several blocks, with the default window: daily, with gaps, and a symbol with far days only."""
+    rng = random.Random(6)
+    daily = {"D": 1, "G": 5, "F": 700, "N": 2}
+    rows = []
+    for s, most in daily.items():
+        d = dt.date(1965, 3, 1)  # days before 1970 are negative
+        for _ in range(900 if most < 700 else 12):
+            d += dt.timedelta(rng.randint(1, most))
+            rows.append((s, d, None if s == "N" and rng.random() < 0.4 else rng.choice([rng.random(), rng.randrange(1, 9) / 10])))
+    rows += [("N", None, 0.5)]
+    want = {}
+    for s in daily:
+        held = [(d, v) for x, d, v in rows if x == s and d and v is not None]
+        for i, (d, v) in enumerate(held):
+            h = [y for t, y in held[max(0, i - 251) : i + 1] if (d - t).days <= 534]
+            rank = 50.0 if max(h) == min(h) else round(100 * (v - min(h)) / (max(h) - min(h)), 4)
+            want[s, d] = (v, round(100 * sum(y <= v for y in h) / len(h), 4), rank, len(h))
+    rng.shuffle(rows)
+    got = oa.iv_percentile_daily(spark.createDataFrame(rows, "symbol string, trade_date date, iv double").repartition(5)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        x = want[r["symbol"], r["trade_date"]]
+        assert (r["iv_current"], r["lookback_days"]) == (x[0], x[3]) and abs(r["iv_percentile_1y"] - x[1]) < 2e-4 and abs(r["iv_rank_1y"] - x[2]) < 2e-4
+
+
+def test_iv_percentile_spreads_a_symbol(spark):
+    df = spark.createDataFrame([], "symbol string, trade_date date, iv double")
+    out = oa.iv_percentile_daily(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "_block" in plan and out.count() == 0
+
+
 def test_pcr_and_rollup_literals(spark):
     r = spark.createDataFrame([(100, 50), (0, 50), (10, 0)], "p int, c int").select(col.safe_ratio(F.col("p"), F.col("c")).alias("r")).collect()
     assert [x["r"] for x in r] == [2.0, 0.0, None]
