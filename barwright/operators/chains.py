@@ -28,13 +28,19 @@ def resolve_keys(requests: DataFrame, contracts: DataFrame, tolerance: float = 1
     """Contracts of mixed requests (column key: vendor tickers or contract keys): rows (key, option_ticker, contract_key, vendor).
 
     Vendor tickers join on the ticker; contract keys on underlying, expiry and right, with the strikes within a tolerance as a residual test.
+    Each contract stands for both names, so that one join, and one pass over the contracts, serves both kinds of request.
     """
-    key = requests.select("key").distinct().withColumn("vendor", is_vendor_ticker(F.col("key")))
+    identity = lambda underlying, expiry, right: F.to_json(F.struct(underlying.alias("u"), expiry.alias("e"), right.alias("r")))
     named = contracts.withColumn("contract_key", build_contract_key(F.col("underlying"), F.col("expiry"), F.col("strike"), F.col("option_right")))
-    by_ticker = key.where("vendor").withColumn("option_ticker", F.upper(F.trim("key"))).join(named, "option_ticker").select("key", "option_ticker", "contract_key", "vendor")
-    k = key.where("not vendor").withColumn("k", parse_contract_key(F.col("key"))).where("k is not null").select("key", "vendor", F.col("k.underlying"), F.col("k.expiry"), F.col("k.option_right"), F.col("k.strike").alias("asked"))
-    by_key = k.join(named, ["underlying", "expiry", "option_right"]).where(F.abs(F.col("strike") - F.col("asked")) < tolerance).select("key", "option_ticker", "contract_key", "vendor")
-    return by_ticker.union(by_key)
+    whole = F.when(F.col("underlying").isNotNull() & F.col("expiry").isNotNull() & F.col("option_right").isNotNull(), identity(F.col("underlying"), F.col("expiry"), F.col("option_right")))
+    names = F.array(F.struct(F.lit(True).alias("vendor"), F.col("option_ticker").alias("name")), F.struct(F.lit(False).alias("vendor"), whole.alias("name")))
+    named = named.select("option_ticker", "contract_key", "strike", F.explode(names).alias("_by")).select("option_ticker", "contract_key", "strike", "_by.*")
+
+    key = requests.select("key").distinct().withColumns({"vendor": is_vendor_ticker(F.col("key")), "k": parse_contract_key(F.col("key"))})
+    name = F.when(F.col("vendor"), F.upper(F.trim("key"))).when(F.col("k").isNotNull(), identity(F.col("k.underlying"), F.col("k.expiry"), F.col("k.option_right")))
+    key = key.select("key", "vendor", name.alias("name"), F.col("k.strike").alias("asked")).where("name is not null")
+    near = F.col("vendor") | (F.abs(F.col("strike") - F.col("asked")) < tolerance)
+    return key.join(named, ["vendor", "name"]).where(near).select("key", "option_ticker", "contract_key", "vendor")
 
 
 def chain_latest_by_keys(requests: DataFrame, contracts: DataFrame, snapshots: DataFrame) -> DataFrame:

@@ -66,25 +66,28 @@ def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))
 
 
-def missing_sessions(symbols: DataFrame, days: DataFrame, have: DataFrame) -> DataFrame:
+def missing_sessions(symbols: DataFrame, days: DataFrame, have: DataFrame, others: bool = False) -> DataFrame:
     """Rows (symbol, expected_days, missing_days, missing, days): for each symbol the sessions it lacks, as bits of words over the ordered days.
 
     A symbol's days are bits of 64-bit words, put together before the shuffle, so no row is made for a pair of a symbol and a day. days is a list of
-    sessions (column day): its ordinals, one row for each day, go to all tasks; have: (symbol, day).
+    sessions (column day): its ordinals, one row for each day, go to all tasks; have: (symbol, day). With others, the symbols of have that are not
+    asked for come too, and columns asked and has tell which symbols are asked for and which have any day at all.
     """
     listed = days.agg(F.array_sort(F.collect_set("day")).alias("days"))  # one row
     ordinals = listed.select(F.posexplode("days").alias("pos", "day"))  # one row for each session looked back on
     ordinals = ordinals.select("day", F.floor(F.col("pos") / WORD_BITS).cast("int").alias("word"), _bit(F.col("pos") % WORD_BITS).alias("bit"))
-    held = have.select("symbol", "day").join(F.broadcast(ordinals), "day").groupBy("symbol", "word").agg(F.bit_or("bit").alias("bits"))
-    held = held.groupBy("symbol").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))  # a 64th of the days
-    rows = symbols.select("symbol").distinct().join(held, "symbol", "left").join(F.broadcast(listed))
+    held = have.select("symbol", "day").join(F.broadcast(ordinals), "day", "left" if others else "inner").groupBy("symbol", "word").agg(F.bit_or("bit").alias("bits"))
+    words_held = F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "bits")))  # a 64th of the days
+    held = held.groupBy("symbol").agg(F.map_from_entries(words_held).alias("held")).withColumn("has", F.lit(True))
+    rows = symbols.select("symbol").distinct().withColumn("asked", F.lit(True)).join(held, "symbol", "full" if others else "left").join(F.broadcast(listed))
     n = F.size("days")
     words = F.sequence(F.lit(0), F.floor((n - 1) / WORD_BITS).cast("int"))
     full = lambda w: F.when((w + 1) * WORD_BITS <= n, F.lit(-1).cast("long")).otherwise(F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), (n % WORD_BITS).cast("int"))))
     lacking = F.transform(words, lambda w: full(w).bitwiseAND(F.bitwise_not(F.coalesce(F.col("held")[w], F.lit(0).cast("long")))))
     rows = rows.withColumn("missing", F.when(n > 0, lacking).otherwise(F.array().cast("array<bigint>")))
     count = F.aggregate("missing", F.lit(0).cast("long"), lambda s, w: s + F.bit_count(w))
-    return rows.select("symbol", n.cast("long").alias("expected_days"), count.alias("missing_days"), "missing", "days")
+    flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("asked", "has") if others]
+    return rows.select("symbol", n.cast("long").alias("expected_days"), count.alias("missing_days"), "missing", "days", *flags)
 
 
 def missing_dates() -> Column:
@@ -98,9 +101,9 @@ def check_row(name: str, df: DataFrame, passed: Column) -> DataFrame:
 
 
 def stock_daily_check(bars: DataFrame, watchlist: DataFrame, days: DataFrame, min_symbols: int) -> DataFrame:
-    """Enough symbols, and no hole of a watched symbol on a trading day."""
-    gaps = missing_sessions(watchlist, days, bars.select("symbol", F.col("bar_date").alias("day"))).agg(F.coalesce(F.sum("missing_days"), F.lit(0)).alias("gaps"))
-    both = bars.agg(F.count_distinct("symbol").alias("n")).join(gaps)  # one row each
+    """Enough symbols, and no hole of a watched symbol on a trading day; both by one pass over the bars."""
+    rows = missing_sessions(watchlist, days, bars.select("symbol", F.col("bar_date").alias("day")), others=True)
+    both = rows.agg(F.count(F.when(F.col("has"), F.col("symbol"))).alias("n"), F.coalesce(F.sum(F.when(F.col("asked"), F.col("missing_days"))), F.lit(0)).alias("gaps"))
     return both.select(F.lit("stock_daily_coverage").alias("check"), ((F.col("n") > min_symbols) & (F.col("gaps") == 0)).alias("passed"), F.col("gaps"))
 
 
@@ -153,11 +156,12 @@ def freshness_check(freshness: DataFrame, expected: Iterable[str], now: Column,
 
 
 def quality_report(*checks: DataFrame) -> DataFrame:
-    """All checks and a last row that says whether each passed."""
+    """All checks, under distinct names, and a row that says whether each passed. Each check is worked out once."""
     rows = checks[0]
     for c in checks[1:]:
         rows = rows.unionByName(c)
-    return rows.unionByName(rows.agg(F.lit("all").alias("check"), F.bool_and("passed").alias("passed"), F.sum("gaps").alias("gaps")))
+    totals = rows.rollup("check").agg(F.bool_and("passed").alias("passed"), F.sum("gaps").alias("gaps"), F.grouping("check").alias("_all"))
+    return totals.select(F.when(F.col("_all") == 1, "all").otherwise(F.col("check")).alias("check"), "passed", "gaps")
 
 
 def inventory(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
