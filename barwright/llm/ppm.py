@@ -244,7 +244,7 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
 
     score is the log10 probability of the text and its end under the trie of the leaves, base_score that under smoothed word unigrams
     (end included). The FREQUENT_WORDS most frequent words are looked up in every task; only the other words of a document are joined
-    with the counts. Up to max_leaves leaves are shipped as a trie; of more, every code's log10 probability is worked out by a join, the
+    with the counts. A Python worker builds its model once, not for each task. Up to max_leaves leaves are shipped as a trie; of more, every code's log10 probability is worked out by a join, the
     most frequent codes of docs are looked up in every task, and the other codes of a document are joined. Both give the same score.
     Tasks work on a few hundred texts at a time. Null and empty texts hold the end alone; rows that repeat are scored each; an empty table
     gives no row. Columns of docs with the names of RESULTS or PRIVATE are left out, all others stay.
@@ -265,14 +265,17 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
     logs_of = None if whole_trie else code_scores(leaves, code_counts(docs, text, order), order)
     shipped = (leaves if whole_trie else frequent_codes(logs_of, max_leaves).select("code", "log")).toArrow()
     shipped = (shipped["code"].to_numpy().view(np.uint64), shipped[1].to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast((shipped, words))  # max_leaves and FREQUENT_WORDS
+    logs_of_words = {w: log10((c + 0.5) / floor) for w, c in words.items()}
+    shared = docs.sparkSession.sparkContext.broadcast({"codes": shipped, "words": logs_of_words})  # max_leaves and FREQUENT_WORDS
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (values, numbers), words = shared.value
-        trie, logs = Trie(values, numbers, order) if whole_trie else None, {w: log10((c + 0.5) / floor) for w, c in words.items()}
-        if not whole_trie:
+        held = shared.value  # one for each Python worker, which keeps it from task to task
+        if "codes" in held:
+            values, numbers = held["codes"]
             order_of = np.argsort(values)
-            values, numbers = values[order_of], numbers[order_of]
+            held["model"] = Trie(values, numbers, order) if whole_trie else (values[order_of], numbers[order_of])
+            del held["codes"]
+        model, logs = held["model"], held["words"]
         end = log10((n_ends + 0.5) / floor)
         for whole in batches:
             for lo in range(0, whole.num_rows, SLICE):
@@ -293,9 +296,9 @@ def scored(docs: DataFrame, leaves: DataFrame, counts: DataFrame, n_train: int,
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
                 arrays = [pa.array(values, kind) for values, kind in zip(rows.values(), kinds, strict=True)]
                 if whole_trie:
-                    part_score, codes, reps = trie.scores(streams), [[]] * len(streams), [[]] * len(streams)
+                    part_score, codes, reps = model.scores(streams), [[]] * len(streams), [[]] * len(streams)
                 else:
-                    part_score, codes, reps = looked_up(streams, values, numbers, order)
+                    part_score, codes, reps = looked_up(streams, *model, order)
                 arrays += [pa.array(codes, pa.list_(pa.int64())), pa.array(reps, pa.list_(pa.int64())), pa.array(part_score)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=[*keep, *rows, "_codes", "_reps", "score"])
 
