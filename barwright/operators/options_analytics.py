@@ -116,17 +116,19 @@ def iv_percentile_daily(daily: DataFrame, window: int = 252) -> DataFrame:
     rows = daily.where("iv is not null and trade_date is not null").select("symbol", F.unix_date("trade_date").alias("day"), "iv")
     rows = rows.select("*", F.explode(F.array(block(F.col("day")), block(F.col("day")) + 1)).alias("_block"))
     blocks = rows.groupBy("symbol", "_block").agg(F.array_sort(F.collect_list(F.struct("day", "iv"))).alias("h"))  # 2 * (span + 1) values at most
+    blocks = blocks.select("symbol", "_block", F.col("h.day").alias("days"), F.col("h.iv").alias("ivs"))
 
-    def placed(x: Column, i: Column) -> Column:
-        last = F.slice("h", F.greatest(i - (window - 2), F.lit(1)), F.least(i + 1, F.lit(window)))
-        since = x["day"] - span
-        return F.struct(x["day"].alias("day"), x["iv"].alias("iv"), F.when(last[0]["day"] >= since, last).otherwise(F.filter(last, lambda y: y["day"] >= since))["iv"].alias("v"))
+    def placed(day: Column, i: Column) -> Column:
+        most, since = F.least(i + 1, F.lit(window)), day - span
+        recent = F.size(F.filter(F.slice("days", i + 2 - most, most), lambda y: y >= since))
+        n = F.when(F.get("days", i + 1 - most) >= since, most).otherwise(recent)
+        return F.struct(day.alias("day"), F.get("ivs", i).alias("iv"), F.slice("ivs", i + 2 - n, n).alias("v"))
 
     def counted(x: Column) -> Column:
         return F.struct(x["day"].alias("day"), x["iv"].alias("iv"), F.size(x["v"]).alias("n"), F.array_min(x["v"]).alias("low"), F.array_max(x["v"]).alias("high"), F.size(F.filter(x["v"], lambda y: y <= x["iv"])).alias("upto"))
 
-    own = lambda x, i: F.when(block(x["day"]) == F.col("_block"), F.transform(F.array(placed(x, i)), counted)[0])  # noqa: E731  one day's values at a time
-    rows = blocks.select("symbol", F.explode(F.filter(F.transform("h", own), lambda x: x.isNotNull())).alias("x")).select("symbol", "x.*")
+    own = lambda day, i: F.when(block(day) == F.col("_block"), F.transform(F.array(placed(day, i)), counted)[0])  # noqa: E731  one day's values at a time
+    rows = blocks.select("symbol", F.explode(F.filter(F.transform("days", own), lambda x: x.isNotNull())).alias("x")).select("symbol", "x.*")
     percentile = F.round(100.0 * F.col("upto") / F.col("n"), 4)
     rank = F.when(F.col("high") > F.col("low"), F.round(100.0 * F.try_divide(F.col("iv") - F.col("low"), F.col("high") - F.col("low")), 4)).otherwise(50.0)
     return rows.select("symbol", F.date_from_unix_date("day").alias("trade_date"), F.col("iv").alias("iv_current"), percentile.alias("iv_percentile_1y"), rank.alias("iv_rank_1y"), F.col("n").alias("lookback_days"))
