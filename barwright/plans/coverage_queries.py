@@ -546,15 +546,14 @@ def _(m):
 
 @query(
     "i4_slot_adherence",
-    f"""with f as (select 'slot' || cast(event_id % 5 as varchar) as slot, event_type as kind, ts + interval 1 minute as fire from events
-        where event_id % 97 = 0),
+    f"""with f as (select 'slot' || cast(event_id % 5 as varchar) as slot, event_type as kind, ts + interval 1 minute as fire from events),
     n as (select f.slot, f.kind, f.fire, count(j.id) as jobs from f left join job_log j on j.kind = f.kind and j.created_at >= f.fire
-        and j.created_at < least({T}, f.fire + interval 30 minute + interval 2 hour) group by all)
-    select slot, kind, epoch_us(fire) as fire_us, jobs, case when jobs > 0 then 'on_plan' when {T} < fire + interval 30 minute then 'due' else 'missed' end as state from n""",
+        and j.created_at < least({T}, f.fire + interval 10 minute + interval 2 hour) group by all)
+    select slot, kind, epoch_us(fire) as fire_us, jobs, case when jobs > 0 then 'on_plan' when {T} < fire + interval 10 minute then 'due' else 'missed' end as state from n""",
 )
 def _(m):
-    fires = m.events.where("event_id % 97 = 0").select(F.concat(F.lit("slot"), (F.col("event_id") % 5).cast("string")).alias("slot"), F.col("event_type").alias("kind"), (F.col("ts") + F.expr("interval 1 minute")).alias("fire"))
-    return joblog.slot_adherence(fires, m.job_log, F.lit(NOW).cast("timestamp_ntz"), 30).select("slot", "kind", F.unix_micros(F.col("fire").cast("timestamp")).alias("fire_us"), "jobs", "state")
+    fires = m.events.select(F.concat(F.lit("slot"), (F.col("event_id") % 5).cast("string")).alias("slot"), F.col("event_type").alias("kind"), (F.col("ts") + F.expr("interval 1 minute")).alias("fire"))
+    return joblog.slot_adherence(fires, m.job_log, F.lit(NOW).cast("timestamp_ntz"), 10).select("slot", "kind", F.unix_micros(F.col("fire").cast("timestamp")).alias("fire_us"), "jobs", "state")
 
 
 @query(

@@ -298,10 +298,10 @@ def _(m):
 @query(
     "a15_ingest_financials",
     """select symbol, case when fiscal_year % 3 = 0 then 'filing' else 'income_statement' end as report_type, period_date, period_type,
-    cast(fiscal_year as bigint) as fiscal_year from stock_financials where report_type = 'income_statement'""",
+    cast(fiscal_year as bigint) as fiscal_year from stock_financials""",
 )
 def _(m):
-    rows = m.stock_financials.where("report_type = 'income_statement'")
+    rows = m.stock_financials
     body = F.when(F.col("fiscal_year") % 3 == 0, F.create_map(F.lit("balance_sheet"), F.lit(""))).otherwise(F.create_map(F.lit("income_statement"), F.col("data")))
     item = F.struct(F.col("period_date").cast("string").alias("end_date"), F.col("period_type").alias("timeframe"), F.col("fiscal_year").cast("string").alias("fiscal_year"), body.alias("financials"))
     return landing.financials(pages(rows, ["symbol"], F.to_json(item), "period_date")).select("symbol", "report_type", "period_date", "period_type", "fiscal_year")
@@ -341,13 +341,13 @@ def _(m):
 @query(
     "a19_merge_pages",
     """select user_id as request, least(count(*), 3) as pages, cast(least(count(*), 3) * 2 as bigint) as results, count(*) > 3 as truncated
-    from events where user_id % 7 = 0 and event_id % 20 = 1 group by user_id""",
+    from events group by user_id""",
 )
 def _(m):
     from pyspark.sql import Window
 
     w = Window.partitionBy("user_id")
-    rows = m.events.where("user_id % 7 = 0 and event_id % 20 = 1").withColumns({"page_no": F.row_number().over(w.orderBy("event_id")), "n": F.count("*").over(w)})
+    rows = m.events.withColumns({"page_no": F.row_number().over(w.orderBy("event_id")), "n": F.count("*").over(w)})
     payload = F.to_json(F.struct(F.array(F.lit("a"), F.lit("b")).alias("results"), F.when(F.col("page_no") < F.col("n"), "next").alias("next_url")))
     return landing.merged_pages(rows.select(F.col("user_id").alias("request"), "page_no", payload.alias("payload")), 3)
 
