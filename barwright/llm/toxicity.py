@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,14 +13,30 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, fold, stored, table, unit_hash
 
-#: Bounds of the training sample: confirmed toxic rows, unlabelled rows, words used as features.
+#: Bounds of the training sample: confirmed toxic rows, unlabelled rows, words and beginnings used as features.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 8_000, 16_000, 20_000
-#: Words in fewer texts, or whose rates in the two samples differ by fewer standard errors, are no features.
+#: Features in fewer texts, or whose rates in the two samples differ by fewer standard errors, are left out.
 MIN_COUNT, MIN_Z = 5, 4.5
+#: Lengths of the beginnings of words that are features beside the words, so that inflected and compound forms share what is learnt.
+BEGINNINGS = (5, 7)
+#: Name of the feature that stands for the length of a text, and how many distinct words count as one unit of it.
+LENGTH, UNIT = "", 64
 
 _words = re.compile(r"[^\W\d_]+").findall
 
 
+def features(text: str | None) -> set[str]:
+    """The distinct lower-cased words of a text, and the beginnings that two (one trailing dash), or three and more (two dashes, too) of them share."""
+    found = set(_words((text or "").lower()))
+    shared = Counter(w[:n] for n in BEGINNINGS for w in found if len(w) > n)
+    return found.union(*([b + "-", b + "--"][: k - 1] for b, k in shared.items() if k > 1))
+
+
+def length_units(found: Iterable[str]) -> int:
+    """Length of a text of those features, in units of UNIT distinct words. A long text holds more words by chance, which a weight of its own can offset."""
+    return sum(not w.endswith("-") for w in found) // UNIT
+
+
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -85,7 +101,7 @@ def _drawn(learn: DataFrame, labels: DataFrame, models: int) -> tuple[DataFrame,
     @F.pandas_udf("array<string>")
     def distinct_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([sorted(set(_words((t or "").lower()))) for t in batch])
+            yield pd.Series([sorted(features(t)) for t in batch])
 
     rows = learn.select(key.alias("key"), digest.alias("digest"), "text").join(F.broadcast(drawn), "key")
     texts = rows.groupBy("digest").agg(F.max("kind").alias("kind"), F.first("text").alias("text"))  # a text counts once, as toxic if any copy is
@@ -107,7 +123,7 @@ def _word_rates(sample: DataFrame) -> DataFrame:
 
 
 def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[str, tuple[float, ...]], tuple[float, ...]]:
-    """Word weights and biases of the classifiers, one value for each model.
+    """Weights of words, beginnings of words and length, and biases of the classifiers, one value for each model.
 
     learn: doc_id, text of the rows that may be learnt from; labels: doc_id, toxic. Positives are rows that a label confirms as toxic,
     the unlabelled sample is drawn from the rows without label (from all of them if each has one). The class prior is the toxic
@@ -131,13 +147,14 @@ def train(learn: DataFrame, labels: DataFrame, models: int = 3) -> tuple[dict[st
     counts = _word_rates(sample).withColumns({"z": z, "start": F.log((rate_p + 0.5 / n_p) / (clean_rate + 2 / n_u))})
     likely = counts.where((F.col("p") + F.col("u") >= MIN_COUNT) & (F.col("z") >= MIN_Z))
     chosen = likely.orderBy(F.desc("z"), "word").limit(MAX_FEATURES).select("word", "start").toArrow().to_pandas()
-    shared = learn.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(chosen["word"])})  # MAX_FEATURES at most
+    chosen = pd.concat([chosen, pd.DataFrame({"word": [LENGTH], "start": [0.0]})], ignore_index=True)
+    shared = learn.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(chosen["word"])})  # MAX_FEATURES and the length at most
 
     @F.pandas_udf("array<int>")
     def present(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = shared.value
         for batch in batches:
-            yield pd.Series([[index[w] for w in words if w in index] for words in batch])
+            yield pd.Series([[index[w] for w in words if w in index] + [index[LENGTH]] * length_units(words) for words in batch])
 
     hits = sample.select("digest", "kind", present("words").alias("present")).toArrow().sort_by("digest").to_pandas()  # bounded sample
     rows = [np.asarray(x, np.int64) for x in hits["present"]]
@@ -168,8 +185,9 @@ def scored(docs: DataFrame, model: tuple[dict, tuple], text: str = "text", thres
         for batch in batches:
             out = np.empty(len(batch))
             for i, t in enumerate(batch):
-                found = weights.keys() & set(_words((t or "").lower()))
-                out[i] = _logistic(biases + sum((np.asarray(weights[w]) for w in sorted(found)), np.zeros(len(biases)))).mean()
+                found = features(t)
+                length = length_units(found) * np.asarray(weights.get(LENGTH, 0.0))
+                out[i] = _logistic(biases + sum((np.asarray(weights[w]) for w in sorted(weights.keys() & found)), length)).mean()
             yield pd.Series(out)
 
     return docs.withColumn("score", score(F.col(text))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -311,6 +311,26 @@ def test_toxicity(spark):
     assert toxicity.train(df.select("doc_id", "text"), labels.where("false"))[0] == {}
 
 
+def test_toxicity_features():
+    assert toxicity.features("Gruselig gruseliger, gruselt") == {"gruselig", "gruseliger", "gruselt", "gruse-", "gruse--", "gruseli-"}
+    assert toxicity.features("gruselig gruselig") == {"gruselig"}  # repeats of one word share nothing
+    assert toxicity.features(None) == toxicity.features("  ") == set()
+    assert toxicity.length_units({f"w{i}" for i in range(130)} | {"gruse-", "gruse--"}) == 2
+
+
+def test_toxicity_of_new_forms(spark):
+    """Insults in forms that the learning rows don't hold are found by the beginnings that they share; long clean texts stay clean."""
+    rng = random.Random(11)
+    plain = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    text = lambda n, insults: " ".join(rng.sample(plain, n) + ["vilest" + "".join(rng.choices("klmnop", k=4)) for _ in range(insults)])
+    rows = [(i, text(rng.choice([20, 40, 300]), 4 if i % 5 == 0 else 0)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(0, 1500) if i % 3 == 0], "doc_id long, toxic int")
+    asked = spark.createDataFrame([(i, text(30, 4 * (i % 2))) for i in range(60)] + [(100, text(2000, 0))], "doc_id long, text string")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.scored(asked, toxicity.train(df, labels)).collect()}
+    assert all(got[i] == i % 2 for i in range(60)) and got[100] == 0
+
+
 def test_language(spark):
     rng = random.Random(12)
     alphabets = {"xa": "abcde", "yb": "fghij", "zc": "klmno"}
