@@ -128,6 +128,31 @@ def test_decontamination_by_brute_force(spark, sf):
     assert want and want <= got and {i for i, _ in got} == {i for i, _ in want}
 
 
+def test_recall_of_paraphrases(spark, sf):
+    """Of items whose paraphrase (60 % of the words, a quarter as many inserted) leaks by the rule, nearly all are found, in each class of length."""
+    rng = random.Random(3)
+    texts = {r["doc_id"]: decontaminate.words(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").where("text is not null").collect()}
+    vocabulary = [w for i in sorted(texts) for w in texts[i]]
+    long = [i for i in sorted(texts) if len(texts[i]) > 200]
+    items, planted, new = [], {}, {i: list(ws) for i, ws in texts.items()}
+    for k in range(240):
+        n, source, target = (6, 10, 24, 40)[k % 4], rng.choice(long[::2]), rng.choice(long[1::2])
+        at = rng.randrange(len(texts[source]) - n)
+        text = " ".join(texts[source][at : at + n])
+        span = [x for w in texts[source][at : at + n] if rng.random() < 0.6 for x in ([w, rng.choice(vocabulary)] if rng.random() < 0.25 else [w])]
+        if decontaminate.leak(*decontaminate.item_parts(text, None), span)[2]:
+            place = rng.randrange(len(new[target]))
+            new[target][place:place] = span
+            items.append((k, text))
+            planted.setdefault(n, []).append((target, k))
+    docs = spark.createDataFrame([(i, " ".join(ws)) for i, ws in new.items()], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
+    assert len(planted) == 4
+    for n, pairs in planted.items():
+        assert sum(p in got for p in pairs) >= 0.9 * len(pairs), (n, len(pairs))
+
+
 def test_short_items_and_answers(spark):
     """Items of a few words, paraphrases that keep the answer, and items without their answer."""
     rng = random.Random(33)
