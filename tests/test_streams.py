@@ -120,3 +120,15 @@ def test_written_rows_are_counted_by_the_write(spark, tmp_path):
     row = sinks.write_observed(df, str(tmp_path / "out"), "d", now).first()
     assert (row["rows_written"], row["status"]) == (7, "ok")
     assert sinks.write_observed(df, str(tmp_path / "out"), "d", now, mode="error").first()["status"] == "failed" and spark.read.parquet(str(tmp_path / "out")).count() == 7
+
+
+def test_trimmed_log_keeps_its_whole_length(spark, sf, tmp_path):
+    """Of a feed longer than the log, as many events stay as the log keeps, the newest."""
+    import duckdb
+
+    from barwright import plans
+    from tests.oracle import compare
+
+    duckdb.sql(f"copy (select event_id + 1000000 * k as event_id, ts + to_minutes(k) as ts, * exclude (event_id, ts) from '{sf}/events.parquet', range(16000 // (select count(*) from '{sf}/events.parquet')) r(k)) to '{tmp_path}/events.parquet'")
+    assert plans.QUERIES["k4_event_log_trimmed"](spark, str(tmp_path)).count() == feed.LOG_LENGTH == 10_000
+    compare(spark, str(tmp_path), plans.QUERIES["k4_event_log_trimmed"], plans.ORACLE_SQL["k4_event_log_trimmed"])
