@@ -329,3 +329,26 @@ def test_odd_messages_cost_only_themselves(spark):
     raw = spark.createDataFrame([(f'[{quote},7,null,"x",[1],{{"ev":""}},{quote}]',), (quote,), ("[broken",), ('{"sym":"x"}',), (None,)], "value string")
     got = feed.normalized(feed.decoded(raw)).collect()
     assert len(got) == 3 and all((r["t"], r["bid"], r["ask"]) == (5, 1.25, None) for r in got)
+
+
+def test_slot_adherence_of_repeated_fires(spark, sf, tmp_path):
+    """Fires that occur more than once are one row each, as in SQL, and jobs at the ends of a window count at its start only."""
+    import duckdb
+
+    from barwright.operators import joblog
+    from barwright.plans import ORACLE_SQL, QUERIES
+    from tests.oracle import compare
+
+    duckdb.sql(f"copy (select event_id + 1000000 * k as event_id, * exclude (event_id) from '{sf}/events.parquet', range(3) r(k)) to '{tmp_path}/events.parquet'")
+    for name in ("i4_slot_adherence", "i4_slot_adherence_all"):
+        compare(spark, str(tmp_path), QUERIES[name], ORACLE_SQL[name])
+    at = dt.datetime(2024, 1, 1, 12)
+    hours = lambda *hs: [at + dt.timedelta(hours=h) for h in hs]
+    fires = spark.createDataFrame([("s", "k", t) for t in hours(0, 9, 100)] + [("s", None, at), ("s", "k", None)], "slot string, kind string, fire timestamp_ntz")
+    jobs = spark.createDataFrame([("k", t) for t in [at, at, *hours(2.5, -1, 11.5)]] + [("k", None), (None, at)], "kind string, created_at timestamp_ntz")
+    got = joblog.slot_adherence(fires, jobs, F.lit("2024-01-04 00:00:00").cast("timestamp_ntz"), 30)
+    assert sorted((str(r["kind"]), str(r["fire"]), r["jobs"], r["state"]) for r in got.collect()) == [
+        ("None", str(at), 0, "missed"), ("k", "2024-01-01 12:00:00", 2, "on_plan"), ("k", "2024-01-01 21:00:00", 0, "missed"), ("k", "2024-01-05 16:00:00", 0, "due"), ("k", "None", 0, "missed"),
+    ]
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in text.splitlines() if "Join" in line and ("<" in line or ">=" in line)]  # no job meets a fire
