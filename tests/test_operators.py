@@ -352,3 +352,12 @@ def test_slot_adherence_of_repeated_fires(spark, sf, tmp_path):
     ]
     text = got._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in text.splitlines() if "Join" in line and ("<" in line or ">=" in line)]  # no job meets a fire
+
+
+def test_requests_are_parsed_once(spark, sf):
+    """Contract keys are read above the rows that requests are made of, not in filters on these."""
+    from barwright.plans import QUERIES
+
+    for name in ("d7_tolerance_join", "g4_chain_latest_by_keys", "g5_chain_eod_by_keys"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not [line for line in plan if "Filter" in line and "split(" in line]
