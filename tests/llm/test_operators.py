@@ -4,6 +4,7 @@ import collections
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -346,6 +347,16 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.identified(df, empty).collect()} == {"und"}
 
 
+def test_words_of_all_characters():
+    """Runs of letters and digits, whichever way they are found."""
+    rng = random.Random(3)
+    few = "".join(map(chr, range(256)))
+    for chars in (few, few + "İſK٣ⅷ\u2028\U0001d7d8中"):
+        texts = ["".join(rng.choices(chars, k=200)) for _ in range(50)] + [chars, " ", "_", ""]
+        assert [decontaminate.words(t) for t in texts] == [re.findall(r"[^\W_]+", t.lower()) for t in texts]
+    assert decontaminate.words(None) == []
+
+
 def test_lcs():
     rng = random.Random(13)
     for _ in range(60):
