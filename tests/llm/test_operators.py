@@ -347,6 +347,23 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.identified(df, empty).collect()} == {"und"}
 
 
+def test_language_learns_from_all_rows(spark):
+    """Words that only rows outside the first sample hold count for their language too."""
+    rng = random.Random(8)
+    say = lambda letters: " ".join("".join(rng.choices(letters, k=4)) for _ in range(12))
+    rows = [(i, say("abcde" if i % 2 else "fghij"), "xa" if i % 2 else "yb") for i in range(400)]
+    drawn = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("u", common.unit_hash("doc_id", "text", F.lit("lang")))
+    late = {r["doc_id"] for r in drawn.where("u > 0.4").collect()}
+    rows = [(i, t.translate(str.maketrans("abcdefghij", "pqrstuvwxy")) if i in late else t, k) for i, t, k in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = df.withColumn("u", common.unit_hash("doc_id", "text", F.lit("lang"))).where("u < 0.1").select("doc_id").collect()
+    assert any(r["doc_id"] not in late for r in few)
+    model = language.train(df, max_rows=40)
+    assert sum(language.predict(t, *model)[0] == k for _, t, k in rows) >= 0.98 * len(rows)
+    same = language.train(df.repartition(5), max_rows=40)
+    assert (same.weights == model.weights).all() and same.temperature == model.temperature
+
+
 def test_words_of_all_characters():
     """Runs of letters and digits, whichever way they are found."""
     rng = random.Random(3)
