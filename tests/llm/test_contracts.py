@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -189,6 +190,50 @@ def test_decontamination_in_several_blocks(spark, monkeypatch):
     assert whole == pairs() == {(i, i % 30) for i in range(60) if i % 2}
 
 
+def test_basis_of_all_documents(spark, monkeypatch):
+    """More documents than a sample would hold: their ids, by which one was drawn, and their order make no difference to any cosine."""
+    rng = random.Random(36)
+    vocabulary = [prose(rng, 1) + str(i) for i in range(700)]
+    text = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [text(24) for _ in range(40)]
+    rows = [(i, f"{text(30)} {items[i % 40]} {text(20)}" if i % 10 == 0 else text(70)) for i in range(2500)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = lambda docs: {(r["doc_id"] % 5000, r["item_id"]): r["cosine"] for r in decontaminate.leaks(docs, bench).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once = found(docs)
+    assert len(once) == 250
+    again = found(docs.select((F.col("doc_id") + 5000).alias("doc_id"), "text").repartition(7))
+    assert again.keys() == once.keys() and all(abs(again[k] - x) < 1e-4 for k, x in once.items())
+    monkeypatch.setattr(decontaminate, "CELLS", 0)  # as with more terms than a table holds
+    plain = found(docs)
+    assert plain.keys() == once.keys() and all(abs(plain[k] - x) < 1e-4 for k, x in once.items())
+
+
+def test_products_of_passages(monkeypatch):
+    """A'A of the passages of texts of all lengths, in stretches too, by a plain loop."""
+    rng = np.random.default_rng(37)
+    idf, terms = rng.random(31) + 0.5, 30
+    texts = [rng.integers(0, 40, n) for n in (1, 15, 16, 17, 32, 33, 400, 3)]
+    want = np.zeros((terms, terms))
+    for ids in texts:
+        for lo in range(0, max(len(ids) - 16, 1), 16):
+            x, other = np.zeros(terms), 0
+            for i in ids[lo : lo + 32]:
+                if i < terms:
+                    x[i] += idf[i]
+                else:
+                    other += idf[-1] ** 2
+            want += np.outer(x, x) / (x @ x + other)
+    for stretch in (1 << 14, 48):
+        monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+        got, plain, start = np.zeros((terms, terms)), 0, rng.standard_normal((terms, 5))
+        for p in decontaminate.passages(texts, terms):
+            triples = decontaminate._tfidf(p, idf)
+            decontaminate._add_gram(triples, got)
+            plain = plain + decontaminate._gram_times(triples, start)
+        assert np.allclose(got + got.T, want) and np.allclose(plain, want @ start)
+
+
 def odd_folder(spark, folder):
     rng = random.Random(35)
     docs = [(None, prose(rng, 40), "en", "a", 1), (None, None, None, None, None), (5, prose(rng, 40), "en", "a", 1), (5, prose(rng, 60), "de", None, 1), (6, "", "en", "b", 0), (7, "x " * 20000, "en", "b", 0)]
