@@ -8,9 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, unit_hash, unused
+from .common import stored, table, unused
 
-#: Shortest candidate, shortest one that a credential's name precedes, and the bound on labelled findings that the forest is fitted on.
+#: Shortest candidate, shortest one that a credential's name precedes, and as how many findings the two labels weigh at most.
 MIN_LENGTH, NAMED_LENGTH, MAX_LABELLED = 12, 6, 20_000
 #: Words of the dictionary that come from the corpus at most, and how often one has to occur.
 DICTIONARY_SIZE, LEAST_COUNT = 20_000, 5
@@ -133,16 +133,17 @@ def labelled(found: DataFrame) -> DataFrame:
 def judged(found: DataFrame, findings: DataFrame) -> DataFrame:
     """Adds score, the forest's share of votes for a secret, to featured candidates.
 
-    findings: featured candidates with a label, MAX_LABELLED of which at most are used, drawn by a hash of the value. Without labels of
-    both kinds no forest can be fitted: the score is then 1 where the labels are all 1, and else 0.
+    findings: featured candidates with a label. The forest is fitted on all of them; those of a label weigh as MAX_LABELLED / 2 together at
+    most, so that the more frequent one does not outvote the other. Without labels of both kinds no forest can be fitted: the score is then
+    1 where the labels are all 1, and else 0.
     """
     sizes = {r["label"]: r["count"] for r in findings.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return found.withColumn("score", F.lit(1.0 if 1.0 in sizes else 0.0))
-    share = F.when(F.col("label") == 1, MAX_LABELLED / 2 / sizes[1.0]).otherwise(MAX_LABELLED / 2 / sizes[0.0])
-    rows = stored(findings.where(unit_hash(F.col("value"), F.col("id"), F.col("place")) < share).select("label", *FEATURES))
+    weight = F.when(F.col("label") == 1, min(1.0, MAX_LABELLED / 2 / sizes[1.0])).otherwise(min(1.0, MAX_LABELLED / 2 / sizes[0.0]))
+    rows = stored(findings.select("label", weight.alias("_weight"), *FEATURES))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    columns = {"featuresCol": "_features", "labelCol": "label", "probabilityCol": "_share", "rawPredictionCol": "_raw", "predictionCol": "_guess"}
+    columns = {"featuresCol": "_features", "labelCol": "label", "weightCol": "_weight", "probabilityCol": "_share", "rawPredictionCol": "_raw", "predictionCol": "_guess"}
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=32, seed=13, **columns)
     model = forest.fit(assembler.transform(rows))
     scored = model.transform(assembler.transform(found))

@@ -464,6 +464,18 @@ def test_secrets_from_reviewed_findings(spark):
     assert got == {i: t.split("=")[1].split()[0] for i, t in enumerate(texts) if i % 2}
 
 
+def test_secrets_learn_from_all_findings(spark, monkeypatch):
+    """More findings than a label weighs: the forest knows the form of one secret in twenty too."""
+    monkeypatch.setattr(secrets, "MAX_LABELLED", 8)
+    rng = random.Random(20)
+    digits = lambda n: "".join(rng.choices("123456789", k=n))
+    values = [digits(33) if i % 40 == 7 else "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=14)) if i % 2 else digits(14) for i in range(400)]
+    df = docs_of(spark, [f"use it: password={v} here" for v in values])
+    reviewed = secrets.candidates(df).withColumn("label", (F.col("id") % 2).cast("double"))
+    got = {r["doc_id"]: r["value"] for r in secrets.secrets(df, reviewed).collect()}
+    assert got == {i: v for i, v in enumerate(values) if i % 2}
+
+
 def test_secrets_odd_rows(spark):
     """Repeated rows and null ids give their findings again; clashing columns are left alone."""
     key = "AKIA" + "ABCDEFGHIJKLMNO7"
