@@ -364,6 +364,18 @@ def test_language_learns_from_all_rows(spark):
     assert (same.weights == model.weights).all() and same.temperature == model.temperature
 
 
+def test_language_starts_from_all_rows(spark, monkeypatch):
+    """The weights before the pass over all rows do not depend on ids, by a hash of which rows were drawn, and know what one row alone holds."""
+    monkeypatch.setattr(language, "corrected", lambda known, langs, idf, z, n, weight: (z, n, 1.0))
+    rng = random.Random(9)
+    say = lambda letters, n: " ".join("".join(rng.choices(letters, k=4)) for _ in range(n))
+    rows = [(i, say("abcde", 9) if i % 2 else say("fghij", 9), "xa" if i % 2 else "yb") for i in range(600)]
+    rows[:2] = [(0, say("pqrst", 400), "yb"), (1, say("uvwxy", 400), "xa")]
+    models = [language.train(spark.createDataFrame([(i + shift, t, k) for i, t, k in rows], "doc_id long, text string, lang string"), max_rows=20) for shift in (0, 1000)]
+    assert (models[0].weights == models[1].weights).all()
+    assert language.predict(say("pqrst", 60), *models[0])[0] == "yb" and language.predict(say("uvwxy", 60), *models[0])[0] == "xa"
+
+
 def test_words_of_all_characters():
     """Runs of letters and digits, whichever way they are found."""
     rng = random.Random(3)
